@@ -102,11 +102,11 @@ def full_rank(
     order, split again by ranges of the integer ``tie`` column, are ranked one by
     one and shifted by the size of the slices before them.
     """
-    bounds = _bounds(df, value).scalar()
     # NULL values rank last, as the last slice
-    part = F.coalesce(-_value_slice(F.col(value), bounds), F.lit(1))
-    chunk = F.when(part % 2 != 0, F.floor(F.col(tie) / tie_width)).otherwise(F.lit(0))
-    tagged = df.withColumn("_s", part).withColumn("_t", chunk)
+    part = F.coalesce(-_value_slice(F.col(value), F.col("_bounds")), F.lit(1))
+    chunk = F.when(F.col("_s") % 2 != 0, F.floor(F.col(tie) / tie_width)).otherwise(F.lit(0))
+    bounded = df.withColumn("_bounds", _bounds(df, value).scalar())
+    tagged = bounded.withColumn("_s", part).drop("_bounds").withColumn("_t", chunk)
     slice_keys = [group, "_s", "_t"]
     sizes = tagged.groupBy(*slice_keys).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(group).orderBy("_s", "_t").rowsBetween(Window.unboundedPreceding, -1)
@@ -146,8 +146,8 @@ def exact_quantiles(
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    bounds = _bounds(counts, "_v").scalar()
-    tagged = counts.withColumn("_s", _value_slice(F.col("_v"), bounds))
+    bounded = counts.withColumn("_bounds", _bounds(counts, "_v").scalar())
+    tagged = bounded.withColumn("_s", _value_slice(F.col("_v"), F.col("_bounds"))).drop("_bounds")
     sizes = tagged.groupBy(*by, "_s").agg(F.sum("_n").alias("_n"))
     earlier = Window.partitionBy(*by).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

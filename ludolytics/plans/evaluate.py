@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ludolytics.functions import metrics as M
@@ -72,14 +72,17 @@ def evaluate_rows(
     per_key = sizes.join(hits, keys, "left").withColumn(
         "_ranks", F.coalesce("_ranks", F.array().cast("array<int>"))
     )
+
+    def within(k: int) -> Column:
+        return F.filter("_ranks", lambda r: r <= k)
+
+    def gain(positions: Column) -> Column:
+        return F.aggregate(positions, F.lit(0.0), lambda a, r: a + 1 / F.log2(r + 1.0))
+
     columns = []
     for k in ks:
-        ranks = F.filter("_ranks", lambda r, k=k: r <= k)
+        ranks = within(k)
         total = F.aggregate(F.transform(ranks, lambda r, i: (i + 1) / r), F.lit(0.0), lambda a, x: a + x)
-
-        def gain(positions):
-            return F.aggregate(positions, F.lit(0.0), lambda a, r: a + 1 / F.log2(r + 1.0))
-
         best = F.sequence(F.lit(1), F.least(F.col("_distinct"), F.lit(k)).cast("int"))
         columns += [
             (F.size(ranks) > 0).cast("int").alias(f"hit_at_{k}"),

@@ -179,7 +179,8 @@ def recommend_random(
     """
     numbered = number_rows(games.select("game_id"), ["game_id"], seed)
     total = games.agg(F.count(F.lit(1)).alias("n")).scalar()
-    drawn = users.select(*keys, F.posexplode(_draw(shuffle_key(keys, seed), total, k)).alias("_order", "position"))
+    sized = users.select(*keys, shuffle_key(keys, seed).alias("_h"), total.alias("_n"))
+    drawn = sized.select(*keys, F.posexplode(_draw(F.col("_h"), F.col("_n"), k)).alias("_order", "position"))
     picked = drawn.join(numbered, "position").groupBy(*keys).agg(ordered_list("_order", "game_id").alias(out))
     return users.join(picked, list(keys), "left").withColumn(
         out, F.coalesce(out, F.array().cast("array<bigint>"))

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from ludolytics.workloads import warehouse_queries  # noqa: F401
+from ludolytics.workloads import feature_queries, recommend_queries, warehouse_queries  # noqa: F401
 from ludolytics.workloads.registry import WORKLOADS
 
 __all__ = ["WORKLOADS"]

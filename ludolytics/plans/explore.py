@@ -205,5 +205,6 @@ def longer_than(df: DataFrame, text: str, n: int) -> DataFrame:
     return df.withColumn("_len", F.char_length(text)).where(F.col("_len") > n).orderBy("_len").drop("_len")
 
 
-def selected_games(games: DataFrame, ids: Sequence[int]) -> DataFrame:
-    return games.where(F.col("game_id").isin(list(ids)))
+def members(df: DataFrame, column: str, values: Sequence) -> DataFrame:
+    """Rows whose ``column`` is one of ``values``."""
+    return df.where(F.col(column).isin(list(values)))

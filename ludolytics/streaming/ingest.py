@@ -81,4 +81,4 @@ def run_ingest(
 def read_ingested(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     """All ingested reviews (without the batch number)."""
     stored = read_if_present(spark, target, schema)
-    return stored if stored is not None else spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema) if stored is None else stored.select(*schema.names)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,8 +125,12 @@ def int_reviews_with_canonical_id(
 
 
 def int_deduplicated_reviews(reviews: DataFrame) -> DataFrame:
-    """One row per ``review_id``, highest game first; any tie is broken by the rest."""
-    order = [F.col("game_id").desc_nulls_last(), *total_order(reviews, skip=("review_id", "game_id"))]
+    """One row per ``review_id``, highest game first; ties go by the other columns.
+
+    All but the text: leaving it out of the order lets plans that do not want the
+    text skip reading and exchanging it.
+    """
+    order = [F.col("game_id").desc_nulls_last(), *total_order(reviews, skip=("review_id", "game_id", "review"))]
     return latest_per_key(reviews, ["review_id"], order)
 
 
@@ -217,67 +223,61 @@ def entities_on(cumulative: DataFrame, day) -> DataFrame:
     return cumulative.where(F.col("review_day") == F.lit(day))
 
 
-def build(raw_games: DataFrame, raw_reviews: DataFrame) -> dict[str, DataFrame]:
-    """All models of the layer graph as lazy DataFrames.
+class Models(Mapping):
+    """The layer graph over raw games and reviews; a model is built when asked for.
 
-    The map from original to canonical id is made distinct here: repeated pairs
-    would only repeat reviews that the deduplication removes again.
+    With ``root`` the models named by ``stored`` are written there on first use and
+    read back. A stored dimension has a size the optimizer knows before the reviews
+    are read: a small one is broadcast and spares the reviews an exchange by game,
+    a large one is not. Storing the deduplicated reviews, which feed three models,
+    saves the scan, joins and exchange of the raw reviews twice.
     """
-    games = stg_games(raw_games)
-    reviews = stg_reviews(raw_reviews)
-    deduplicated_games = int_deduplicated_games(games)
-    canonical = int_canonical_game_ids(games, deduplicated_games)
-    with_id = int_reviews_with_canonical_id(reviews, canonical.distinct(), deduplicated_games)
-    deduplicated = int_deduplicated_reviews(with_id)
-    all_games = dim_games(deduplicated_games, deduplicated)
-    all_users = dim_users(deduplicated)
-    facts = fact_reviews(deduplicated, all_games)
-    daily = mart_entity_daily_counts(facts, all_users, all_games)
-    return {
-        "stg_games": games,
-        "stg_reviews": reviews,
-        "int_deduplicated_games": deduplicated_games,
-        "int_canonical_game_ids": canonical,
-        "int_reviews_with_canonical_id": with_id,
-        "int_deduplicated_reviews": deduplicated,
-        "dim_games": all_games,
-        "dim_users": all_users,
-        "fact_reviews": facts,
-        "mart_entity_daily_counts": daily,
-        "mart_entities_cumulative": mart_entities_cumulative(daily),
-    }
 
-
-def build_tables(raw_games: DataFrame, raw_reviews: DataFrame, root: str) -> dict[str, DataFrame]:
-    """Write the models that others read several times, then return all of them.
-
-    The deduplicated reviews feed three models; reading them back from Parquet
-    costs one write and saves the scan, join and exchange of the raw reviews twice.
-    """
-    spark = raw_games.sparkSession
-
-    def table(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
-
-    lazy = build(raw_games, raw_reviews)
-    games = table("int_deduplicated_games", lazy["int_deduplicated_games"])
-    canonical = int_canonical_game_ids(lazy["stg_games"], games)
-    with_id = int_reviews_with_canonical_id(lazy["stg_reviews"], canonical.distinct(), games)
-    reviews = table("int_deduplicated_reviews", int_deduplicated_reviews(with_id))
-    all_games = table("dim_games", dim_games(games, reviews))
-    all_users = table("dim_users", dim_users(reviews))
-    facts = table("fact_reviews", fact_reviews(reviews, all_games))
-    daily = table("mart_entity_daily_counts", mart_entity_daily_counts(facts, all_users, all_games))
-    return {
-        **lazy,
-        "int_deduplicated_games": games,
-        "int_canonical_game_ids": canonical,
-        "int_reviews_with_canonical_id": with_id,
-        "int_deduplicated_reviews": reviews,
-        "dim_games": all_games,
-        "dim_users": all_users,
-        "fact_reviews": facts,
-        "mart_entity_daily_counts": daily,
-        "mart_entities_cumulative": mart_entities_cumulative(daily),
-    }
+    GAME_LEVEL = ("int_deduplicated_games", "canonical_map")
+    ALL_SHARED = (*GAME_LEVEL, "int_deduplicated_reviews", "dim_games", "dim_users", "fact_reviews")
+
+    def __init__(
+        self,
+        raw_games: DataFrame,
+        raw_reviews: DataFrame,
+        root: str | None = None,
+        stored: Sequence[str] = ALL_SHARED,
+    ):
+        self._root, self._stored = root, stored
+        self._built: dict[str, DataFrame] = {}
+        self._recipes = {
+            "stg_games": lambda m: stg_games(raw_games),
+            "stg_reviews": lambda m: stg_reviews(raw_reviews),
+            "int_deduplicated_games": lambda m: int_deduplicated_games(m["stg_games"]),
+            "int_canonical_game_ids": lambda m: int_canonical_game_ids(m["stg_games"], m["int_deduplicated_games"]),
+            # repeated pairs would only repeat reviews that the deduplication
+            # removes again
+            "canonical_map": lambda m: m["int_canonical_game_ids"].distinct(),
+            "int_reviews_with_canonical_id": lambda m: int_reviews_with_canonical_id(
+                m["stg_reviews"], m["canonical_map"], m["int_deduplicated_games"]
+            ),
+            "int_deduplicated_reviews": lambda m: int_deduplicated_reviews(m["int_reviews_with_canonical_id"]),
+            "dim_games": lambda m: dim_games(m["int_deduplicated_games"], m["int_deduplicated_reviews"]),
+            "dim_users": lambda m: dim_users(m["int_deduplicated_reviews"]),
+            "fact_reviews": lambda m: fact_reviews(m["int_deduplicated_reviews"], m["dim_games"]),
+            "mart_entity_daily_counts": lambda m: mart_entity_daily_counts(
+                m["fact_reviews"], m["dim_users"], m["dim_games"]
+            ),
+            "mart_entities_cumulative": lambda m: mart_entities_cumulative(m["mart_entity_daily_counts"]),
+        }
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            df = self._recipes[name](self)
+            if self._root and name in self._stored:
+                path = f"{self._root}/{name}"
+                df.write.mode("overwrite").parquet(path)
+                df = df.sparkSession.read.schema(df.schema).parquet(path)
+            self._built[name] = df
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._recipes)
+
+    def __len__(self) -> int:
+        return len(self._recipes)

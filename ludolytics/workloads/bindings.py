@@ -20,9 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _as_schema(df: DataFrame, schema) -> DataFrame:
-    return df.select(
+    present = set(df.columns)
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in schema.fields
         ]
     )
@@ -31,18 +32,18 @@ def _as_schema(df: DataFrame, schema) -> DataFrame:
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    rows = joined.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rec_id"),
-        F.expr("nullif(o_custkey, 0)").alias("author_id"),
-        F.col("l_partkey").alias("appid"),
-        F.col("o_orderpriority").alias("review"),
-        F.unix_seconds(F.col("l_shipdate").cast("timestamp")).alias("timestamp_created"),
-        (F.col("l_returnflag") != "R").alias("voted_up"),
-        F.col("l_quantity").cast("long").alias("votes_up"),
-        F.col("l_discount").alias("weighted_vote_score"),
-        F.col("l_linenumber").cast("long").alias("comment_count"),
-        (F.col("o_orderstatus") == "P").alias("written_during_early_access"),
-        F.trunc("o_orderdate", "MM").alias("scrape_date"),
+    rows = joined.selectExpr(
+        "l_orderkey * 10 + l_linenumber AS rec_id",
+        "nullif(o_custkey, 0) AS author_id",
+        "l_partkey AS appid",
+        "o_orderpriority AS review",
+        "unix_seconds(CAST(l_shipdate AS timestamp)) AS timestamp_created",
+        "l_returnflag <> 'R' AS voted_up",
+        "l_quantity AS votes_up",
+        "l_discount AS weighted_vote_score",
+        "l_linenumber AS comment_count",
+        "o_orderstatus = 'P' AS written_during_early_access",
+        "trunc(o_orderdate, 'MM') AS scrape_date",
     )
     return _as_schema(rows, schemas.REVIEWS)
 
@@ -87,15 +88,19 @@ def app_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.unionByName(others)
 
 
-def models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The layer graph, lazily."""
-    return warehouse.build(raw_games(spark, sf_dir), raw_reviews(spark, sf_dir))
+def models(spark: SparkSession, sf_dir: str) -> warehouse.Models:
+    """The layer graph with only its game-level models written."""
+    return warehouse.Models(
+        raw_games(spark, sf_dir),
+        raw_reviews(spark, sf_dir),
+        scratch_path(spark, "games"),
+        warehouse.Models.GAME_LEVEL,
+    )
 
 
-def stored_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The layer graph with its shared models written once."""
-    root = scratch_path(spark, "warehouse")
-    return warehouse.build_tables(raw_games(spark, sf_dir), raw_reviews(spark, sf_dir), root)
+def stored_models(spark: SparkSession, sf_dir: str) -> warehouse.Models:
+    """The layer graph with all shared models written once."""
+    return warehouse.Models(raw_games(spark, sf_dir), raw_reviews(spark, sf_dir), scratch_path(spark, "warehouse"))
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -251,7 +251,7 @@ SELECT game_id, length(game_detailed_description) AS game_detailed_description_l
        length(game_short_description) AS game_short_description_len FROM dim_games"""),
 )
 def _(spark, d):
-    return explore.text_lengths(b.models(spark, d)["dim_games"]).select(
+    return explore.text_lengths(b.stored_models(spark, d)["dim_games"]).select(
         "game_id", "game_detailed_description_len", "game_short_description_len"
     )
 

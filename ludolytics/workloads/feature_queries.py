@@ -25,7 +25,7 @@ def _rounded(df, *columns):
     layered(f"SELECT game_id, {day('game_review_month')} AS game_review_month, {METRIC_SELECT} FROM monthly_game_metrics"),
 )
 def _(spark, d):
-    facts = b.models(spark, d)["fact_reviews"]
+    facts = b.stored_models(spark, d)["fact_reviews"]
     return _rounded(features.monthly_game_metrics(facts), "game_weighted_score")
 
 
@@ -71,7 +71,7 @@ SELECT {_USER_LISTS} FROM (
     ),
 )
 def _(spark, d):
-    return features.user_features(b.models(spark, d)["fact_reviews"], FIRST)
+    return features.user_features(b.stored_models(spark, d)["fact_reviews"], FIRST)
 
 
 _BEFORE = f"""

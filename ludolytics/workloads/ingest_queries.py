@@ -236,7 +236,7 @@ def _one_per_review(source: str) -> str:
     return f"""
 SELECT * FROM {source} QUALIFY row_number() OVER (
   PARTITION BY review_id
-  ORDER BY game_id DESC NULLS LAST, user_id DESC NULLS LAST, review DESC NULLS LAST, timestamp_created DESC,
+  ORDER BY game_id DESC NULLS LAST, user_id DESC NULLS LAST, timestamp_created DESC,
            scrape_date DESC, written_during_early_access DESC, voted_up DESC, weighted_vote_score DESC,
            votes_up DESC, comment_count DESC) = 1"""
 

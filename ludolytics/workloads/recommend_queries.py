@@ -26,7 +26,7 @@ _WINDOW = "BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'"
     NULLABLE,
 )
 def _(spark, d):
-    return recommend.train_validation(b.models(spark, d)["fact_reviews"], TRAIN_UNTIL, VALIDATE_UNTIL)[0]
+    return recommend.train_validation(b.stored_models(spark, d)["fact_reviews"], TRAIN_UNTIL, VALIDATE_UNTIL)[0]
 
 
 @workload(
@@ -39,7 +39,7 @@ FROM dim_users WHERE CAST(first_review_timestamp AS DATE) {_WINDOW}"""),
 )
 def _(spark, d):
     return recommend.new_entities(
-        b.models(spark, d)["dim_users"], "first_review_timestamp", TRAIN_UNTIL, VALIDATE_UNTIL
+        b.stored_models(spark, d)["dim_users"], "first_review_timestamp", TRAIN_UNTIL, VALIDATE_UNTIL
     )
 
 
@@ -51,7 +51,7 @@ def _(spark, d):
     NULLABLE,
 )
 def _(spark, d):
-    games = b.models(spark, d)["dim_games"]
+    games = b.stored_models(spark, d)["dim_games"]
     return recommend.new_entities(games, "game_prerelease_date", date(1995, 1, 31), date(1996, 12, 31)).orderBy(
         "game_id"
     )
@@ -82,7 +82,7 @@ def _(spark, d):
     layered("SELECT user_id, game_id, 1.0::DOUBLE AS label FROM fact_reviews WHERE voted_up"),
 )
 def _(spark, d):
-    return recommend.interactions(b.models(spark, d)["fact_reviews"])
+    return recommend.interactions(b.stored_models(spark, d)["fact_reviews"])
 
 
 @workload(
@@ -109,7 +109,7 @@ def _(spark, d):
     layered("SELECT game_id, count(*) AS reviews FROM fact_reviews GROUP BY game_id HAVING count(*) > 30"),
 )
 def _(spark, d):
-    games, _ = recommend.active_keys(b.models(spark, d)["fact_reviews"], 30, 10)
+    games, _ = recommend.active_keys(b.stored_models(spark, d)["fact_reviews"], 30, 10)
     return games.orderBy(F.col("reviews").desc(), "game_id")
 
 
@@ -148,7 +148,7 @@ top AS (SELECT game_review_month, list(game_id ORDER BY rank) AS ids FROM best W
     ),
 )
 def _(spark, d):
-    return recommend.topk_by_month(_game_features(b.models(spark, d)))
+    return recommend.topk_by_month(_game_features(b.stored_models(spark, d)))
 
 
 @workload(

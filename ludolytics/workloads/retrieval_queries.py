@@ -50,7 +50,7 @@ JOIN dim_games g ON g.game_id = h.game_id"""
 )
 def _(spark, d):
     query = [float(i % 7 - 3) for i in range(64)]
-    games = b.models(spark, d)["dim_games"]
+    games = b.stored_models(spark, d)["dim_games"]
     return _rounded(retrieval.semantic_search(b.profiles(spark, d), query, 10, games), "similarity")
 
 
@@ -287,7 +287,7 @@ def _(spark, d):
 
 @workload("profile_embeddings", "T06")
 def _(spark, d):
-    return retrieval.profile_embeddings(b.models(spark, d)["dim_games"])
+    return retrieval.profile_embeddings(b.stored_models(spark, d)["dim_games"])
 
 
 @workload("chunk_embeddings", "T07")

@@ -98,7 +98,7 @@ def _(spark, d):
 
 @workload("fact_reviews", "J06", layered(f"SELECT {FACT_SELECT} FROM fact_reviews"), NULLABLE)
 def _(spark, d):
-    return b.models(spark, d)["fact_reviews"]
+    return b.stored_models(spark, d)["fact_reviews"]
 
 
 @workload(

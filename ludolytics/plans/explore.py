@@ -101,6 +101,11 @@ def _range(df: DataFrame, x: Column) -> DataFrame:
     return df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")).alias("r"))
 
 
+def _bin(offset: Column, width: Column, bins: int) -> Column:
+    """Bin number; everything is in bin 0 when all values are equal."""
+    return F.least(F.coalesce(F.floor(F.try_divide(offset, width)), F.lit(0)), F.lit(bins - 1))
+
+
 def histogram(df: DataFrame, column: str, bins: int = 20, log: bool = False) -> DataFrame:
     """(bin, bin_start, bin_end, count) of equal-width bins; empty bins are left out.
 
@@ -115,7 +120,7 @@ def histogram(df: DataFrame, column: str, bins: int = 20, log: bool = False) ->
     kept = kept.select(x.alias("_x"))
     span = _range(kept, F.col("_x")).scalar()
     lo, width = span["lo"], (span["hi"] - span["lo"]) / bins
-    number = F.coalesce(F.least(F.floor(F.try_divide(F.col("_x") - lo, width)), F.lit(bins - 1)), F.lit(0))
+    number = _bin(F.col("_x") - lo, width, bins)
     counts = kept.groupBy(number.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     edge = lambda n: F.pow(F.lit(10.0), n) if log else n
     return counts.select(
@@ -143,15 +148,16 @@ def kernel_density(df: DataFrame, column: str, grid: int = 200, bins: int = 1024
         )
     ).scalar()
     fine = (stats["hi"] - stats["lo"]) / bins
-    number = F.coalesce(F.least(F.floor(F.try_divide(F.col("_x") - stats["lo"], fine)), F.lit(bins - 1)), F.lit(0))
+    number = _bin(F.col("_x") - stats["lo"], fine, bins)
     binned = kept.groupBy(number.alias("_b")).agg(F.count(F.lit(1)).alias("_w"))
     centre = stats["lo"] + (F.col("_b") + 0.5) * fine
     bandwidth = stats["sd"] * F.pow(stats["n"].cast("double"), F.lit(-0.2))
     points = binned.select(
         "_b", "_w", F.posexplode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("_pos", "_g")
     ).withColumn("x", stats["lo"] + F.col("_g") * (stats["hi"] - stats["lo"]) / (grid - 1))
-    z = (F.col("x") - centre) / bandwidth
-    share = F.col("_w") * F.exp(-z * z / 2) / (stats["n"] * bandwidth * math.sqrt(2 * math.pi))
+    z = F.try_divide(F.col("x") - centre, bandwidth)
+    scale = stats["n"] * bandwidth * math.sqrt(2 * math.pi)
+    share = F.try_divide(F.col("_w") * F.exp(-z * z / 2), scale)
     return points.groupBy("_g").agg(F.first("x").alias("x"), F.sum(share).alias("density")).select("x", "density")
 
 

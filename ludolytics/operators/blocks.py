@@ -61,14 +61,24 @@ def pack(
     return narrow.mapInPandas(blocks, schema)
 
 
-def meet(left: DataFrame, right: DataFrame, on: Sequence[str] = (), shards: int = 16) -> DataFrame:
+def meet(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str] = (),
+    shards: int = 16,
+    broadcast_bytes: int = 32 * 1024 * 1024,
+) -> DataFrame:
     """Every left block with every right block of the same ``on`` group.
 
-    The right blocks are dealt out over ``shards`` and the left blocks are copied
-    to each of them, so the side to keep small is the left one; the group of a hot
-    key is worked on by ``shards`` tasks.
+    The left side is measured first. Up to ``broadcast_bytes`` it is broadcast and
+    the right blocks stay where they were packed. Beyond that the right blocks are
+    dealt out over ``shards`` and the left blocks copied to each of them, so that
+    the group of a hot key is worked on by ``shards`` tasks.
     """
     on = list(on)
+    measured = left.agg(F.sum(F.octet_length("matrix"))).first()[0] or 0
+    small = measured <= broadcast_bytes
+    shards = 1 if small else shards
     dealt = right.select(
         *on,
         F.pmod(F.xxhash64("ids", "matrix"), F.lit(shards)).cast("int").alias("_shard"),
@@ -82,7 +92,7 @@ def meet(left: DataFrame, right: DataFrame, on: Sequence[str] = (), shards: int
         F.col("ids").alias("left_ids"),
         F.col("matrix").alias("left_matrix"),
     )
-    return copied.join(dealt, [*on, "_shard"])
+    return dealt.join(F.broadcast(copied) if small else copied, [*on, "_shard"])
 
 
 def _matrices(row) -> tuple[np.ndarray, np.ndarray]:

@@ -139,6 +139,32 @@ def user_features(
     return rows.withColumn("current_month", F.lit(day))
 
 
+def user_interactions(facts: DataFrame) -> DataFrame:
+    """(user_id, game_id, current_month, reviews): positive reviews, counted.
+
+    The long form of the user lists, with one row per game instead of one list per
+    user, for accounts whose lists would not fit a row.
+    """
+    return (
+        facts.where("voted_up")
+        .groupBy("user_id", "game_id", month_of("timestamp_created").alias("current_month"))
+        .agg(F.count(F.lit(1)).alias("reviews"))
+    )
+
+
+def future_rows(interactions: DataFrame, month: str | date) -> DataFrame:
+    """(user_id, game_id, copies): what ``future_game_ids`` of the literal user
+    features lists for the users active in ``month``, as rows."""
+    day = as_month(month)
+    in_this = F.when(F.col("current_month") == F.lit(day), F.col("reviews")).otherwise(0)
+    in_last = F.when(F.col("current_month") == F.lit(shift_month(day, -1)), F.col("reviews")).otherwise(0)
+    pairs = interactions.groupBy("user_id", "game_id").agg(
+        F.sum("reviews").alias("copies"), F.sum(in_this).alias("_now"), F.sum(in_last).alias("_before")
+    )
+    active = interactions.where(F.col("current_month") == F.lit(day)).select("user_id").distinct()
+    return pairs.where("_before = 0").join(active, "user_id", "left_semi").select("user_id", "game_id", "copies")
+
+
 def training_features(
     facts: DataFrame,
     metrics: DataFrame,

@@ -38,18 +38,21 @@ def build_session(app: str = "ludolytics", master: str | None = None, **extra: s
     return configure(builder.getOrCreate())
 
 
+_local_roots: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
     Only a session without that setting (a local test) gets a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="ludolytics-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    if root:
+        return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="ludolytics-")
+    return _local_roots[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

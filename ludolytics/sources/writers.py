@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ludolytics import schemas
 from ludolytics.plans.quality import unique
-from ludolytics.session import shared_root
+from ludolytics.session import scratch_path
 from ludolytics.sources.readers import load_watermarks, read_if_present
 
 GAMES_PER_FILE = 10_000
@@ -21,8 +21,14 @@ REVIEWS_PER_FILE = 100_000
 
 
 def _overwrite_partitions(df: DataFrame, path: str, *columns: str) -> None:
+    """Replace the partitions present in ``df``.
+
+    Rebalancing gathers the rows of a small partition into one file and splits a
+    large one over many tasks, instead of every task writing to every partition.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *columns)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
         .parquet(path)
@@ -76,12 +82,24 @@ def _drop_partitions(spark: SparkSession, path: str, column: str, values: list)
         files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}"), True)
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    Used where a frame is needed several times. Its size is then known before the
+    next join, so the keys of a small batch are broadcast to a large table.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "staged")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _replace_stored(current: DataFrame, keys: DataFrame, key: str, part: str, path: str) -> None:
     """Remove the stored rows with one of ``keys``, rewriting only their partitions."""
-    losing = current.join(keys, key, "left_semi").select(part).distinct().checkpoint()
+    losing = staged(current.join(keys, key, "left_semi").select(part).distinct())
     if losing.isEmpty():
         return
-    kept = current.join(losing, part, "left_semi").join(keys, key, "left_anti").checkpoint()
+    kept = staged(current.join(losing, part, "left_semi").join(keys, key, "left_anti"))
     _overwrite_partitions(kept, path, part)
     # one value per stored partition that has no row left
     emptied = losing.join(kept.select(part), part, "left_anti").collect()
@@ -127,6 +145,7 @@ def incremental_append(
         mode = "static" if full_refresh else "dynamic"
         (
             resolve(new)
+            .hint("rebalance", mark)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", mode)
             .partitionBy(mark)
@@ -138,8 +157,7 @@ def incremental_append(
     high = current.agg(F.max(mark)).first()[0]
     if high is None:
         return
-    shared_root(spark)  # makes sure a checkpoint folder is set
-    batch = resolve(new.where(F.col(mark) > F.lit(high))).checkpoint()
+    batch = staged(resolve(new.where(F.col(mark) > F.lit(high))))
     if on_schema_change == "ignore":
         batch = batch.select(*[c for c in batch.columns if c in stored.names])
     _replace_stored(current, batch.select(key), key, mark, path)

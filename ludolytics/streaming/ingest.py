@@ -14,9 +14,8 @@ from pyspark.sql import types as T
 
 from ludolytics.operators.keyed import latest_per_key, total_order
 from ludolytics.plans.ingest import drop_seen, newest_per_game
-from ludolytics.session import shared_root
 from ludolytics.sources.readers import load_watermarks, read_if_present
-from ludolytics.sources.writers import replace_batch, upsert_watermarks
+from ludolytics.sources.writers import replace_batch, staged, upsert_watermarks
 
 
 def stream_reviews(
@@ -48,11 +47,9 @@ def ingest_batch(
     what it saw the first time. Rows are written before the state moves: a failure
     in between repeats the rows instead of losing them.
     """
-    spark = batch.sparkSession
-    shared_root(spark)  # makes sure a checkpoint folder is set
-    seen = load_watermarks(spark, state, before=batch_no)
+    seen = load_watermarks(batch.sparkSession, state, before=batch_no)
     order = [F.col(seconds).desc_nulls_last(), *total_order(batch, skip=(key, seconds))]
-    fresh = latest_per_key(drop_seen(batch, seen, game, seconds), [key], order).checkpoint()
+    fresh = staged(latest_per_key(drop_seen(batch, seen, game, seconds), [key], order))
     replace_batch(fresh, target, key, batch_no)
     upsert_watermarks(newest_per_game(fresh, game, seconds), state, batch_no)
 

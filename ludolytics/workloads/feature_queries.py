@@ -121,6 +121,22 @@ def _(spark, d):
     return features.user_features(facts, SECOND, features.user_features(facts, FIRST), "accumulate")
 
 
+@workload(
+    "future_rows",
+    "X04",
+    layered(
+        f"""
+SELECT l.user_id, l.game_id, count(*) AS copies FROM liked l
+WHERE l.user_id IN (SELECT user_id FROM active)
+  AND NOT EXISTS (SELECT 1 FROM liked o WHERE o.user_id = l.user_id AND o.game_id = l.game_id AND o.m = DATE '{FIRST}')
+GROUP BY l.user_id, l.game_id""",
+        _active(SECOND, "active"),
+    ),
+)
+def _(spark, d):
+    return features.future_rows(features.user_interactions(b.stored_models(spark, d)["fact_reviews"]), SECOND)
+
+
 def _training_sql(month: str, past: str) -> str:
     return f"""
 SELECT {FACT_SELECT}, {day('current_month')} AS current_month, {day('prev_month')} AS prev_month,

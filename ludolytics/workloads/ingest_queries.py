@@ -26,18 +26,11 @@ SCRAPED = date(2024, 1, 1)
     "SELECT p_size AS appid, trim(p_name) AS name FROM (SELECT DISTINCT p_size, p_name FROM part)",
 )
 def _(spark, d):
-    parts = b.table(spark, d, "part")
-    # one landed body per brand and type, each listing its apps
-    bodies = parts.groupBy("p_brand", "p_type").agg(
-        F.to_json(
-            F.struct(
-                F.struct(
-                    F.collect_list(
-                        F.struct(F.col("p_size").alias("appid"), F.concat(F.lit(" "), "p_name", F.lit("\t")).alias("name"))
-                    ).alias("apps")
-                ).alias("applist")
-            )
-        ).alias("body")
+    # each part lands a body that lists its app twice, once with stray white space
+    bodies = b.table(spark, d, "part").selectExpr(
+        """to_json(named_struct('applist', named_struct('apps', array(
+             named_struct('appid', p_size, 'name', concat(' ', p_name, '\\t')),
+             named_struct('appid', p_size, 'name', concat(' ', p_name, '\\t')))))) AS body"""
     )
     return ingest.parse_app_list(bodies)
 

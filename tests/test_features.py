@@ -84,6 +84,13 @@ def test_literal_past_is_the_month_before(spark):
     assert user_rows(fourth) == [(1, [12], [], [10, 10, 11, 12], [10, 10, 11, 12])]
 
 
+def test_future_rows_equal_the_future_lists(spark):
+    df = facts(spark, *HISTORY)
+    second = f.user_features(df, M[1], f.user_features(df, M[0]))
+    listed = second.select("user_id", F.explode("future_game_ids").alias("game_id")).groupBy("user_id", "game_id")
+    assert rows(f.future_rows(f.user_interactions(df), M[1])) == rows(listed.count())
+
+
 def test_accumulated_past_survives_a_gap(spark):
     df = facts(spark, *HISTORY)
     stored = f.user_features(df, M[0])

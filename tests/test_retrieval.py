@@ -49,6 +49,18 @@ def test_batch_search_equals_brute_force(spark, profiles, queries, limit):
     assert {h["rank"] for h in found.collect()} == set(range(1, limit + 1))
 
 
+def test_large_query_sets_are_sharded_instead_of_broadcast(spark, profiles, queries):
+    asked = blocks.pack(queries, ["query_id"], "embedding")
+    packed = blocks.pack(profiles, ["game_id"], "embedding")
+    small, large = blocks.meet(asked, packed), blocks.meet(asked, packed, shards=5, broadcast_bytes=0)
+    assert "BroadcastHashJoin" in plan(small)
+    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+    for met in (small, large):
+        best = blocks.best_matches(met, 3)
+        top = r._nearest(best, "query_id", 3)
+        assert sorted((h.query_id, h.game_id) for h in top.collect()) == brute(queries, 3)
+
+
 def test_single_search_and_name_join(spark, profiles, queries):
     q = queries.where("query_id = 2").collect()[0].embedding
     one = r.semantic_search(profiles, q, 10)

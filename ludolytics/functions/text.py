@@ -132,10 +132,20 @@ def chunk_fixed(text: Column | str, size: int = 256, overlap: int = 25) -> Colum
     _check_chunking(size, overlap)
     text = F.col(text) if isinstance(text, str) else text
     step = size - overlap
+    spanned = -(-size // step)
     last = F.ceil((F.char_length(text) - size) / F.lit(step)).cast("int")
-    windows = F.transform(
-        F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.substring(text, i * step + 1, F.lit(size))
-    )
+    numbers = F.sequence(F.lit(0), F.greatest(last, F.lit(0)))
+
+    def glued(steps: Column) -> Column:
+        return F.transform(
+            numbers, lambda i: F.substring(F.array_join(F.slice(steps, i + 1, F.lit(spanned)), ""), 1, size)
+        )
+
+    # cut once into steps and glue each window from the few steps it spans: a
+    # substring per window would walk a long text from its start every time. The
+    # outer one-element transform is there to cut once, not once per window.
+    steps = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+    windows = F.get(F.transform(F.array(steps), glued), F.lit(0))
     blank = text.isNull() | (F.regexp_replace(text, r"(?U)\s+", "") == "")
     return F.when(blank, F.array().cast("array<string>")).otherwise(windows)
 

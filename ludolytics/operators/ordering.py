@@ -76,19 +76,25 @@ def number_rows(df: DataFrame, keys: Sequence[str], seed: int | str, out: str =
     return numbered.withColumn(out, F.col("_before") + F.col("_r") - 1).drop("_h", "_p", "_r", "_before", "_in_slice")
 
 
-def _value_slice(value: Column, bounds: Column) -> Column:
-    """Order-preserving slice number; a value equal to a bound gets its own slice.
+def _with_slice(df: DataFrame, value: str, bounds: DataFrame, out: str) -> DataFrame:
+    """Add an order-preserving slice number; a value equal to a bound gets its own.
 
     Any value that makes up more than 1/64 of the rows is one of the bounds, so a
-    slice of several values is always a small part of the table.
+    slice of several values is always a small part of the table. The bound is found
+    by halving, in steps that stay within generated code.
     """
-    below = F.size(F.filter(bounds, lambda b: b < value))
-    return below * 2 + F.when(F.array_contains(bounds, value), 1).otherwise(0)
+    located = df.withColumn("_bounds", bounds.scalar()).withColumn("_at", F.lit(0))
+    step = _SLICES // 2
+    while step:
+        passed = F.get("_bounds", F.col("_at") + (step - 1)) < F.col(value)
+        located = located.withColumn("_at", F.col("_at") + F.when(passed, step).otherwise(0))
+        step //= 2
+    exact = F.when(F.get("_bounds", F.col("_at")) == F.col(value), 1).otherwise(0)
+    return located.withColumn(out, F.col("_at") * 2 + exact).drop("_bounds", "_at")
 
 
 def _bounds(df: DataFrame, value: str) -> DataFrame:
     steps = [i / _SLICES for i in range(1, _SLICES)]
-    # coalesce keeps the slice number defined when the table is empty
     found = F.array_distinct(F.percentile_approx(value, F.array(*map(F.lit, steps)), 10_000))
     return df.agg(found.alias("bounds"))
 
@@ -103,10 +109,9 @@ def full_rank(
     one and shifted by the size of the slices before them.
     """
     # NULL values rank last, as the last slice
-    part = F.coalesce(-_value_slice(F.col(value), F.col("_bounds")), F.lit(1))
+    part = F.when(F.col(value).isNotNull(), -F.col("_s")).otherwise(F.lit(1))
     chunk = F.when(F.col("_s") % 2 != 0, F.floor(F.col(tie) / tie_width)).otherwise(F.lit(0))
-    bounded = df.withColumn("_bounds", _bounds(df, value).scalar())
-    tagged = bounded.withColumn("_s", part).drop("_bounds").withColumn("_t", chunk)
+    tagged = _with_slice(df, value, _bounds(df, value), "_s").withColumn("_s", part).withColumn("_t", chunk)
     slice_keys = [group, "_s", "_t"]
     sizes = tagged.groupBy(*slice_keys).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(group).orderBy("_s", "_t").rowsBetween(Window.unboundedPreceding, -1)
@@ -146,8 +151,7 @@ def exact_quantiles(
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    bounded = counts.withColumn("_bounds", _bounds(counts, "_v").scalar())
-    tagged = bounded.withColumn("_s", _value_slice(F.col("_v"), F.col("_bounds"))).drop("_bounds")
+    tagged = _with_slice(counts, "_v", _bounds(df, value), "_s")
     sizes = tagged.groupBy(*by, "_s").agg(F.sum("_n").alias("_n"))
     earlier = Window.partitionBy(*by).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

@@ -7,6 +7,8 @@ conversations play themselves.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +17,15 @@ from ludolytics.plans import warehouse
 from ludolytics.session import scratch_path
 
 
+@lru_cache(maxsize=None)
+def _schema(path: str):
+    """Schema of a given table; these never change, so the footer is read once."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
 def _as_schema(df: DataFrame, schema) -> DataFrame:

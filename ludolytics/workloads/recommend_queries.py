@@ -34,13 +34,13 @@ def _(spark, d):
     "M02 P13",
     layered(f"""
 SELECT CAST(user_id AS VARCHAR) AS user_id, {ts('first_review_timestamp')} AS first_review_timestamp
-FROM dim_users WHERE CAST(first_review_timestamp AS DATE) {_WINDOW}"""),
+FROM dim_users WHERE CAST(first_review_timestamp AS DATE) > DATE '1995-01-31'
+  AND CAST(first_review_timestamp AS DATE) <= DATE '1996-12-31'"""),
     NULLABLE,
 )
 def _(spark, d):
-    return recommend.new_entities(
-        b.stored_models(spark, d)["dim_users"], "first_review_timestamp", TRAIN_UNTIL, VALIDATE_UNTIL
-    )
+    users = b.stored_models(spark, d)["dim_users"]
+    return recommend.new_entities(users, "first_review_timestamp", date(1995, 1, 31), date(1996, 12, 31))
 
 
 @workload(

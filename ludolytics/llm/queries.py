@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ludolytics.llm import near_dedup
+from ludolytics.llm import host_quality, near_dedup, piece_bpe, records
 from ludolytics.llm.common import table
 from ludolytics.session import configure
 
@@ -27,3 +29,62 @@ def query(name: str, sql: str | None = None):
 @query("op8_minhash_near_dedup")
 def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op7_token_records")
+def _token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = records.record_folder(spark)
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    files = records.write_records(table(spark, sf_dir, "documents"), folder, tokenizer, end_id=1)
+    return records.checksums(records.read_records(files, folder))
+
+
+@query(
+    "op9_host_quality",
+    """
+    WITH parts AS (
+        SELECT doc_id, source, coalesce(text, '') AS text,
+               list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+               list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+        FROM documents),
+    windows AS (
+        SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM parts)),
+    again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1),
+    repeated AS (
+        SELECT doc_id, count(DISTINCT i + j) AS n FROM again, (VALUES (0), (1), (2)) AS s(j) GROUP BY doc_id),
+    rules AS (
+        SELECT p.doc_id, p.source, len(words) AS n_words,
+               length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+               length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+               len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+               len(words) < 50 OR 100 * coalesce(r.n, 0) > 50 * len(words) AS base_failed
+        FROM parts p LEFT JOIN repeated r ON p.doc_id = r.doc_id),
+    hosts AS (
+        SELECT source, count(*)::DOUBLE AS n, count(*) FILTER (base_failed)::DOUBLE AS f FROM rules GROUP BY source),
+    moments AS (SELECT avg(f / n) AS m, var_pop(f / n) AS v, avg(1 / n) AS c FROM hosts),
+    prior AS (
+        SELECT m, CASE WHEN v > m * (1 - m) * c
+                       THEN least(greatest(m * (1 - m) / (v - m * (1 - m) * c) - 1, 1), 1000) ELSE 1000 END AS k
+        FROM moments),
+    verdicts AS (SELECT source, (f + k * m) / (n + k) <= 0.5 AS good FROM hosts, prior)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND good AS kept
+    FROM rules r JOIN verdicts v ON r.source IS NOT DISTINCT FROM v.source
+    """,
+)
+def _host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_quality.host_verdicts(table(spark, sf_dir, "documents")).drop("host", "host_rate")
+
+
+@query("op10_piece_bpe")
+def _piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    both = piece_bpe.decode(piece_bpe.encode(table(spark, sf_dir, "documents"), model), model)
+    listed = F.concat_ws(",", F.col("token_ids").cast("array<string>"))
+    return both.select(
+        "doc_id",
+        F.size("token_ids").cast("bigint").alias("n_tokens"),
+        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )

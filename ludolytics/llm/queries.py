@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludolytics.llm import host_quality, near_dedup, piece_bpe, records
+from ludolytics.llm import chat, decontaminate, host_quality, lang_id, near_dedup, piece_bpe, records, url_rules
 from ludolytics.llm.common import table
 from ludolytics.session import configure
 
@@ -26,9 +26,89 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("op8_minhash_near_dedup")
-def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+@query("op1_url_rules")
+def _url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fixed = [
+        url_rules.HostRule("block", "net", "/"),
+        url_rules.HostRule("allow", "example.net", "/en/"),
+        url_rules.HostRule("block", "example.com", "/de/"),
+        url_rules.HostRule("allow", "org", "/fr/"),
+    ]
+    return url_rules.judge(table(spark, sf_dir, "pages"), fixed)
+
+
+@query(
+    "op4_benchmark_decontamination",
+    r"""
+    WITH plain AS (
+        SELECT 'd' AS kind, doc_id::VARCHAR AS id, coalesce(text, '') AS text FROM documents
+        UNION ALL SELECT 'b', item_id::VARCHAR, coalesce(text, '') FROM benchmark),
+    cut AS (
+        SELECT kind, id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM plain),
+    sizes AS (SELECT DISTINCT least(10, len(words)) AS k FROM cut WHERE kind = 'b' AND len(words) > 0),
+    places AS (
+        SELECT kind, id, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM cut, sizes
+        WHERE len(words) >= k AND (kind = 'd' OR k = least(10, len(words)))),
+    windows AS (SELECT kind, id, k, i, array_to_string(list_slice(words, i, i + k - 1), ' ') AS w FROM places),
+    met AS (
+        SELECT d.id, b.id AS item, d.i, d.k FROM windows d JOIN windows b ON d.w = b.w AND d.k = b.k
+        WHERE d.kind = 'd' AND b.kind = 'b'),
+    spots AS (
+        SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(range(i, i + k)) AS p FROM met) GROUP BY id),
+    named AS (
+        SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT id, item FROM met) GROUP BY id)
+    SELECT c.id::BIGINT AS doc_id, len(c.words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM cut c LEFT JOIN spots s ON c.id = s.id LEFT JOIN named n ON c.id = n.id WHERE c.kind = 'd'
+    """,
+)
+def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.contamination(found)
+
+
+def _fold(column: str, folds: int) -> Column:
+    """crc32 of an id as text, modulo the number of folds."""
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(folds))
+
+
+@query("op5_language_id")
+def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = lang_id.fit(docs.where(_fold("doc_id", 4) != 2))
+    held_out = docs.select("doc_id", "text", (_fold("doc_id", 4) == 2).alias("held_out"))
+    return lang_id.predict(held_out, model).withColumn("held_out", _fold("doc_id", 4) == 2)
+
+
+@query(
+    "op6_chat_format",
+    """
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    shown AS (
+        SELECT *, CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 ELSE 2 * length(role) + 9 END
+                  + length(text)
+                  + CASE WHEN regexp_matches(text, '\\\\|\\[/?INST\\]|</?s>|<<|>>') OR (role <> 'user' AND suffix(text, '<'))
+                         THEN length(text) - length(regexp_replace(text, '[\\\\\\[<>]', '', 'g')) ELSE 0 END AS chars
+        FROM turns)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(chars)::BIGINT AS formatted_chars
+    FROM shown GROUP BY conv_id
+    """,
+)
+def _chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    own = spark.range(2).selectExpr("-1L AS conv_id", "id AS turn", "IF(id = 0, 'user', 'assistant') AS role")
+    turns = turns.unionByName(own.withColumn("text", F.lit(text)))
+    return chat.read_conversations(chat.format_conversations(turns))
 
 
 @query("op7_token_records")
@@ -39,9 +119,14 @@ def _token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.checksums(records.read_records(files, folder))
 
 
+@query("op8_minhash_near_dedup")
+def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op9_host_quality",
-    """
+    r"""
     WITH parts AS (
         SELECT doc_id, source, coalesce(text, '') AS text,
                list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,

@@ -1,27 +1,69 @@
-"""A corpus pipeline over ``documents``: each stage's rows are written as Parquet and read back for the next."""
+"""A corpus pipeline over ``documents``: each stage's rows are written as Parquet and read back for the next.
+
+Every stage takes (spark, docs, sf_dir), works on all rows that it gets, and all but the last give the columns of
+``documents``; n_chars follows the text where a stage changes it.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ludolytics.llm import near_dedup
-from ludolytics.llm.common import stored
+from ludolytics.llm import decontaminate, line_dedup, near_dedup, piece_bpe, toxicity
+from ludolytics.llm.common import stored, table
 from ludolytics.session import configure
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression distance calls toxic go; it is learnt from those of them that are labelled."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    judged = toxicity.score(docs, model, keep=tuple(c for c in docs.columns if c != "doc_id"))
+    return judged.where("predicted = 0").select(docs.columns)
+
+
+def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated runs of lines are cut out of the texts; every document stays."""
+    cut = line_dedup.without_repeats(docs).select(docs.columns)
+    return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one of the least doc_id."""
     judged = near_dedup.near_duplicates(docs)
     return docs.join(judged.where("NOT kept").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
 
 
-STAGES = [("near copies", drop_near_copies)]
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    found = decontaminate.find_benchmark(docs, table(spark, sf_dir, "benchmark"), keep=others)
+    return found.where("size(hits) = 0").select(docs.columns)
+
+
+def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, token_ids, decoded) of what is left."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    both = piece_bpe.decode(piece_bpe.encode(docs, model), model)
+    return both.select("doc_id", F.size("token_ids").cast("bigint").alias("n_tokens"), "token_ids", "decoded")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", cut_repeated_lines),
+    ("near copies", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("piece encoding and decoding", encode_and_decode),
+]
+
+#: The first stage is a trained model, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage; the rows between stages are written to the shared folder."""
     configure(spark)
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def held_by_worker(key: tuple, build: Callable[[], object]) -> object:
+    """An object that a Python worker builds once and keeps for its later tasks (a tokenizer with its memory of words).
+
+    Only for what gives the same results whether it is kept or built anew.
+    """
+    held = sys.modules.setdefault("ludolytics_held_by_worker", types.ModuleType("ludolytics_held_by_worker"))
+    if not hasattr(held, "objects"):
+        held.objects = {}
+    if key not in held.objects:
+        held.objects[key] = build()
+    return held.objects[key]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection on 64 bits that spreads every input bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

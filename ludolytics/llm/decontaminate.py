@@ -108,11 +108,9 @@ class WindowIndex:
         return np.cumsum(edges[:-1]) > 0, found
 
 
-_FOUND = "n_words bigint, hits array<struct<start:bigint,end:bigint>>, items array<string>"
-
-
-def _search(docs: DataFrame, index: WindowIndex, kind: str) -> DataFrame:
-    """Adds what ``index`` finds to (doc_id, text, n_words, hits, items)."""
+def _search(docs: DataFrame, index: WindowIndex) -> DataFrame:
+    """Adds what ``index`` finds to (doc_id, text, n_words, hits, items, ...)."""
+    names = docs.columns
     ranges = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,10 +129,10 @@ def _search(docs: DataFrame, index: WindowIndex, kind: str) -> DataFrame:
                     hits[t] = [{"start": a, "end": b} for a, b in change.reshape(-1, 2).tolist()]
                     items[t] = sorted({*items[t], *(index.items[k] for k in numbers if k >= 0)})
                 columns = [rows.column(0), rows.column(1), pa.array(np.diff(text_offsets), pa.int64())]
-                columns += [pa.array(hits, ranges), pa.array(items, pa.list_(pa.string()))]
-                yield pa.record_batch(columns, names=["doc_id", "text", "n_words", "hits", "items"])
+                columns += [pa.array(hits, ranges), pa.array(items, pa.list_(pa.string())), *rows.columns[5:]]
+                yield pa.record_batch(columns, names=names)
 
-    return docs.mapInArrow(run, f"doc_id {kind}, text string, {_FOUND}")
+    return docs.mapInArrow(run, docs.schema)
 
 
 def find_benchmark(
@@ -144,32 +142,35 @@ def find_benchmark(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, text, n_words, hits, items), one row per row of ``docs``.
+    """(doc_id, text, n_words, hits, items), one row per row of ``docs``, and then the columns that ``keep`` names.
 
     hits are the ranges of words (from, to) inside occurrences of windows, items the ids (as sorted strings) of the
     benchmark rows with such windows. NULL and empty texts have no words. An item without text has no window; the
     windows of one without id count as hits, but it is not listed; rows that share an item id are one item. Rows that
     repeat a doc_id are searched each by itself. An empty benchmark hits nothing. Other columns are not read.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("body"))
     items = items.where("body IS NOT NULL")
     chars = items.agg(F.sum(F.length("body"))).first()[0] or 0
     blocks = max(1, -(-chars // BLOCK_CHARS))
+    kept = [f"kept_{k}" for k in range(len(keep))]
     state = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(text_col).alias("text"),
         F.lit(0).cast("bigint").alias("n_words"),
-        F.lit(None).cast("array<struct<start:bigint,end:bigint>>").alias("hits"),
-        F.lit(None).cast("array<string>").alias("items"),
-    ).withColumns({"hits": F.expr("coalesce(hits, array())"), "items": F.expr("coalesce(items, array())")})
+        F.lit([]).cast("array<struct<start:bigint,end:bigint>>").alias("hits"),
+        F.lit([]).cast("array<string>").alias("items"),
+        *(F.col(f"`{c}`").alias(name) for c, name in zip(keep, kept)),
+    )
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == k) if blocks > 1 else items
-        state = _search(state, WindowIndex([tuple(r) for r in block.collect()]), kind)
+        state = _search(state, WindowIndex([tuple(r) for r in block.collect()]))
         if k + 1 < blocks:
             state = stored(state, "searched")
-    return state
+    own = ["doc_id", "text", "n_words", "hits", "items"]
+    return state.select(*own, *(F.col(name).alias(c) for c, name in zip(keep, kept)))
 
 
 def contamination(found: DataFrame) -> DataFrame:

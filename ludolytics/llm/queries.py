@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludolytics.llm import chat, decontaminate, host_quality, lang_id, near_dedup, piece_bpe, records, url_rules
+from ludolytics.llm import (
+    chat,
+    decontaminate,
+    host_quality,
+    lang_id,
+    line_dedup,
+    near_dedup,
+    piece_bpe,
+    records,
+    toxicity,
+    url_rules,
+)
 from ludolytics.llm.common import table
 from ludolytics.session import configure
 
@@ -26,6 +37,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def _fold(column: str, folds: int) -> Column:
+    """crc32 of an id as text, modulo the number of folds."""
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(folds))
+
+
 @query("op1_url_rules")
 def _url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixed = [
@@ -37,6 +53,55 @@ def _url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), fixed)
 
 
+@query("op2_toxicity")
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(_fold("doc_id", 5) != 0))
+    return toxicity.score(docs, model).withColumn("held_out", _fold("doc_id", 5) == 0)
+
+
+@query(
+    "op3_line_dedup",
+    r"""
+    WITH cut AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\n]*?[^\n]\. |[^\n]*\n|[^\n]+') AS pieces FROM documents),
+    piece AS (
+        SELECT doc_id, unnest(range(1, len(pieces) + 1)) AS number, unnest(pieces) AS piece,
+               regexp_replace(unnest(pieces), '[\x20\x09-\x0D]+$', '') AS bare
+        FROM cut),
+    line AS (
+        SELECT doc_id, number, bare, row_number() OVER (PARTITION BY doc_id ORDER BY number) AS place FROM piece
+        WHERE bare <> ''),
+    body AS (SELECT doc_id, list(bare ORDER BY place) AS lines FROM line GROUP BY doc_id),
+    spot AS (SELECT doc_id, lines, unnest(range(1, len(lines) - least(3, len(lines)) + 2)) AS place FROM body),
+    windows AS (
+        SELECT doc_id, place, array_to_string(list_slice(lines, place, place + 2), chr(1)) AS w FROM spot
+        WHERE length(array_to_string(list_slice(lines, place, place + 2), '')) >= 60),
+    later AS (
+        SELECT doc_id, place FROM windows
+        QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, place) > 1),
+    gone AS (
+        SELECT DISTINCT l.doc_id, l.number FROM later r JOIN line l
+        ON l.doc_id = r.doc_id AND l.place BETWEEN r.place AND r.place + 2),
+    kept AS (
+        SELECT p.doc_id, string_agg(p.piece, '' ORDER BY p.number) FILTER (g.number IS NULL) AS text,
+               count(g.number) AS removed_lines
+        FROM piece p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.number = p.number GROUP BY p.doc_id)
+    SELECT d.doc_id, coalesce(removed_lines, 0) AS removed_lines, length(coalesce(k.text, '')) AS kept_chars,
+           sha256(coalesce(k.text, '')) AS kept_sha256
+    FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+    """,
+)
+def _line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return line_dedup.without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "removed_lines",
+        F.length(text).cast("bigint").alias("kept_chars"),
+        F.sha2(text.cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 @query(
     "op4_benchmark_decontamination",
     r"""
@@ -70,11 +135,6 @@ def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(found)
 
 
-def _fold(column: str, folds: int) -> Column:
-    """crc32 of an id as text, modulo the number of folds."""
-    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(folds))
-
-
 @query("op5_language_id")
 def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

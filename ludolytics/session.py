@@ -44,11 +44,15 @@ _local_roots: dict[str, str] = {}
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a temporary folder.
+    Only a ``local`` session, whose executor is the driver, may leave it unset and gets a temporary folder. On a
+    cluster such a folder would be another one on every machine, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="ludolytics-")

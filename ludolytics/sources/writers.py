@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
+from pyarrow.fs import FileSystem
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,10 +77,11 @@ def _stored_schema(spark: SparkSession, path: str, merge: bool) -> T.StructType
         raise
 
 
-def _drop_partitions(spark: SparkSession, path: str, column: str, values: list) -> None:
-    files = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for value in values:
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}"), True)
+def _drop_folders(folders: list[str]) -> None:
+    """Delete partition folders, named as Spark's scans name their files; a folder that is not there is an error."""
+    for folder in folders:
+        files, path = FileSystem.from_uri(folder)
+        files.delete_dir(path)
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -96,14 +98,17 @@ def staged(df: DataFrame) -> DataFrame:
 
 def _replace_stored(current: DataFrame, keys: DataFrame, key: str, part: str, path: str) -> None:
     """Remove the stored rows with one of ``keys``, rewriting only their partitions."""
-    losing = staged(current.join(keys, key, "left_semi").select(part).distinct())
+    # partitions by their folders: a NULL or escaped value has another name there than in the rows
+    placed = current.withColumn("_folder", F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1))
+    losing = staged(placed.join(keys, key, "left_semi").select("_folder").distinct())
     if losing.isEmpty():
         return
-    kept = staged(current.join(losing, part, "left_semi").join(keys, key, "left_anti"))
-    _overwrite_partitions(kept, path, part)
+    kept = placed.join(losing, "_folder", "left_semi").join(keys, key, "left_anti")
+    kept = staged(kept)
+    _overwrite_partitions(kept.drop("_folder"), path, part)
     # one value per stored partition that has no row left
-    emptied = losing.join(kept.select(part), part, "left_anti").collect()
-    _drop_partitions(current.sparkSession, path, part, [row[0] for row in emptied])
+    emptied = losing.join(kept.select("_folder"), "_folder", "left_anti").collect()
+    _drop_folders([row[0] for row in emptied])
 
 
 def replace_batch(batch: DataFrame, path: str, key: str, batch_no: int) -> None:

@@ -239,7 +239,7 @@ SELECT * FROM {source} QUALIFY row_number() OVER (
     "S11 S12",
     layered(
         f"""
-SELECT {FACT_SELECT}, 'first' AS loaded FROM first_load WHERE review_id NOT IN (SELECT review_id FROM second_load)
+SELECT {FACT_SELECT}, 'first' AS loaded FROM first_load ANTI JOIN second_load USING (review_id)
 UNION ALL
 SELECT {FACT_SELECT}, 'second' AS loaded FROM second_load""",
         f"{_YEARS}, first_load AS ({_one_per_review('old')}), second_load AS ({_one_per_review('later')})",
@@ -259,6 +259,28 @@ def _(spark, d):
     return stored.withColumn("loaded", F.coalesce("loaded", F.lit("first")))
 
 
+@workload(
+    "incremental_append_null_mark",
+    "S11 S12",
+    """
+SELECT o_orderkey AS review_id, CASE WHEN o_orderkey % 3 = 0 THEN 'second' ELSE 'first' END AS v,
+       CASE WHEN o_orderkey % 3 = 0 THEN '2 o''clock: late=1' WHEN o_orderkey % 5 > 0 THEN '1 o''clock: ' || o_orderkey % 5
+            END AS mark
+FROM orders""",
+)
+def _(spark, d):
+    # stored rows have marks that are NULL or hold signs that folder names escape
+    orders = b.table(spark, d, "orders").select(F.col("o_orderkey").alias("review_id"))
+    part = F.col("review_id") % 5
+    mark = F.when(part > 0, F.concat(F.lit("1 o'clock: "), part.cast("string")))
+    path = scratch_path(spark, "marks")
+    writers.incremental_append(orders.withColumns({"v": F.lit("first"), "mark": mark}), path, mark="mark")
+    again = orders.where("review_id % 3 = 0")
+    newer = again.withColumns({"v": F.lit("second"), "mark": F.lit("2 o'clock: late=1")})
+    writers.incremental_append(newer, path, mark="mark")
+    return spark.read.schema(newer.schema).parquet(path)
+
+
 @workload(
     "streaming_ingest",
     "Z01 Z02 I13 I15 S16",

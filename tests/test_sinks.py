@@ -37,6 +37,30 @@ def test_incremental_load_replaces_by_key(spark, tmp_path):
     assert stored(spark, path) == [(1, "a2", D[2]), (2, "b", D[0]), (3, "c2", D[2])]
 
 
+def test_incremental_load_replaces_rows_with_null_or_escaped_marks(spark, tmp_path):
+    path, columns = str(tmp_path / "t a"), "review_id long, v string, scrape_date string"
+    old = batch(spark, (1, "a", None), (2, "b", "2024-01-01 00:00:00"), (3, "c", "x=1%/y"), (4, "d", None), columns=columns)
+    writers.incremental_append(old, path)
+    writers.incremental_append(batch(spark, *((k, "new", "z:1") for k in (1, 2, 3)), columns=columns), path)
+    assert stored(spark, path) == [(1, "new", "z:1"), (2, "new", "z:1"), (3, "new", "z:1"), (4, "d", None)]
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from ludolytics.session import shared_root
+
+    def session(master, folder=None):
+        context = SimpleNamespace(master=master, applicationId=master)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: folder), sparkContext=context)
+
+    for master in ("yarn", "spark://host:1", "k8s://host", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_root(session(master))
+        assert shared_root(session(master, "s3a://shared")) == "s3a://shared"
+    assert shared_root(session("local[4]"))
+
+
 def test_untouched_partitions_are_not_rewritten(spark, tmp_path):
     path = tmp_path / "t"
     writers.incremental_append(batch(spark, (1, "a", D[0]), (2, "b", D[1])), str(path))

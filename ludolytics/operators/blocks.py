@@ -27,10 +27,16 @@ def _unit_rows(matrix: np.ndarray) -> np.ndarray:
 
 
 def pack(
-    df: DataFrame, ids: Sequence[str], vector: str, group: Sequence[str] = (), rows: int = BLOCK_ROWS
+    df: DataFrame,
+    ids: Sequence[str],
+    vector: str,
+    group: Sequence[str] = (),
+    rows: int = BLOCK_ROWS,
+    unit: bool = True,
 ) -> DataFrame:
-    """Blocks of at most ``rows`` unit vectors: group columns, ``ids``, ``matrix``.
+    """Blocks of at most ``rows`` vectors: group columns, ``ids``, ``matrix``.
 
+    The vectors are scaled to length one, or stored as they are without ``unit``.
     ``ids`` holds one struct per row, ``matrix`` the vectors row by row as float64
     bytes. Rows whose vector is NULL are left out.
     """
@@ -51,7 +57,8 @@ def pack(
             for key, part in parts:
                 for start in range(0, len(part), rows):
                     piece = part.iloc[start : start + rows]
-                    matrix = _unit_rows(np.stack(piece["_vec"].to_numpy()).astype(np.float64))
+                    matrix = np.stack(piece["_vec"].to_numpy()).astype(np.float64)
+                    matrix = _unit_rows(matrix) if unit else matrix
                     out.append([*key, piece["_id"].tolist(), matrix.tobytes()])
             yield pd.DataFrame(out, columns=schema.names)
 
@@ -61,6 +68,23 @@ def pack(
     return narrow.mapInPandas(blocks, schema)
 
 
+def unpack(blocks: DataFrame, vector: str = "embedding") -> DataFrame:
+    """The rows of blocks again: group columns, id columns and the vector (array<double>)."""
+    group = [f for f in blocks.schema if f.name not in ("ids", "matrix")]
+    ids = blocks.schema["ids"].dataType.elementType.fields
+    schema = T.StructType([*group, *ids, T.StructField(vector, T.ArrayType(T.DoubleType()))])
+
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                matrix = np.frombuffer(row.matrix).reshape(len(row.ids), -1)
+                own = [getattr(row, f.name) for f in group]
+                lines = [[*own, *(i[f.name] for f in ids), v.tolist()] for i, v in zip(row.ids, matrix)]
+                yield pd.DataFrame(lines, columns=schema.names)
+
+    return blocks.mapInPandas(rows, schema)
+
+
 def meet(
     left: DataFrame,
     right: DataFrame,
@@ -184,7 +208,8 @@ def best_similarity(met: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         for frame in frames:
             for row in frame.itertuples(index=False):
                 left, right = _matrices(row)
-                best = np.where(np.isnan(left @ right.T), -np.inf, left @ right.T).max(axis=1)
+                sims = left @ right.T
+                best = np.where(np.isnan(sims), -np.inf, sims).max(axis=1)
                 yield pd.DataFrame(
                     [
                         [

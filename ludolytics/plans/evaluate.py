@@ -119,10 +119,12 @@ def run_experiment(
 ) -> DataFrame:
     """Popularity baseline on a sampled train and eval split: one row per split.
 
-    The ranking is fitted on all months: a row only ever looks at the month before.
+    The ranking is fitted on all months: a row only ever looks at the month before. Rows are drawn first; a drawn row
+    without any future game has no metric and is left out of the averages and the count.
     """
     top = topk_by_month(game_features, k)
     train, test = split_and_sample(user_features, boundary, train_size, test_size, seed, strict)
     both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("eval")))
+    both = both.where(F.size("future_game_ids") > 0)
     scored = row_metrics(predict_popular(both, top), "future_game_ids", "predictions", ks)
     return summarize(scored, ks, ["split"])

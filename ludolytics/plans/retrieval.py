@@ -75,8 +75,8 @@ def chunk_set_similarity(
 
 
 def vectors_by_group(df: DataFrame, group: str, ids: Sequence[str], vector: str) -> DataFrame:
-    """The vectors of each group packed into matrix blocks (several rows per group)."""
-    return pack(df, ids, vector, [group])
+    """The vectors of each group as they are, packed into matrix blocks (several rows per group)."""
+    return pack(df, ids, vector, [group], unit=False)
 
 
 # ---------------------------------------------------------------- vector search
@@ -243,15 +243,19 @@ PREFERENCE_KEYS = [
 def fold_preferences(turns: DataFrame) -> DataFrame:
     """(session_id, preferences, status): the latest value per key of each session.
 
-    Takes (session_id, turn, key, value). A key sent with NULL clears the value; a
-    session that never sent a status is GATHERING.
+    Takes (session_id, turn, key, value); of two values of one turn the larger counts, and NULL least. A key sent with
+    NULL clears the value; other keys are ignored. A session that never sent a status, or nothing but other keys, is
+    GATHERING.
     """
-    known = turns.where(F.col("key").isin(PREFERENCE_KEYS))
-    latest = known.groupBy("session_id", "key").agg(F.max_by("value", "turn").alias("value"))
+    known = turns.withColumn("key", F.when(F.col("key").isin(PREFERENCE_KEYS), F.col("key")))
+    order = F.struct("turn", F.col("value").isNotNull(), "value")
+    latest = known.groupBy("session_id", "key").agg(F.max_by("value", order).alias("value"))
+    entry = F.when(F.col("key").isNotNull(), F.struct("key", "value"))
     folded = latest.groupBy("session_id").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "value")))).alias("preferences")
+        F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("preferences")
     )
-    return folded.withColumn("status", F.coalesce(F.col("preferences")["status"], F.lit("GATHERING")))
+    status = F.try_element_at("preferences", F.lit("status"))
+    return folded.withColumn("status", F.coalesce(status, F.lit("GATHERING")))
 
 
 def ready_sessions(folded: DataFrame) -> DataFrame:

@@ -432,7 +432,7 @@ def _(spark, d):
     root = scratch_path(spark, "experiment")
     paths = {name: f"{root}/{name}" for name in ("metrics", "game", "user", "reviews")}
     features.backfill(spark, m["fact_reviews"], m["dim_games"], FIRST, THIRD, paths)
-    users = spark.read.parquet(paths["user"]).where(F.size("future_game_ids") > 0)
+    users = spark.read.parquet(paths["user"])
     metrics = spark.read.parquet(paths["metrics"])
     return _round_all(
         evaluate.run_experiment(metrics, users, date.fromisoformat(SECOND), train_size=200, test_size=100, ks=KS)

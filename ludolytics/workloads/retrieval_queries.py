@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ludolytics.functions import text as T
 from ludolytics.functions.vectors import cosine_distance, has_size
+from ludolytics.operators.blocks import unpack
 from ludolytics.plans import retrieval
 from ludolytics.workloads import bindings as b
 from ludolytics.workloads.oracle import layered
@@ -133,13 +134,14 @@ def _(spark, d):
 @workload(
     "vectors_by_group",
     "G18",
-    "SELECT label, count(*) AS vectors, count(*) * 64 * 8 AS bytes FROM embeddings GROUP BY label",
+    """
+SELECT label, vec_id, CAST(unnest(range(1, 65)) AS INTEGER) AS place, unnest(embedding)::DOUBLE AS component
+FROM embeddings""",
 )
 def _(spark, d):
-    blocks = retrieval.vectors_by_group(b.table(spark, d, "embeddings"), "label", ["vec_id"], "embedding")
-    return blocks.groupBy("label").agg(
-        F.sum(F.size("ids")).alias("vectors"), F.sum(F.octet_length("matrix")).alias("bytes")
-    )
+    stored = retrieval.vectors_by_group(b.table(spark, d, "embeddings"), "label", ["vec_id"], "embedding")
+    rows = unpack(stored).select("label", "vec_id", F.posexplode("embedding").alias("place", "component"))
+    return rows.withColumn("place", F.col("place") + 1)
 
 
 _SEARCHES = {

@@ -181,6 +181,7 @@ def test_preferences_fold_to_the_latest_value(spark):
             ("s", 1, "genres", "RPG"), ("s", 2, "genres", "Indie"), ("s", 3, "developers", "x"),
             ("s", 4, "developers", None), ("s", 5, "status", "READY"), ("s", 5, "mood", "good"),
             ("t", 1, "status", "READY"), ("t", 2, "status", "GATHERING"), ("u", 1, "genres", "RPG"),
+            ("v", 1, "mood", "good"), ("w", 1, "genres", "a"), ("w", 1, "genres", "b"), ("w", 1, "genres", None),
         ],
         "session_id string, turn int, key string, value string",
     )
@@ -189,6 +190,8 @@ def test_preferences_fold_to_the_latest_value(spark):
         "s": ({"genres": "Indie", "developers": None, "status": "READY"}, "READY"),
         "t": ({"status": "GATHERING"}, "GATHERING"),
         "u": ({"genres": "RPG"}, "GATHERING"),
+        "v": ({}, "GATHERING"),
+        "w": ({"genres": "b"}, "GATHERING"),
     }
     assert rows(r.ready_sessions(folded), "session_id") == [("s",)]
 

@@ -8,6 +8,7 @@ asks for. A hot group is many blocks, spread over shards, never one task.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -159,10 +160,11 @@ def similarity_rows(met: DataFrame) -> DataFrame:
 
 
 def best_matches(met: DataFrame, k: int, keep: Sequence[str] = ()) -> DataFrame:
-    """For each left row of a block pair its ``k`` most similar right rows.
+    """For each left row the ``k`` most similar right rows among the block pairs of a task.
 
-    ``keep`` names left columns to pass on. Take the top ``k`` over all pairs of a
-    left row to finish. A vector without direction yields a NULL similarity.
+    ``keep`` names left columns to pass on. A task holds the best rows found so far and emits them once, so at most
+    ``k`` rows per left row leave it, however many right blocks it meets. Take the top ``k`` over all rows of a left row
+    to finish; ties go by the first right id. A vector without direction yields a NULL similarity.
     """
     keep = list(keep)
     kept_fields = [met.schema[c] for c in keep]
@@ -170,28 +172,37 @@ def best_matches(met: DataFrame, k: int, keep: Sequence[str] = ()) -> DataFrame:
     schema = T.StructType(
         [*kept_fields, *left_fields, *right_fields, T.StructField("similarity", T.DoubleType())]
     )
+    first = right_fields[0].name
 
     def kernel(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # per left block: what to emit with each row, its best (-similarity, id, right row), and the k-th of these
+        found: dict = {}
         for frame in frames:
             for row in frame.itertuples(index=False):
                 left, right = _matrices(row)
                 sims = left @ right.T
-                # id order breaks ties, also where a tie straddles the k-th place
-                right_keys = np.array([i[right_fields[0].name] for i in row.right_ids])
-                ranked = np.where(np.isnan(sims), -np.inf, sims)
-                out = []
-                for n, owner in enumerate(row.left_ids):
-                    for j in np.lexsort((right_keys, -ranked[n]))[:k]:
-                        value = sims[n, j]
-                        out.append(
-                            [
-                                *[getattr(row, c) for c in keep],
-                                *[owner[f.name] for f in left_fields],
-                                *[row.right_ids[j][f.name] for f in right_fields],
-                                None if np.isnan(value) else float(value),
-                            ]
-                        )
-                yield pd.DataFrame(out, columns=schema.names)
+                cost = np.where(np.isnan(sims), np.inf, -sims)
+                kept = [getattr(row, c) for c in keep]
+                owners = [[*kept, *(i[f.name] for f in left_fields)] for i in row.left_ids]
+                block = (repr(owners[0]), repr(owners[-1]), hashlib.blake2b(row.left_matrix).digest())
+                if block not in found:
+                    found[block] = (owners, [[] for _ in owners], np.full(len(owners), np.inf))
+                _, best, worst = found[block]
+                # an equal one may still win by its id
+                limit = np.minimum(worst, np.partition(cost, min(k, cost.shape[1]) - 1, axis=1)[:, min(k, cost.shape[1]) - 1])
+                for n in np.flatnonzero((cost <= limit[:, None]).any(axis=1)):
+                    new = [(cost[n, j], row.right_ids[j][first], row.right_ids[j]) for j in np.flatnonzero(cost[n] <= limit[n])]
+                    best[n] = sorted(best[n] + new, key=lambda t: t[:2])[:k]
+                    if len(best[n]) == k:
+                        worst[n] = best[n][-1][0]
+        for owners, best, _ in found.values():
+            rows = [
+                [*owner, *(i[f.name] for f in right_fields), None if np.isinf(c) else float(-c)]
+                for owner, hits in zip(owners, best)
+                for c, _, i in hits
+            ]
+            if rows:
+                yield pd.DataFrame(rows, columns=schema.names)
 
     return met.mapInPandas(kernel, schema)
 

@@ -131,14 +131,20 @@ def histogram(df: DataFrame, column: str, bins: int = 20, log: bool = False) ->
     )
 
 
-def kernel_density(df: DataFrame, column: str, grid: int = 200, bins: int = 1024) -> DataFrame:
+def kernel_density(
+    df: DataFrame, column: str, grid: int = 200, bins: int = 1024, log: bool = False
+) -> DataFrame:
     """(x, density): Gaussian kernel density on an even grid over the data range.
 
-    Bandwidth by Scott's rule. Values are first counted in fine bins, whose centres
+    With ``log`` grid and density are those of the decimal logarithms, values <= 0 are left out, and x is the value
+    itself. Bandwidth by Scott's rule. Values are first counted in fine bins, whose centres
     stand for them; each bin then adds its share to every grid point. The work after
     the scan depends on ``bins`` and ``grid`` only.
     """
-    kept = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("_x"))
+    x = F.col(column).cast("double")
+    kept = df.where(F.col(column) > 0).select(F.log10(x).alias("_x")) if log else (
+        df.where(F.col(column).isNotNull()).select(x.alias("_x"))
+    )
     stats = kept.agg(
         F.struct(
             F.min("_x").alias("lo"),
@@ -158,7 +164,8 @@ def kernel_density(df: DataFrame, column: str, grid: int = 200, bins: int = 1024
     z = F.try_divide(F.col("x") - centre, bandwidth)
     scale = stats["n"] * bandwidth * math.sqrt(2 * math.pi)
     share = F.try_divide(F.col("_w") * F.exp(-z * z / 2), scale)
-    return points.groupBy("_g").agg(F.first("x").alias("x"), F.sum(share).alias("density")).select("x", "density")
+    density = points.groupBy("_g").agg(F.first("x").alias("x"), F.sum(share).alias("density"))
+    return density.select((F.pow(F.lit(10.0), "x") if log else F.col("x")).alias("x"), "density")
 
 
 # fixed values: the popularity bands and the quantile that closes each

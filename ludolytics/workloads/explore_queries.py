@@ -194,6 +194,24 @@ def _(spark, d):
     return density.select(F.round("x", 3).alias("x"), F.round(F.col("density") * 1e6, 6).alias("density"))
 
 
+@workload(
+    "kernel_density_log",
+    "G16",
+    """
+WITH v AS (SELECT log10(o_totalprice) AS x FROM orders WHERE o_totalprice > 0),
+s AS (SELECT min(x) AS lo, max(x) AS hi, stddev_samp(x) AS sd, count(*) AS n FROM v),
+bins AS (SELECT least(floor((x - lo) / ((hi - lo) / 1024)), 1023) AS b, count(*) AS w FROM v, s GROUP BY 1),
+points AS (SELECT g, lo + g * (hi - lo) / 199 AS x, w, (lo + (b + 0.5) * (hi - lo) / 1024) AS c,
+                  sd * pow(n, -0.2) AS h, n
+           FROM bins, s, (SELECT unnest(range(0, 200)) AS g))
+SELECT round(pow(10, any_value(x)), 3) AS x, round(sum(w * exp(-pow((x - c) / h, 2) / 2) / (n * h * sqrt(2 * pi()))), 6) AS density
+FROM points GROUP BY g""",
+)
+def _(spark, d):
+    density = explore.kernel_density(b.table(spark, d, "orders"), "o_totalprice", log=True)
+    return density.select(F.round("x", 3).alias("x"), F.round("density", 6).alias("density"))
+
+
 _BANDS = f"""
 q AS (SELECT {_nearest('game_num_reviews', 0.5)} AS q50, {_nearest('game_num_reviews', 0.75)} AS q75,
              {_nearest('game_num_reviews', 0.95)} AS q95 FROM latest)"""

@@ -10,7 +10,7 @@ from ludolytics.plans import features, ingest, quality, warehouse
 from ludolytics.session import scratch_path
 from ludolytics.sources import readers, writers
 from ludolytics.streaming.ingest import read_ingested, run_ingest, stream_reviews
-from ludolytics.vocabulary import GENRES, REVIEW_SCORE_DESCRIPTIONS
+from ludolytics.vocabulary import CATEGORIES, GENRES, REVIEW_SCORE_DESCRIPTIONS
 from ludolytics.workloads import bindings as b
 from ludolytics.workloads.oracle import FACT_SELECT, GAME_SELECT, NULLABLE, day, items, layered, ts
 from ludolytics.workloads.registry import workload
@@ -471,3 +471,13 @@ def _(spark, d):
     return quality.accepted_values(b.raw_games(spark, d), "genres", vocabulary)
 
 
+@workload(
+    "unaccepted_categories",
+    "V05",
+    layered(f"""
+SELECT value, count(*) AS failures FROM (SELECT unnest(categories) AS value FROM raw_games)
+WHERE value NOT IN ({_quoted(CATEGORIES)}) GROUP BY 1"""),
+)
+def _(spark, d):
+    vocabulary = spark.createDataFrame([(c,) for c in CATEGORIES], "category string")
+    return quality.accepted_values(b.raw_games(spark, d), "categories", vocabulary)

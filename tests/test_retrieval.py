@@ -205,3 +205,17 @@ def test_embedding_tables(spark):
     assert sorted(len(x.embedding) for x in r.profile_embeddings(dim, size=16).collect()) == [16, 16]
     chunks = r.chunk_embeddings(dim, vector_size=16)
     assert rows(chunks, "game_id", "chunk_id") == [(1, 0), (1, 1)]
+
+
+def test_blocks_keep_vectors_as_they_are(spark):
+    df = spark.createDataFrame([(1, 7, [3.0, 4.0]), (1, 8, [0.0, 0.0]), (2, 9, [1.0, 2.0])], "g int, i int, v array<double>")
+    back = blocks.unpack(r.vectors_by_group(df, "g", ["i"], "v"), "v")
+    assert rows(back) == [(1, 7, [3.0, 4.0]), (1, 8, [0.0, 0.0]), (2, 9, [1.0, 2.0])]
+
+
+def test_kernel_emits_k_rows_per_left_row_and_task(spark):
+    right = spark.range(2000).selectExpr("id", "array(cos(id), sin(id), CAST(id % 3 AS double)) AS v").coalesce(1)
+    left = spark.range(5).selectExpr("id AS q", "array(cos(id), sin(id), 1D) AS v")
+    met = blocks.meet(blocks.pack(left, ["q"], "v"), blocks.pack(right, ["id"], "v", rows=50))
+    found = blocks.best_matches(met, 3)
+    assert found.count() <= 5 * 3 * met.rdd.getNumPartitions()

@@ -6,10 +6,12 @@ each bin keeps its least hash; an empty bin borrows from a full bin that a fixed
 densification). ROWS bins make one of BANDS bucket keys. Two sets of similarity 0.75 miss all 32 buckets of four bins
 with a chance of 5e-6, of 0.8 with 5e-8.
 
-Documents of equal sets are one class. In each bucket the classes are linked to a centre only (a star), links are
-confirmed on the full sets, and the confirmed links are contracted to components. A bucket whose members are not yet
-one component gives its next stars: a centre that has met all members of other components leaves the bucket. So the
-rows of a round stay in proportion to the members, and no link of a bucket is lost.
+Documents of equal sets are one class. In each bucket the classes are compared with a centre only (a star; the centre
+is the class that shares most buckets with others), on the full sets, and the links are contracted to components. What
+a star leaves open is whether two of its members of different components are linked. Each member is described by the
+shingles of its centre that it holds (a bitmap) and the number of its other shingles that a member of the star shares;
+these bound the similarity of any two members closely. Only pairs that the bound does not rule out become rows, and are
+decided on the full sets. So no link between two documents of a bucket is lost, and no group is expanded into its pairs.
 """
 
 from __future__ import annotations
@@ -138,39 +140,68 @@ def components(edges: DataFrame) -> DataFrame:
         pairs = stored(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "links")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar enough, as (u, v)."""
-    ours = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("b_set"))
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) pairs with the full sets of both."""
+    other = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("b_set"))
     centre = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("a_set"))
+    return pairs.join(other, "b").join(centre, "a")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, linked) of each pair, decided on the full sets."""
     common = F.size(F.array_intersect("a_set", "b_set"))
     union = F.size("a_set") + F.size("b_set") - common
-    both = pairs.join(ours, "b").join(centre, "a")
-    return both.where(100 * common >= THRESHOLD * union).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    return _with_sets(pairs, sets).select("a", "b", (100 * common >= THRESHOLD * union).alias("linked"))
 
 
-def _stars(members: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-    """(centres to remove, candidate pairs) of the open buckets.
+def _against_centre(rows: DataFrame) -> DataFrame:
+    """Adds to (a, b, comp, stray, b_set, a_set): size, bits (which of a's shingles b holds) and outside (its others)."""
 
-    The first turn has one centre a bucket, the least id. Later turns have up to 2**turn: the members of the bucket's
-    smallest component if they are that few, and else members drawn by a hash.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, bits, outside = [], [], []
+            for k in range(batch.num_rows):
+                ours = batch.column("a_set")[k].values.to_numpy()
+                theirs = batch.column("b_set")[k].values.to_numpy()
+                packed = np.packbits(np.isin(ours, theirs))
+                sizes.append(len(theirs))
+                bits.append(np.pad(packed, (0, -len(packed) % 8)).view(np.int64))
+                outside.append(np.setdiff1d(theirs, ours))
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (bits, outside)]
+            columns = [batch.column(k) for k in range(4)] + [pa.array(sizes, pa.int64()), *lists]
+            yield pa.record_batch(columns, names=["a", "b", "comp", "stray", "size", "bits", "outside"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    out = f"a {kinds['a']}, b {kinds['b']}, comp {kinds['comp']}, stray boolean, size bigint"
+    rows = rows.select("a", "b", "comp", "stray", "a_set", "b_set")
+    return rows.mapInArrow(run, f"{out}, bits array<bigint>, outside array<bigint>")
+
+
+def _open_pairs(stars: DataFrame, root: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): pairs of members of one star, in different components, that may be linked.
+
+    Of two members at least one is a stray: outside the star's largest component.
     """
-    if turn == 0:
-        heads = members.groupBy("key").agg(F.min("rep").alias("head"))
-        marked = members.join(heads, "key").withColumn("is_centre", F.expr("rep = head"))
-    else:
-        parts = members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min("rep").alias("first"))
-        sizes = parts.groupBy("key").agg(
-            F.sum("n").alias("total"), F.min(F.struct("n", F.xxhash64("comp", "key"), "comp", "first")).alias("s")
-        )
-        drawn = F.pmod(F.xxhash64("rep", "key", F.lit(turn)), F.lit(1 << 30)) * F.col("total") < F.lit(1 << 30 + turn)
-        few = (F.col("comp") == F.col("s.comp")) & (F.col("s.n") <= 2**turn)
-        marked = members.join(sizes, "key").withColumn("is_centre", drawn | few | (F.col("rep") == F.col("s.first")))
-    centres = marked.where("is_centre").select("key", "rep", "n_shingles", "comp")
-    c = centres.select("key", F.col("rep").alias("a"), F.col("n_shingles").alias("a_n"), F.col("comp").alias("a_comp"))
-    near = f"100 * least(a_n, n_shingles) >= {THRESHOLD} * greatest(a_n, n_shingles)"
-    pairs = members.join(c, "key").where(f"comp <> a_comp AND {near}")
-    pairs = pairs.select(F.greatest("a", "rep").alias("b"), F.least("a", "rep").alias("a")).distinct()
-    return centres.select("key", "rep"), pairs
+    names = root.select(F.col("node").alias("b"), "root")
+    rows = stars.select("a", "b").join(names, "b", "left").select("a", "b", F.coalesce("root", "b").alias("comp"))
+    parts = rows.groupBy("a", "comp").agg(F.count("*").alias("n"))
+    largest = parts.groupBy("a").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.count("*").alias("parts"))
+    mixed = rows.join(largest.where("parts > 1"), "a")
+    mixed = mixed.select("a", "b", "comp", (F.col("comp") != F.col("main")).alias("stray"))
+    described = stored(_against_centre(_with_sets(mixed, sets)), "described")
+    loose = described.select("a", "b", F.explode("outside").alias("shingle"))
+    again = loose.groupBy("a", "shingle").agg(F.count("*").alias("n")).where("n > 1").select("a", "shingle")
+    shared = loose.join(again, ["a", "shingle"]).groupBy("a", "b").agg(F.count("*").alias("extra"))
+    rows = described.drop("outside").join(shared, ["a", "b"], "left").fillna(0, ["extra"])
+    names = ["b", "comp", "stray", "size", "bits", "extra"]
+    x = rows.where("stray").select("a", *(F.col(c).alias(f"x_{c}") for c in names))
+    y = rows.select("a", *(F.col(c).alias(f"y_{c}") for c in names))
+    common = """(aggregate(zip_with(x_bits, y_bits, (p, q) -> bit_count(p & q)), 0, (n, c) -> n + c)
+                 + least(x_extra, y_extra))"""
+    fits = f"""x_comp <> y_comp AND (NOT y_stray OR x_b < y_b)
+        AND 100 * least(x_size, y_size) >= {THRESHOLD} * greatest(x_size, y_size)
+        AND {100 + THRESHOLD} * {common} >= {THRESHOLD} * (x_size + y_size)"""
+    return x.join(y, "a").where(fits).select(F.least("x_b", "y_b").alias("a"), F.greatest("x_b", "y_b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -187,25 +218,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = usable.groupBy("n_shingles", "set_a", "set_b").agg(
         F.min("doc_id").alias("rep"), F.first("buckets").alias("buckets")
     )
-    rows = classes.select("rep", "n_shingles", F.explode("buckets").alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = stored(rows.join(shared, "key").withColumn("comp", F.col("rep")), "members")
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
+    rows = classes.select("rep", F.explode("buckets").alias("key"))
+    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(rows.join(shared, "key"), "members")
+    weights = members.groupBy("rep").agg(F.sum("n").alias("weight"))
+    weighed = members.join(weights, "rep")
+    heads = weighed.groupBy("key").agg(F.max(F.struct("weight", "rep"))["rep"].alias("a"))
+    pairs = members.join(heads, "key").where("a <> rep").select("a", F.col("rep").alias("b")).distinct()
+    pairs = stored(pairs, "pairs")
+    wanted = weights.select(F.col("rep").alias("doc_id"))
     sets = stored(full_sets(source.join(wanted, "doc_id", "left_semi")).dropDuplicates(["rep", "shingles"]), "sets")
-    links, turn = None, 0
-    while True:
-        centres, pairs = _stars(members, turn)
-        found = stored(_confirmed(pairs, sets), "confirmed")
-        links = found if links is None else links.union(found)
-        root = components(links)
-        left = members.join(centres, ["key", "rep"], "left_anti").drop("comp")
-        named = left.join(root, left["rep"] == root["node"], "left")
-        left = named.select("key", "rep", "n_shingles", F.coalesce("root", "rep").alias("comp"))
-        mixed = left.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        members = stored(left.join(mixed.select("key"), "key", "left_semi"), "members")
-        turn += 1
-        if members.isEmpty():
-            break
+    stars = stored(_compared(pairs, sets), "stars")
+    links = stars.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    further = _compared(_open_pairs(stars, components(links), sets), sets).where("linked")
+    links = links.union(stored(further, "further").select("a", "b"))
     same = classes.select("n_shingles", "set_a", "set_b", "rep")
     copies = usable.join(same, ["n_shingles", "set_a", "set_b"]).where("doc_id <> rep")
     root = components(links.union(copies.select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))))

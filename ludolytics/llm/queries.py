@@ -179,7 +179,32 @@ def _token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.checksums(records.read_records(files, folder))
 
 
-@query("op8_minhash_near_dedup")
+@query(
+    "op8_minhash_near_dedup",
+    r"""
+    WITH RECURSIVE cut AS (
+        SELECT doc_id, list_filter(string_split_regex(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+        FROM documents),
+    places AS (
+        SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 3))) AS i FROM cut WHERE len(words) > 0),
+    shingles AS (SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 4), ' ') AS s FROM places),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    pairs AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id
+        GROUP BY 1, 2),
+    links AS (
+        SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * c >= 75 * (x.n + y.n - c)),
+    edges AS (SELECT a AS u, b AS v FROM links UNION ALL SELECT b, a FROM links),
+    reached(doc_id, other) AS (
+        SELECT doc_id, doc_id FROM documents
+        UNION SELECT r.doc_id, e.v FROM reached r JOIN edges e ON e.u = r.other)
+    SELECT r.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, r.doc_id = min(other) AS kept
+    FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+    """,
+)
 def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 

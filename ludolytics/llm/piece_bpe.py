@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ludolytics.llm.common import held_by_worker
+
 SPACE = "\u2581"
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 #: Parts and words kept by a task before its memory is emptied.
@@ -57,7 +59,8 @@ class PieceTable:
         self.automaton.make_automaton()
         #: What decoding makes of each id; byte ids are joined first.
         self.shown = [p.replace(SPACE, " ") for p in self.pieces]
-        self.shown = ["" if model.is_control(i) else " \u2047 " if i == self.unknown else s for i, s in enumerate(self.shown)]
+        self.control = {i for i in range(size) if model.is_control(i)}
+        self.shown = ["" if i in self.control else " \u2047 " if i == self.unknown else s for i, s in enumerate(self.shown)]
         self.lasting: dict[str, tuple | None] = {}
         self.fits: dict[int, bool] = {}
         self.parts: dict[str, bytes] = {}
@@ -184,7 +187,8 @@ class PieceTable:
                         run.clear()
                     parts.append(self.shown[i])
             out = "".join(parts) + _utf8(bytes(run))
-        return out[1:] if self.pieces[ids[0]].startswith(SPACE) else out
+        first = next((i for i in ids if i not in self.control), None)
+        return out[1:] if first is not None and self.pieces[first].startswith(SPACE) else out
 
 
 def _utf8(data: bytes) -> str:
@@ -212,7 +216,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = PieceTable(model)
+        table = held_by_worker(("pieces", model), lambda: PieceTable(model))
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
@@ -230,7 +234,7 @@ def decode(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str
     """(doc_id, token_ids, decoded): the text of each list of ids; NULL is an empty list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = PieceTable(model)
+        table = held_by_worker(("pieces", model), lambda: PieceTable(model))
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)

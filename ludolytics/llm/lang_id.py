@@ -11,7 +11,6 @@ import re
 import sys
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +20,9 @@ from pyspark.sql import functions as F
 from ludolytics.llm.common import stored
 
 #: Expected number of documents the model is learnt from, drawn by a hash of their texts.
-SAMPLE_DOCS = 20_000
+SAMPLE_DOCS = 5_000
 #: Most (word, language) and (n-gram, language) counts that the model holds; the most frequent ones stay.
-MAX_WORDS = 150_000
+MAX_WORDS = 100_000
 MAX_GRAMS = 100_000
 LONGEST = 4
 UNKNOWN = "und"
@@ -39,37 +38,45 @@ def letter_pattern() -> str:
     return f"[^\\W\\d_{numbers}]+"
 
 
-@dataclass
 class Model:
-    languages: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
-    pattern: str
-    seen: dict[str, np.ndarray] = field(default_factory=dict)
-
-    def word(self, word: str) -> np.ndarray:
-        """Log frequency of a word in each language."""
-        if (known := self.words.get(word)) is not None or (known := self.seen.get(word)) is not None:
-            return known
-        marked, out = f"^{word}$", np.zeros(len(self.languages))
+    """Log frequencies of words and n-grams in each language; one row of a matrix for each."""
+
+    def __init__(self, languages: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray], pattern: str) -> None:
+        self.languages, self.grams, self.pattern = languages, grams, pattern
+        self.known = {word: k for k, word in enumerate(words)}
+        self.rows = np.array(list(words.values()), dtype=np.float64).reshape(len(words), len(languages))
+        self.limit = len(words) + KEPT
+
+    def backed_off(self, word: str) -> np.ndarray:
+        """Mean log frequency of the longest n-grams of a word that are known."""
+        marked = f"^{word}$"
         for size in range(LONGEST, 0, -1):
             text = marked if size > 1 else word
             rows = [v for k in range(len(text) - size + 1) if (v := self.grams.get(text[k : k + size])) is not None]
             if rows:
-                out = np.mean(rows, axis=0)
-                break
-        if len(self.seen) >= KEPT:
-            self.seen.clear()
-        self.seen[word] = out
-        return out
+                return sum(rows) / len(rows)
+        return np.zeros(len(self.languages))
+
+    def word(self, word: str) -> int:
+        """The row of a word; one that is not known gets a row of its own, until there are too many."""
+        row = self.known.get(word)
+        if row is None:
+            row = self.known[word] = len(self.known)
+            if row >= len(self.rows):
+                self.rows = np.vstack([self.rows, np.zeros((max(1024, len(self.rows)), len(self.languages)))])
+            self.rows[row] = self.backed_off(word)
+        return row
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, its probability); equal ones: the first in alphabetical order. No letter: und, 0."""
         counts = Counter(re.findall(self.pattern, (text or "").lower()))
         if not counts or not self.languages:
             return UNKNOWN, 0.0
-        rows = np.array([self.word(w) for w in counts])
-        total = np.fromiter(counts.values(), dtype=np.float64, count=len(counts)) @ rows
+        if len(self.known) > self.limit:
+            for unseen in list(self.known)[self.limit - KEPT :]:
+                del self.known[unseen]
+        rows = [self.word(w) for w in counts]
+        total = np.fromiter(counts.values(), dtype=np.float64, count=len(rows)) @ self.rows[rows]
         best = int(total.argmax())
         return self.languages[best], float(1 / np.exp(total - total[best]).sum())
 

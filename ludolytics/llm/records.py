@@ -11,6 +11,7 @@ own and renames at the end, so a repeated task leaves the same files.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -22,13 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ludolytics.llm.common import stored
+from ludolytics.llm.common import held_by_worker, stored
 from ludolytics.session import scratch_path
 
 _HEAD, _CRC, _PAYLOAD = "<QI", "<I", "<BqB"
 _INDEX = np.dtype([("offset", "<u8"), ("tokens", "<u8")])
-#: Words whose ids a task keeps before its memory is emptied.
-KEPT = 400_000
+#: Parts of words, and whole words, whose ids a task keeps before its memory is emptied; only parts cost the library time.
+KEPT_PARTS = 600_000
+KEPT_WORDS = 300_000
 
 
 def masked(data: bytes) -> int:
@@ -61,29 +63,78 @@ def read_frame(stream) -> tuple[int | None, np.ndarray] | None:
 class WordTokenizer:
     """Ids of whole texts by a tokenizer file of the tokenizers library.
 
-    For tokenizers that drop white space before they merge, the ids of a text are those of its words one after the
-    other; words are cut at spaces and line feeds only and their ids are kept in a bounded memory. Strings of special
-    tokens inside a text are ordinary text.
+    For tokenizers that lower the case, drop white space and never join letters with other signs, the ids of a text are
+    those of its words one after the other. Words are cut at spaces and line feeds, and ASCII signs around a word of
+    letters are taken off it; the library gets each new part once, many at a time, and their ids are kept in a bounded
+    memory. Strings of special tokens inside a text are ordinary text.
     """
 
+    #: Not the apostrophe, which begins contractions.
+    SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
     def __init__(self, path: str, end_id: int | None) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.end = b"" if end_id is None else end_id.to_bytes(self.width, "little")
-        self.known: dict[str, bytes] = {}
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def split(self, word: str) -> tuple[str, ...]:
+        """Parts that are tokenized alike alone and in the word."""
+        core = word.strip(self.SIGNS)
+        if not core or not (core[0].isalpha() and core[-1].lower().isalpha()):
+            return (word,)
+        shown = core.lower() if core.isascii() else core
+        if len(core) == len(word):
+            return (shown,)
+        if word.startswith(core):
+            return shown, word[len(core) :]
+        at = word.index(core)
+        return (word[:at], shown, word[at + len(core) :]) if at + len(core) < len(word) else (word[:at], shown)
+
+    def _learn(self, new: list[str]) -> None:
+        """Keep the ids of new parts; those of letters only are one word each to the tokenizer, which marks its end."""
+        for simple in (True, False):
+            parts = [p for p in new if p.isalpha() == simple]
+            for first in range(0, len(parts), 4096):
+                some = parts[first : first + 4096]
+                joined = " ".join(some)
+                cuts = None
+                if simple and self.ends.any():
+                    ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids)
+                    cuts = np.append(0, np.flatnonzero(self.ends[ids]) + 1)
+                if cuts is None or len(cuts) != len(some) + 1:
+                    starts = np.cumsum([0, *(len(p) + 1 for p in some)])
+                    found = self.tokenizer.encode(joined, add_special_tokens=False)
+                    ids = np.array(found.ids, dtype=np.int64)
+                    cuts = np.searchsorted(np.array([place for place, _ in found.offsets], dtype=np.int64), starts)
+                data, cuts = ids.astype(f"<u{self.width}").tobytes(), (cuts * self.width).tolist()
+                for part, low, high in zip(some, cuts[:-1], cuts[1:]):
+                    self.parts[part] = data[low:high]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         words = [(text or "").replace("\n", " ").split(" ") for text in texts]
-        if len(self.known) > KEPT:
-            self.known.clear()
-        new = list(set().union(*words) - self.known.keys())
-        kind = f"<u{self.width}"
-        for word, got in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[word] = np.array(got.ids, dtype=kind).tobytes()
-        get = self.known.__getitem__
+        if len(self.words) > KEPT_WORDS:
+            self.words.clear()
+        new = set().union(*words) - self.words.keys()
+        if new:
+            split = {w: self.split(w) for w in new}
+            if len(self.parts) > KEPT_PARTS:
+                self.parts.clear()
+            self._learn(list({p for parts in split.values() for p in parts} - self.parts.keys()))
+            known = self.parts
+            for word, parts in split.items():
+                ids = known[parts[0]]
+                for part in parts[1:]:
+                    ids += known[part]
+                self.words[word] = ids
+        get = self.words.__getitem__
         return [b"".join(map(get, w)) + self.end for w in words]
 
 
@@ -106,13 +157,14 @@ def write_records(
         files, base = _file_system(folder)
         part, own = TaskContext.get().partitionId(), uuid.uuid4().hex
         names = [(f"{base}/.{own}.{kind}", f"{base}/part-{part:06d}.{kind}") for kind in ("rec", "idx")]
-        encode, out, places, offset = WordTokenizer(tokenizer, end_id), None, [], 0
+        out, places, offset = None, [], 0
+        encode = held_by_worker(("words", tokenizer, end_id), lambda: WordTokenizer(tokenizer, end_id))
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
+            for first in range(0, batch.num_rows, 128):
                 if out is None:
                     files.create_dir(base, recursive=True)
                     out = files.open_output_stream(names[0][0])
-                rows = batch.slice(first, 256)
+                rows = batch.slice(first, 128)
                 for doc_id, ids in zip(rows.column(0).to_pylist(), encode(rows.column(1).to_pylist())):
                     data = frame(doc_id, encode.width, ids)
                     out.write(data)

@@ -35,47 +35,55 @@ def bare(piece: Column) -> Column:
 
 
 def line_hashes(docs: DataFrame) -> DataFrame:
-    """(doc, part, h, n): hashes and lengths of the lines of (doc, part, text), blank ones left out."""
-    lines = F.filter(F.transform(pieces(F.col("text")), bare), lambda x: x != "")
+    """(doc, part, at, h, n): numbers, hashes and lengths of the lines of (doc, part, text), blank ones left out."""
+    lines = F.transform(pieces(F.col("text")), lambda x, i: F.struct(i.alias("at"), bare(x).alias("line")))
+    lines = F.transform(
+        F.filter(lines, lambda x: x["line"] != ""),
+        lambda x: F.struct(x["at"].alias("at"), F.xxhash64(x["line"]).alias("h"), F.length(x["line"]).alias("n")),
+    )
     rows = docs.select("doc", "part", lines.alias("lines"))
-    h, n = F.transform("lines", lambda x: F.xxhash64(x)), F.transform("lines", lambda x: F.length(x))
-    return rows.select("doc", "part", h.alias("h"), n.alias("n")).where("size(h) > 0")
+    return rows.select("doc", "part", "lines.at", "lines.h", "lines.n")
 
 
 def windows(hashes: DataFrame) -> DataFrame:
-    """(doc, part, place, print, window, selects): the windows of each text that are long enough.
+    """(doc, part, covers, print, window, selects): the windows of each text that are long enough.
 
-    print is the least line hash, window the hash of all lines; selects tells that the fingerprint stands at another
-    place than that of the window before, so that each selected place has one such window.
+    covers are the numbers of its lines, print is the least line hash, window the hash of all lines; selects tells that
+    the fingerprint stands at another place than that of the window before, so each selected place has one such window.
+    A text without lines has one window of no length, which is too short.
     """
     size = F.least(F.size("h"), F.lit(WINDOW))
-    rows = hashes.withColumn("place", F.sequence(F.lit(0), F.size("h") - size))
+    starts = F.sequence(F.lit(0), F.size("h") - size)
 
     def describe(i: Column) -> Column:
         own = F.slice("h", i + 1, WINDOW)
         least = F.array_min(own)
         chars = F.aggregate(F.slice("n", i + 1, WINDOW), F.lit(0), lambda a, b: a + b)
         return F.struct(
-            i.alias("place"), least.alias("print"), F.xxhash64(own).alias("window"),
+            F.slice("at", i + 1, WINDOW).alias("covers"), least.alias("print"), F.xxhash64(own).alias("window"),
             (i + F.array_position(own, least)).alias("at"), chars.alias("chars"),
         )
 
-    rows = rows.select("doc", "part", F.filter(F.transform("place", describe), lambda w: w["chars"] >= MIN_CHARS).alias("w"))
-    rows = rows.select("doc", "part", "w", F.posexplode("w").alias("k", "own"))
-    selects = (F.col("k") == 0) | (F.get("w", F.col("k") - 1)["at"] != F.col("own.at"))
-    return rows.select("doc", "part", "own.place", "own.print", "own.window", selects.alias("selects"))
+    rows = hashes.select("doc", "part", F.filter(F.transform(starts, describe), lambda w: w["chars"] >= MIN_CHARS).alias("w"))
+
+    def mark(w: Column, k: Column) -> Column:
+        selects = (k == 0) | (F.get("w", k - 1)["at"] != w["at"])
+        return F.struct(*(w[c].alias(c) for c in ("covers", "print", "window")), selects.alias("selects"))
+
+    return rows.select("doc", "part", F.inline(F.transform("w", mark)))
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """(doc, part, places): the first lines of the windows that stand earlier too, blank lines not counted."""
+    """(doc, part, gone): the numbers of the lines in windows that stand earlier too."""
     hashes = stored(line_hashes(docs), "lines")
     prints = windows(hashes).where("selects").groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
     likely = windows(hashes).drop("selects").join(prints, "print", "left_semi")
-    likely = stored(likely.select("doc", "part", "place", "window"), "likely-windows")
-    first = likely.groupBy("window").agg(F.min(F.struct("doc", "part", "place")).alias("first"), F.count("*").alias("n"))
+    likely = stored(likely.select("doc", "part", "covers", "window"), "likely-windows")
+    place = F.struct("doc", "part", F.get("covers", F.lit(0)).alias("line"))
+    first = likely.groupBy("window").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     first = first.where("n > 1").select("window", "first")
-    later = likely.join(first, "window").where(F.struct("doc", "part", "place") != F.col("first"))
-    return later.groupBy("doc", "part").agg(F.collect_set("place").alias("places"))
+    later = likely.join(first, "window").where(place != F.col("first"))
+    return later.groupBy("doc", "part").agg(F.array_distinct(F.flatten(F.collect_list("covers"))).alias("gone"))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -93,16 +101,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col(text_col).alias("text"),
     )
     found = repeated_lines(keyed.select("doc", "part", "text"))
-    found = found.select(F.col("doc").alias("d"), F.col("part").alias("p"), "places")
+    found = found.select(F.col("doc").alias("d"), F.col("part").alias("p"), "gone")
     both = keyed.join(found, F.col("doc").eqNullSafe(F.col("d")) & (F.col("part") == F.col("p")), "left")
-    both = both.select("row", "text", "places", F.when(F.col("places").isNotNull(), pieces(F.col("text"))).alias("all"))
-    numbers = F.sequence(F.lit(0), F.size("all") - 1)
-    filled = F.filter(numbers, lambda i: bare(F.get("all", i)) != "")
-    covered = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + WINDOW - 1))))
-    both = both.select("row", "text", "all", numbers.alias("numbers"), filled.alias("filled"), covered.alias("covered"))
-    gone = F.filter(F.transform("covered", lambda p: F.get("filled", p)), lambda i: i.isNotNull())
-    both = both.withColumn("gone", gone)
-    left = F.array_join(F.transform(F.array_except("numbers", "gone"), lambda i: F.get("all", i)), "")
-    text = F.coalesce(left, F.col("text"))
+    both = both.select("row", "text", "gone", F.when(F.col("gone").isNotNull(), pieces(F.col("text"))).alias("all"))
+    # "all" is used twice, so it is computed once and not again for each of its elements
+    kept = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), "gone")
+    text = F.coalesce(F.array_join(F.transform(kept, lambda i: F.get("all", i)), ""), F.col("text"))
     columns = [(text if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns]
     return both.select(*columns, F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("removed_lines"))

@@ -8,7 +8,6 @@ their log frequencies is added.
 from __future__ import annotations
 
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,19 +29,19 @@ UNKNOWN = "und"
 KEPT = 200_000
 
 
-def letter_pattern() -> str:
-    """A pattern of runs of letters: word characters without digits, other numbers and the underscore."""
-    numbers = "".join(
-        re.escape(c) for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()
-    )
-    return f"[^\\W\\d_{numbers}]+"
+def letter_words(text: str) -> list[str]:
+    """Runs of letters in lower case; numbers that count as word characters cut a run too."""
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    if all(map(str.isalpha, words)):
+        return words
+    return [w for run in words for w in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
 class Model:
     """Log frequencies of words and n-grams in each language; one row of a matrix for each."""
 
-    def __init__(self, languages: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray], pattern: str) -> None:
-        self.languages, self.grams, self.pattern = languages, grams, pattern
+    def __init__(self, languages: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray]) -> None:
+        self.languages, self.grams = languages, grams
         self.known = {word: k for k, word in enumerate(words)}
         self.rows = np.array(list(words.values()), dtype=np.float64).reshape(len(words), len(languages))
         self.limit = len(words) + KEPT
@@ -69,7 +68,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, its probability); equal ones: the first in alphabetical order. No letter: und, 0."""
-        counts = Counter(re.findall(self.pattern, (text or "").lower()))
+        counts = Counter(letter_words(text or ""))
         if not counts or not self.languages:
             return UNKNOWN, 0.0
         if len(self.known) > self.limit:
@@ -126,7 +125,6 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
         languages,
         _log_rates(most(frequent, MAX_WORDS), languages, totals),
         _log_rates(most(pieces, MAX_GRAMS), languages, totals),
-        letter_pattern(),
     )
 
 

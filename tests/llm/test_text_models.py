@@ -127,7 +127,7 @@ def test_language(documents, odd, spark):
 def test_language_backs_off_by_one_character_at_a_time():
     import numpy as np
 
-    model = lang_id.Model(["a", "b"], {"known": np.array([0.0, -1.0])}, {"^zq": np.array([-2.0, -1.0]), "z": np.array([0.0, -9.0])}, r"[^\W\d_]+")
+    model = lang_id.Model(["a", "b"], {"known": np.array([0.0, -1.0])}, {"^zq": np.array([-2.0, -1.0]), "z": np.array([0.0, -9.0])})
     places = {w: model.word(w) for w in ("known", "zqx", "xz", "xx")}
     rows = {w: model.rows[k].tolist() for w, k in places.items()}
     assert rows == {"known": [0.0, -1.0], "zqx": [-2.0, -1.0], "xz": [0.0, -9.0], "xx": [0.0, 0.0]}

@@ -17,7 +17,7 @@ from ludolytics.session import configure
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression distance calls toxic go; it is learnt from those of them that are labelled."""
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), kind_col="lang")
     judged = toxicity.score(docs, model, keep=tuple(c for c in docs.columns if c != "doc_id"))
     return judged.where("predicted = 0").select(docs.columns)
 

@@ -56,7 +56,7 @@ def _url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_toxicity")
 def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(_fold("doc_id", 5) != 0))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(_fold("doc_id", 5) != 0), kind_col="lang")
     return toxicity.score(docs, model).withColumn("held_out", _fold("doc_id", 5) == 0)
 
 

@@ -3,6 +3,7 @@ import re
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from ludolytics.llm import decontaminate, host_quality, lang_id, piece_bpe, toxicity
 from llm_helpers import sentence, text
@@ -154,6 +155,29 @@ def test_toxicity_held_out(spark, documents, odd):
     assert all(r["predicted"] == 0 for r in got if r["text"] in (None, "", " \n\t "))
 
 
+def test_toxicity_of_a_rare_language_held_out(spark, documents):
+    # one text of five is of a language whose toxic words are made of pieces that ordinary texts of it hold too
+    rng = random.Random(9)
+    pieces = ["kal", "mor", "tis", "vun", "sli", "ero", "pag", "dwe", "nib", "hox", "jut", "fyr"]
+
+    def make(k, toxic):
+        if k % 5:
+            words = sentence(k * 31, 80).split()
+            return " ".join([*words, "snotwaddle", "zorgblat"] if toxic else words)
+        words = ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 3))) for _ in range(80)]
+        for _ in range(6 if toxic else int(rng.random() < 0.1)):
+            words[rng.randrange(len(words))] = "zaqqem" + rng.choice(pieces)
+        return " ".join(words)
+
+    rows = [(k, make(k, k % 3 == 0)) for k in range(2400)]
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(1600)], "doc_id bigint, toxic int")
+    docs = documents(rows).withColumn("lang", F.expr("IF(doc_id % 5 = 0, 'rare', NULL)"))
+    got = toxicity.score(docs, toxicity.fit(docs, labels, kind_col="lang")).where("doc_id >= 1600").collect()
+    for toxic in (True, False):
+        rare = [r["predicted"] for r in got if r["doc_id"] % 5 == 0 and (r["doc_id"] % 3 == 0) == toxic]
+        assert sum(p == int(toxic) for p in rare) >= 0.8 * len(rare)
+
+
 def test_toxicity_without_labels(spark, documents):
     docs = documents([(1, text(1)), (2, None)])
     empty = spark.createDataFrame([], "doc_id bigint, toxic int")

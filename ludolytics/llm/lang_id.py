@@ -13,14 +13,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludolytics.llm.common import stored
 
-#: Expected number of documents the model is learnt from, drawn by a hash of their texts.
+#: Expected number of documents of each language that the model is learnt from, drawn by a hash of id and text.
 SAMPLE_DOCS = 5_000
-#: Most (word, language) and (n-gram, language) counts that the model holds; the most frequent ones stay.
+#: Words and n-grams that the model holds at most; each language has an equal part, its most frequent ones.
 MAX_WORDS = 100_000
 MAX_GRAMS = 100_000
 LONGEST = 4
@@ -81,27 +81,31 @@ class Model:
 
 
 def _log_rates(counts: list[tuple[str, str, int]], languages: list[str], totals: dict[str, float]) -> dict[str, np.ndarray]:
-    """Log frequency of each key in each language, with half a count added."""
+    """Log frequency of each key in each language; all languages have the same floor, half a count in the largest."""
     place = {name: k for k, name in enumerate(languages)}
     base = np.array([max(totals.get(name, 0), 1) for name in languages], dtype=np.float64)
     rows: dict[str, np.ndarray] = {}
     for key, lang, n in counts:
-        rows.setdefault(key, np.full(len(languages), 0.5))[place[lang]] += n
-    return {key: np.log(row / base) for key, row in rows.items()}
+        rows.setdefault(key, np.zeros(len(languages)))[place[lang]] += n
+    floor = 0.5 / base.max() if languages else 1.0
+    return {key: np.log(row / base + floor) for key, row in rows.items()}
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str | None = None) -> Model:
     """Learn from rows with a text and a language.
 
-    About SAMPLE_DOCS rows are drawn by a hash of the text, whatever the table's size; their words and n-grams are
-    counted on the cluster and the most frequent MAX_WORDS and MAX_GRAMS counts come to the driver.
+    About SAMPLE_DOCS rows of each language are drawn by a hash of id (if there is one) and text, all rows of a rarer
+    one; their words and n-grams are counted on the cluster. The most frequent ones of each language come to the driver
+    with their counts in all languages.
     """
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
-        "text IS NOT NULL AND lang IS NOT NULL"
-    )
-    n = rows.count()
-    if n > SAMPLE_DOCS:
-        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < F.lit((SAMPLE_DOCS << 40) // n))
+    keys = [F.col(text_col), *([F.col(id_col)] if id_col else [])]
+    rows = labelled.select(
+        F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.pmod(F.xxhash64(*keys), F.lit(1 << 40)).alias("place")
+    ).where("text IS NOT NULL AND lang IS NOT NULL")
+    share = F.lit(1 << 40)
+    for lang, n in rows.groupBy("lang").count().where(F.col("count") > SAMPLE_DOCS).collect():  # one row a language
+        share = F.when(F.col("lang") == lang, F.lit((SAMPLE_DOCS << 40) // n)).otherwise(share)
+    rows = rows.where(F.col("place") < share)
     words = rows.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("\\p{L}+"), F.lit(0))).alias("key"))
     words = stored(words.groupBy("key", "lang").agg(F.count("*").alias("n")), "word-counts")
     marked = F.concat(F.lit("^"), "key", F.lit("$"))
@@ -113,17 +117,19 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
         )
     grams = [F.coalesce(g, F.expr("cast(array() AS array<string>)")) for g in grams]
     pieces = words.select("lang", "n", F.explode(F.concat(*grams)).alias("key"))
-    pieces = pieces.groupBy("key", "lang").agg(F.sum("n").alias("n"))
+    pieces = stored(pieces.groupBy("key", "lang").agg(F.sum("n").alias("n")), "gram-counts")
     totals = dict(words.groupBy("lang").agg(F.sum("n")).collect())  # one row a language
     languages = sorted(totals)
 
     def most(counts: DataFrame, limit: int) -> list[tuple[str, str, int]]:
-        return [tuple(r) for r in counts.select("key", "lang", "n").orderBy(F.desc("n"), "key", "lang").limit(limit).collect()]
+        order = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
+        best = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit // max(1, len(languages)))
+        kept = counts.join(best.select("key").distinct(), "key", "left_semi")
+        return [tuple(r) for r in kept.select("key", "lang", "n").orderBy("key", "lang").collect()]
 
-    frequent = words.where("n > 1") if n > 1000 else words
     return Model(
         languages,
-        _log_rates(most(frequent, MAX_WORDS), languages, totals),
+        _log_rates(most(words, MAX_WORDS), languages, totals),
         _log_rates(most(pieces, MAX_GRAMS), languages, totals),
     )
 

@@ -138,7 +138,7 @@ def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_language_id")
 def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = lang_id.fit(docs.where(_fold("doc_id", 4) != 2))
+    model = lang_id.fit(docs.where(_fold("doc_id", 4) != 2), id_col="doc_id")
     held_out = docs.select("doc_id", "text", (_fold("doc_id", 4) == 2).alias("held_out"))
     return lang_id.predict(held_out, model).withColumn("held_out", _fold("doc_id", 4) == 2)
 

@@ -125,6 +125,18 @@ def test_language(documents, odd, spark):
     assert nothing.predict("kal") == ("und", 0.0)
 
 
+def test_rare_language_held_out(spark, documents, monkeypatch):
+    monkeypatch.setattr(lang_id, "SAMPLE_DOCS", 60)
+    rng = random.Random(12)
+    stems = {"xx": ["kal", "mor", "tis", "po"], "yy": ["\u00e9ro", "vun", "sli", "po"], "zz": ["dwe", "kal", "nib", "po"]}
+    make = lambda lang: " ".join("".join(rng.choice(stems[lang]) for _ in range(rng.randint(1, 3))) for _ in range(20))
+    rows = [(make(lang), lang) for lang, n in (("xx", 2000), ("yy", 1000), ("zz", 6)) for _ in range(n)]
+    model = lang_id.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.languages == ["xx", "yy", "zz"]
+    got = lang_id.predict(documents([(k, make(["xx", "yy", "zz"][k % 3])) for k in range(90)]), model).collect()
+    assert all(r["lang_pred"] == ["xx", "yy", "zz"][r["doc_id"] % 3] for r in got)
+
+
 def test_language_backs_off_by_one_character_at_a_time():
     import numpy as np
 

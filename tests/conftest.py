@@ -23,15 +23,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)
-
-
-def plan(df):
-    """The physical plan with the details of its scans."""
-    jvm = df.sparkSession.sparkContext._jvm
-    return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")

@@ -2,7 +2,7 @@ import json
 from datetime import date, datetime
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from ludolytics import schemas
 from ludolytics.plans import ingest

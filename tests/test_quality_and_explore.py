@@ -2,7 +2,7 @@ from datetime import date, datetime
 
 import numpy as np
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from ludolytics.functions.arrays import any_contains_text, without

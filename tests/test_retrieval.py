@@ -2,7 +2,7 @@ from datetime import datetime
 
 import numpy as np
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from ludolytics.functions.vectors import cosine_similarity

@@ -17,6 +17,7 @@ from ludolytics.llm import (
     near_dedup,
     piece_bpe,
     records,
+    suffix_dedup,
     toxicity,
     url_rules,
 )
@@ -258,3 +259,40 @@ def _piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query(
+    "op13_suffix_dedup",
+    r"""
+    WITH bytes AS (SELECT doc_id, encode(coalesce(text, '')) AS b, strlen(coalesce(text, '')) AS n FROM documents),
+    places AS (SELECT doc_id, b, unnest(range(1, n - 48)) AS i FROM bytes WHERE n >= 50),
+    windows AS (SELECT doc_id, i, b[i:i + 49] AS w FROM places),
+    shared AS (SELECT w, min(doc_id) AS least FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)),
+    later AS (SELECT doc_id, i FROM windows JOIN shared USING (w) WHERE doc_id > least),
+    marked AS (
+        SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50, true) AS apart FROM later),
+    numbered AS (SELECT doc_id, i, count(*) FILTER (apart) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+    spans AS (SELECT doc_id, min(i) AS low, max(i) + 50 AS high FROM numbered GROUP BY doc_id, span),
+    cut AS (
+        SELECT doc_id, count(*) AS n_spans, sum(high - low)::BIGINT AS n_removed,
+               list_prepend(1, list(high ORDER BY low)) AS starts, list(low ORDER BY low) AS ends
+        FROM spans GROUP BY doc_id),
+    left_over AS (
+        SELECT doc_id, list_transform(range(1, len(starts) + 1),
+                   lambda k: hex(b[starts[k]:coalesce(ends[k], n + 1) - 1])) AS pieces
+        FROM cut JOIN bytes USING (doc_id))
+    SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           CASE WHEN pieces IS NULL THEN sha256(b) ELSE sha256(unhex(array_to_string(pieces, ''))) END AS kept_sha256
+    FROM bytes LEFT JOIN cut USING (doc_id) LEFT JOIN left_over USING (doc_id)
+    """,
+)
+def _suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, r: n + r["end"] - r["start"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

@@ -12,6 +12,7 @@ from ludolytics.llm import (
     chat,
     decontaminate,
     host_quality,
+    importance,
     lang_id,
     line_dedup,
     near_dedup,
@@ -261,6 +262,56 @@ def _piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op12_importance_resampling",
+    r"""
+    WITH plain AS (
+        SELECT 'd' AS kind, doc_id AS id, coalesce(text, '') AS text FROM documents
+        UNION ALL SELECT 'b', 0, coalesce(text, '') FROM benchmark),
+    cut AS (
+        SELECT kind, id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM plain),
+    counted AS (SELECT kind, id, w, count(*) AS n FROM (SELECT kind, id, unnest(words) AS w FROM cut) GROUP BY ALL),
+    remainders AS (
+        SELECT list(list_reduce(list_prepend(i, range(8)),
+                    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS r
+        FROM (SELECT unnest(range(256)) AS i)),
+    hashed AS (
+        SELECT w, list_reduce(list_prepend(4294967295, list_transform(range(strlen(w)), lambda k:
+                    16 * (strpos('0123456789ABCDEF', hex(encode(w))[2 * k + 1]) - 1)
+                    + strpos('0123456789ABCDEF', hex(encode(w))[2 * k + 2]) - 1)),
+                lambda c, x: xor(r[xor(c, x) % 256 + 1], c // 256)) AS c
+        FROM (SELECT DISTINCT w FROM counted), remainders),
+    buckets AS (SELECT w, xor(c, 4294967295) % 10000 AS bucket FROM hashed),
+    totals AS (
+        SELECT b.bucket, coalesce(sum(n) FILTER (kind = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (kind = 'b'), 0)::DOUBLE AS t
+        FROM (SELECT unnest(range(10000)) AS bucket) b LEFT JOIN buckets USING (bucket) LEFT JOIN counted USING (w)
+        GROUP BY b.bucket),
+    gains AS (
+        SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000)))) AS gain
+        FROM totals),
+    weights AS (
+        SELECT id, sum(n)::BIGINT AS n_features, floor(sum(n * gain) / sum(n))::BIGINT AS weight
+        FROM counted JOIN buckets USING (w) JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY id),
+    scored AS (
+        SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+               coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE)
+                                                          / 4294967296)))::BIGINT AS score
+        FROM documents LEFT JOIN weights ON id = doc_id),
+    ranked AS (
+        SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+        FROM scored WHERE n_features >= 20)
+    SELECT doc_id, n_features, weight, score, place AS rank
+    FROM scored LEFT JOIN (FROM ranked WHERE place <= 10 * n // 100) USING (doc_id)
+    """,
+)
+def _importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counts = [importance.bucket_counts(t) for t in (docs, table(spark, sf_dir, "benchmark"))]
+    return importance.draw(importance.weights(docs, importance.gains(*counts)))
+
+
 @query(
     "op13_suffix_dedup",
     r"""

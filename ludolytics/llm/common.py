@@ -79,18 +79,19 @@ def powers(base: int, n: int) -> np.ndarray:
 class WordHasher:
     """64-bit hashes of the words of many texts at once.
 
-    ``kind`` tells the bytes of words (after lower-casing A-Z). A call takes the concatenated UTF-8 bytes and the
-    offsets of the texts and returns (hash of each word, offsets of each text's words, start and end byte of each word).
+    ``kind`` tells the bytes of words (after lower-casing A-Z, unless ``lower`` is false). A call takes the concatenated
+    UTF-8 bytes and the offsets of the texts and returns (hash of each word, offsets of each text's words, start and end
+    byte of each word).
     """
 
-    def __init__(self, kind: np.ndarray) -> None:
-        self.kind, self.up, self.down = kind, powers(MULTIPLIER, 1), powers(INVERSE, 1)
+    def __init__(self, kind: np.ndarray, lower: bool = True) -> None:
+        self.kind, self.lower, self.up, self.down = kind, lower, powers(MULTIPLIER, 1), powers(INVERSE, 1)
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray):
         n = len(data)
         if len(self.up) <= n:
             self.up, self.down = powers(MULTIPLIER, n + n // 2 + 2), powers(INVERSE, n + n // 2 + 2)
-        low = ASCII_LOWER[data]
+        low = ASCII_LOWER[data] if self.lower else data
         inside = np.zeros(n + 2, dtype=bool)
         inside[1:-1] = self.kind[low]
         cut = np.zeros(n + 1, dtype=bool)

@@ -16,6 +16,7 @@ from ludolytics.llm import (
     lang_id,
     line_dedup,
     near_dedup,
+    periodic,
     piece_bpe,
     records,
     suffix_dedup,
@@ -262,6 +263,87 @@ def _piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op11_periodic_runs",
+    r"""
+    WITH remainders AS (
+        SELECT list(list_reduce(list_prepend(i, range(8)),
+                    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS r
+        FROM (SELECT unnest(range(256)) AS i)),
+    hashed AS (
+        SELECT doc_id, xor(4294967295, list_reduce(
+                   list_prepend(4294967295, list_transform(range(length(doc_id::VARCHAR)), lambda k: 48 + (doc_id::VARCHAR)[k + 1]::BIGINT)),
+                   lambda c, x: xor(r[xor(c, x) % 256 + 1], c // 256))) AS h,
+               list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS own
+        FROM documents, remainders),
+    places AS (
+        SELECT doc_id, own, len(own) AS n, h % 10 = 0 AND len(own) > 0 AS changed, h // 10 % greatest(len(own), 1) AS a,
+               1 + (len(own) - h // 10 % greatest(len(own), 1)) // (3 + h // 10 % 8) AS p
+        FROM hashed),
+    bodies AS (
+        SELECT doc_id, n, CASE WHEN changed THEN list_transform(range(n), lambda i:
+                              own[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END]) ELSE own END AS words
+        FROM places),
+    grams AS (
+        SELECT doc_id, n, i, array_to_string(words[i + 1:i + 5], ' ') AS w
+        FROM (SELECT *, unnest(range(n - 4)) AS i FROM bodies)),
+    pairs AS (
+        SELECT x.doc_id, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.w = y.w
+        WHERE y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+    islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs),
+    stretches AS (
+        SELECT doc_id, q, min(i) AS s, count(*) + 4 + q AS len FROM islands GROUP BY doc_id, q, island
+        HAVING count(*) + 4 + q >= greatest(6, 4 * q)),
+    runs AS (
+        SELECT * FROM stretches x WHERE NOT EXISTS (
+            FROM stretches y WHERE y.doc_id = x.doc_id AND y.q < x.q AND y.s <= x.s AND y.s + y.len >= x.s + x.len)),
+    listed AS (
+        SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS shown
+        FROM runs GROUP BY doc_id),
+    best AS (
+        SELECT doc_id, s AS start, len AS length, q AS period, 1000 * len // q AS exponent_milli FROM runs
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY len::DOUBLE / q DESC, s, q) = 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM runs),
+    left_over AS (
+        SELECT b.doc_id, string_agg(b.w, ' ' ORDER BY b.i) AS text
+        FROM (SELECT doc_id, unnest(range(n)) AS i, unnest(words) AS w FROM bodies) b ANTI JOIN gone USING (doc_id, i)
+        GROUP BY b.doc_id)
+    SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, exponent_milli,
+           sha256(coalesce(shown, '')) AS runs_sha256, sha256(coalesce(l.text, '')) AS collapsed_sha256
+    FROM documents d LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN left_over l USING (doc_id)
+    """,
+)
+def _periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    own = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    docs = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, own).alias("own"))
+    # the words from the a-th on repeat the first p of them
+    docs = docs.withColumn("g", F.floor(F.col("h") / 10)).withColumn("n", F.size("own"))
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    docs = docs.withColumn("p", F.expr("CAST(1 + floor((n - a) / (3 + g % 8)) AS INT)"))
+    repeated = F.expr(
+        """array_join(concat(slice(own, 1, a), slice(flatten(array_repeat(
+               slice(own, a + 1, p), CAST(ceil((n - a) / p) AS INT))), 1, n - a)), ' ')"""
+    )
+    docs = docs.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+    found = periodic.periodic_runs(docs)
+    more = "r.length * best.period > best.length * r.period"
+    best = f"aggregate(runs, get(runs, 0), (best, r) -> IF({more}, r, best))"
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    found = found.select("doc_id", "runs", "collapsed", F.expr(best).alias("best"), lines.alias("lines"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("lines", lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 @query(
     "op12_importance_resampling",
     r"""

@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split hot partitions even when the split costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # rows go to Python workers in batches of bounded size, however long they are
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 

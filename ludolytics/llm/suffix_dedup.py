@@ -2,20 +2,21 @@
 
 A byte is removed if a string of LENGTH bytes that covers it also starts in a document of a smaller id.
 
-Texts are cut into short strings that together hold every window of LENGTH bytes once: consecutive windows with the same
-minimizer (the place of the least hash of GRAM bytes in the window) make one string. Equal windows have equal minimizers,
-so strings meet by a hash of that gram, and one whose gram stands in one document only cannot repeat and goes. Grams
-that a sample finds very frequent count as the largest, so that strings do not crowd around them.
-
-The strings of a bucket are cut into shards and each shard is suffix-sorted by itself, which gives its Burrows-Wheeler
-transform. The transforms are merged without sorting their suffixes again: the interleave, which tells from what shard
-the next row of the merged order comes, starts with one shard after the other and is refined by putting the rows, in the
-order so far, into buckets of the characters before them. After h characters rows stand in the order of their first h
-characters, and neighbours differ within these where a block boundary has come up (their common prefix is the number of
-characters when it did). Blocks of one row cannot repeat and are dropped on the way; those left after LENGTH characters
-are the repeated intervals.
-
-What is known to be removed early (equal strings that a task meets itself) is not shuffled.
+Texts are stored as shards, compressed runs of whole texts, which is all that moves later. They are cut into short strings
+that together hold every window of LENGTH bytes once: consecutive windows with the same minimizer (the place of the least
+hash of GRAM bytes in the window) make one string. Equal windows have equal minimizers, so a string whose gram stands in one
+document only cannot repeat: shards send the hashes of their grams to be counted, and get back a bit for each. Grams that a
+sample finds very frequent count as the largest, so that strings do not crowd around them.
+
+Strings of repeated grams meet in buckets by gram. A shard's strings in a bucket are suffix-sorted by themselves, which
+gives their Burrows-Wheeler transform. The transforms are merged without sorting their suffixes again: the interleave, which
+tells from what shard the next row of the merged order comes, starts with one shard after the other and is refined by
+putting the rows, in the order so far, into buckets of the characters before them. After h characters rows stand in the
+order of their first h characters, and neighbours differ within these where a block boundary has come up (their common
+prefix is the number of characters when it did). Only rows where windows end take part, blocks of one row cannot repeat and
+are dropped on the way, and the blocks left after LENGTH characters are the repeated intervals.
+
+Of equal strings in a shard only those of the least document are sent, the others are known to go.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,13 +38,14 @@ GRAM = 16
 #: Windows with one minimizer, at most; the longest string.
 SPREAD = LENGTH - GRAM + 1
 LONGEST = LENGTH + SPREAD - 1
-#: Bytes of text whose windows are taken at once, and after which a task hands on its strings.
-SLICE_BYTES = 1 << 20
-FLUSH_BYTES = 8 << 20
-#: Bytes of strings that make a bucket, those of repeated grams that are merged at once, and of a shard.
-BUCKET_BYTES = 64 << 20
+#: Bytes of text in a shard (a longer text is one by itself), and of those that are cut at once.
+SHARD_BYTES = 1 << 20
+#: Grams that are counted in one task, and bytes of strings in a bucket.
+BUCKET_GRAMS = 2 << 20
+BUCKET_BYTES = 16 << 20
+#: Bytes of strings that are merged at once, and of those whose suffixes are sorted at once.
 MERGE_BYTES = 2 << 20
-SHARD_BYTES = 1 << 19
+SORT_BYTES = 1 << 19
 #: Texts in the sample that only tells frequent grams (results do not depend on it); a gram of more than one of
 #: HOT_SHARE strings of it counts as the largest, so there are fewer than HOT_SHARE of these.
 SAMPLE_DOCS = 2_000
@@ -78,18 +81,14 @@ def _window_minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def cut_strings(data: np.ndarray, offsets: np.ndarray, hot: np.ndarray):
-    """(start, length, place of the gram, number of the text) of the strings of concatenated texts.
-
-    Whether a window's minimizer is the same elsewhere depends on nothing but the window: the leftmost of the least
-    hashes, hot grams last.
-    """
+def _cut(data: np.ndarray, offsets: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, ...]:
     n = len(data)
     none = np.zeros(0, dtype=np.int64)
     if n < LENGTH:
-        return none, none, none, none
+        return none, none, none, none.astype(np.uint64), none
     words = _words_at(data)
     hashes = _gram_hashes(words[: n - GRAM + 1], words[GRAM - 8 : n - 7])
+    del words
     packed = (hashes >> np.uint64(33)) << np.uint64(32)
     if len(hot):
         known = np.zeros(1 << 16, dtype=bool)
@@ -98,16 +97,142 @@ def cut_strings(data: np.ndarray, offsets: np.ndarray, hot: np.ndarray):
         packed[maybe[np.isin(hashes[maybe], hot)]] |= np.uint64(1 << 63)
     packed |= np.arange(len(packed), dtype=np.uint64)
     least = _window_minima(packed, SPREAD)
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(least)]
-    inside = np.arange(len(least)) + LENGTH <= offsets[1:][text]
-    places = np.flatnonzero(inside)
+    text = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))[: len(least)]
+    places = np.flatnonzero(np.arange(len(least)) + LENGTH <= offsets[1:][text])
     if not len(places):
-        return none, none, none, none
+        return none, none, none, none.astype(np.uint64), none
     least, text = least[places], text[places]
     new = np.flatnonzero(np.append(True, (least[1:] != least[:-1]) | (text[1:] != text[:-1])))
     runs = np.diff(np.append(new, len(places)))
     gram = (least[new] & _LOW).astype(np.int64)
-    return places[new], runs + LENGTH - 1, gram, text[new]
+    return places[new], runs + LENGTH - 1, gram, hashes[gram], text[new].astype(np.int64)
+
+
+def cut_strings(data: np.ndarray, offsets: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(start, length, place of the gram, its hash, number of the text) of the strings of concatenated texts.
+
+    Whether a window's minimizer is the same elsewhere depends on nothing but the window: the leftmost of the least
+    hashes, hot grams last. A very long text is cut in overlapping pieces, which only makes more strings.
+    """
+    if len(offsets) > 2 or len(data) <= 2 * SHARD_BYTES:
+        return _cut(data, offsets, hot)
+    parts = []
+    for low in range(0, len(data), SHARD_BYTES):
+        piece = data[low : low + SHARD_BYTES + LENGTH - 1]
+        start, length, gram, hashes, text = _cut(piece, np.array([0, len(piece)]), hot)
+        parts.append((start + low, length, gram + low, hashes, text))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _compressed(data: bytes, level: int = 1) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=level).compress(data)
+
+
+def _restored(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _numbers(values: list) -> np.ndarray:
+    return np.array(values, dtype=np.int64)
+
+
+def _text_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task function: (id, key, text) to (shard, ids, keys, data), some whole texts a row."""
+    number = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for first, data, offsets in text_slices(batch.column(2), SHARD_BYTES):
+            n = len(offsets) - 1
+            whole = pa.array([0, n], pa.int32())
+            ids, keys = (pa.ListArray.from_arrays(whole, batch.column(k).slice(first, n)) for k in (0, 1))
+            packed = struct.pack("<Q", n) + offsets.astype(np.int64).tobytes() + _compressed(data.tobytes(), 3)
+            columns = [pa.array([number], pa.int64()), ids, keys, pa.array([packed], pa.binary())]
+            yield pa.record_batch(columns, names=["shard", "ids", "keys", "data"])
+            number += 1
+
+
+def _texts(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of the texts of a shard."""
+    n = struct.unpack_from("<Q", packed)[0]
+    offsets = np.frombuffer(packed, np.int64, n + 1, 8)
+    return np.frombuffer(_restored(packed[16 + 8 * n :]), np.uint8), offsets
+
+
+def _rows_of(batch: pa.RecordBatch) -> Iterator[list]:
+    """The rows of a batch one by one."""
+    for k in range(batch.num_rows):
+        yield [column[k].as_py() for column in batch.columns]
+
+
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(values, order, starts): sorted distinct 48-bit values of gram hashes; order[starts[k] : …] have the k-th."""
+    values = mix(hashes ^ _SALT) >> np.uint64(16)
+    order = np.argsort(values)
+    starts = np.flatnonzero(np.append(True, np.diff(values[order]) > 0)) if len(order) else order
+    return values[order][starts], order, starts
+
+
+def _bucket_edges(values: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int]]:
+    """(bucket, first, end) of sorted values."""
+    own = ((values >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    firsts = np.flatnonzero(np.append(True, np.diff(own) > 0)) if len(own) else own
+    return zip(own[firsts].tolist(), firsts.tolist(), [*firsts[1:].tolist(), len(own)])
+
+
+def _gram_lists(hot: list[int], buckets: int):
+    """Task function: (shard, keys, data) to (bucket, shard, grams), the distinct grams of a shard in a bucket."""
+    hot = np.array(sorted(hot), dtype=np.int64).view(np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, keys, data in _rows_of(batch):
+                _, _, _, hashes, text = cut_strings(*_texts(data), hot)
+                values, order, starts = _distinct(hashes)
+                if not len(values):
+                    continue
+                doc = _numbers(keys)[text][order]
+                several = np.minimum.reduceat(doc, starts) < np.maximum.reduceat(doc, starts)
+                rows = []
+                for bucket, low, high in _bucket_edges(values, buckets):
+                    steps = np.diff(values[low:high], prepend=np.uint64(0))
+                    planes = steps.view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes()
+                    bits = np.packbits(several[low:high]).tobytes()
+                    rows.append((bucket, struct.pack("<I", high - low) + _compressed(planes + bits)))
+                columns = [pa.array([b for b, _ in rows], pa.int32()), pa.array([shard] * len(rows), pa.int64())]
+                yield pa.record_batch([*columns, pa.array([g for _, g in rows], pa.binary())], names=["bucket", "shard", "grams"])
+
+    return run
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task function over the rows of a bucket: (shard, bucket, n, bits), which grams of the list stand in several documents."""
+    origin, lists, flags = [], [], []
+    for batch in batches:
+        for bucket, shard, grams in _rows_of(batch):
+            n = struct.unpack_from("<I", grams)[0]
+            data = np.frombuffer(_restored(grams[4:]), np.uint8)
+            steps = np.zeros((n, 8), dtype=np.uint8)
+            steps[:, :6] = data[: 6 * n].reshape(6, n).T
+            lists.append(np.cumsum(steps.view(np.uint64)[:, 0], dtype=np.uint64))
+            flags.append(np.unpackbits(data[6 * n :], count=n).astype(bool))
+            origin.append((shard, bucket))
+    if not lists:
+        return
+    values, several = np.concatenate(lists), np.concatenate(flags)
+    order = np.argsort(values)
+    starts = np.flatnonzero(np.append(True, np.diff(values[order]) > 0))
+    sizes = np.diff(np.append(starts, len(order)))
+    again = (sizes > 1) | np.logical_or.reduceat(several[order], starts)
+    several[order] = np.repeat(again, sizes)
+    edges = np.cumsum([0, *map(len, lists)])
+    rows = [(*o, int(several[a:b].sum()), np.packbits(several[a:b]).tobytes()) for o, a, b in zip(origin, edges, edges[1:])]
+    rows = [r for r in rows if r[2]]
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
+    columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+    yield pa.record_batch(columns, names=["shard", "bucket", "n", "bits"])
 
 
 def _matrix(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -124,7 +249,7 @@ def _equal_groups(rows: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np
     hashes = lengths.astype(np.uint64)
     for k in range(_LANES):
         hashes = mix(hashes * _SALT + lanes[:, k])
-    order = np.argsort(hashes, kind="stable")
+    order = np.argsort(hashes)
     same = np.flatnonzero(hashes[order][1:] == hashes[order][:-1])
     a, b = order[same], order[same + 1]
     same = same[(lanes[a] == lanes[b]).all(axis=1) & (lengths[a] == lengths[b])]
@@ -135,13 +260,14 @@ def _equal_groups(rows: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np
 
 @dataclass
 class Strings:
-    """Strings with the document (id and hash of its text) and the place that each comes from."""
+    """Strings with the shard, the number of the text in it and the place that each comes from, and its document's key."""
 
     rows: np.ndarray
     lengths: np.ndarray
     gram: np.ndarray
-    doc: np.ndarray
-    part: np.ndarray
+    key: np.ndarray
+    shard: np.ndarray
+    number: np.ndarray
     start: np.ndarray
 
     def pick(self, wanted: np.ndarray) -> Strings:
@@ -157,7 +283,7 @@ class Strings:
     def hashes(self) -> np.ndarray:
         """Hash of each string's gram."""
         at = np.arange(len(self))[:, None]
-        grams = self.rows[at, self.gram[:, None] + np.arange(GRAM)].copy().view(np.uint64)
+        grams = self.rows[at, self.gram[:, None] + np.arange(GRAM)].view(np.uint64)
         return _gram_hashes(grams[:, 0], grams[:, 1])
 
     def repeated(self) -> np.ndarray:
@@ -165,136 +291,134 @@ class Strings:
         out = np.zeros(len(self), dtype=bool)
         if len(self):
             order, starts = _equal_groups(self.rows, self.lengths)
-            least = np.minimum.reduceat(self.doc[order], starts)
-            out[order] = self.doc[order] > np.repeat(least, np.diff(np.append(starts, len(order))))
+            least = np.minimum.reduceat(self.key[order], starts)
+            out[order] = self.key[order] > np.repeat(least, np.diff(np.append(starts, len(order))))
         return out
 
-    def packed(self) -> bytes:
-        import zstandard
+    def ranges(self) -> np.ndarray:
+        """(shard, number, start, end) of whole strings."""
+        return np.stack([self.shard, self.number, self.start, self.start + self.lengths], axis=1)
 
+    def packed(self) -> bytes:
+        """All but the shard."""
         used = np.arange(self.rows.shape[1]) < self.lengths[:, None]
-        columns = (self.lengths, np.uint8), (self.gram, np.uint8), (self.doc, np.int64), (self.part, np.int64), (self.start, np.int64)
+        columns = (self.lengths, np.uint8), (self.gram, np.uint8), (self.key, np.int64), (self.number, np.int64), (self.start, np.int64)
         data = b"".join([*(x.astype(kind).tobytes() for x, kind in columns), self.rows[used].tobytes()])
-        return struct.pack("<I", len(self)) + zstandard.ZstdCompressor(level=1).compress(data)
+        return struct.pack("<I", len(self)) + _compressed(data)
 
     @staticmethod
-    def unpacked(blob: bytes) -> Strings:
-        import zstandard
-
+    def unpacked(shard: int, blob: bytes) -> Strings:
         n, at, columns = struct.unpack_from("<I", blob)[0], 0, []
-        data = zstandard.ZstdDecompressor().decompress(blob[4:])
+        data = _restored(blob[4:])
         for kind in (np.uint8, np.uint8, np.int64, np.int64, np.int64):
             columns.append(np.frombuffer(data, kind, n, at))
             at += columns[-1].nbytes
-        lengths, gram, doc, part, start = columns
+        lengths, gram, key, number, start = columns
         lengths, gram = lengths.astype(np.int64), gram.astype(np.int64)
         rows = np.zeros((n, 8 * _LANES), dtype=np.uint8)
         rows[np.arange(8 * _LANES) < lengths[:, None]] = np.frombuffer(data, np.uint8, offset=at)
-        return Strings(rows, lengths, gram, doc, part, start)
+        return Strings(rows, lengths, gram, key, np.full(n, shard), number, start)
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, place of the data in its text, data, offsets); a very long text comes in overlapping pieces."""
-    for first, data, offsets in text_slices(texts, SLICE_BYTES):
-        step = len(data) if len(offsets) > 2 else SLICE_BYTES
-        for low in range(0, max(1, len(data)), max(1, step)):
-            piece = data[low : low + step + LENGTH - 1] if len(offsets) == 2 else data
-            yield first, low, piece, np.array([0, len(piece)]) if len(offsets) == 2 else offsets
+def _by_shard(ranges: np.ndarray) -> pa.RecordBatch:
+    """(shard, ranges): packed (number, start, end) of (shard, number, start, end), a row for each shard."""
+    ranges = ranges[np.argsort(ranges[:, 0], kind="stable")]
+    edges = np.append(np.flatnonzero(np.append(True, np.diff(ranges[:, 0]) > 0)), len(ranges)).tolist()
+    data = [np.ascontiguousarray(ranges[a:b, 1:]).tobytes() for a, b in zip(edges, edges[1:])]
+    shards = pa.array(np.ascontiguousarray(ranges[edges[:-1], 0]))
+    return pa.record_batch([shards, pa.array(data, pa.binary())], names=["shard", "ranges"])
 
 
-def _cut(hot: list[int], buckets: int):
-    """Task function: (doc, part, text) to (bucket, kind, data); kind 0 are strings, 1 ranges that are removed."""
+def _survivors(hot: list[int], gram_buckets: int, buckets: int):
+    """Task function: (shard, keys, data, marks) to (bucket, shard, strings, ranges): what is sent, what goes at once."""
     hot = np.array(sorted(hot), dtype=np.int64).view(np.uint64)
 
-    def hand_on(held: list[Strings]) -> Iterator[tuple[int, int, bytes]]:
-        all_of_them = Strings.joined(held)
-        gone = all_of_them.repeated()
-        if gone.any():
-            own = all_of_them.pick(gone)
-            ranges = np.stack([own.doc, own.part, own.start, own.start + own.lengths], axis=1)
-            yield int(abs(int(own.part[0])) % buckets), 1, ranges.tobytes()
-        left = all_of_them.pick(~gone)
-        bucket = (mix(left.hashes() ^ _SALT) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        edges = np.searchsorted(bucket[order], np.arange(buckets + 1)) if buckets < len(order) else None
-        if edges is None:
-            edges = np.append(np.flatnonzero(np.append(True, np.diff(bucket[order]) > 0)), len(order))
-        for low, high in zip(edges[:-1], edges[1:]):
-            if high > low:
-                yield int(bucket[order[low]]), 0, left.pick(order[low:high]).packed()
-
-    def batch_of(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-        kinds = (pa.int32(), pa.int32(), pa.binary())
-        columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-        return pa.record_batch(columns, names=["bucket", "kind", "data"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
         for batch in batches:
-            docs, parts = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for first, base, data, offsets in _slices(batch.column(2)):
-                starts, lengths, gram, text = cut_strings(data, offsets, hot)
-                if len(starts):
-                    place = starts - offsets[text] + base
-                    rows = _matrix(data, starts, lengths)
-                    held.append(Strings(rows, lengths, gram - starts, docs[first + text], parts[first + text], place))
-                    size += len(data)
-                if size > FLUSH_BYTES:
-                    yield batch_of(list(hand_on(held)))
-                    held, size = [], 0
-        if held:
-            yield batch_of(list(hand_on(held)))
+            for shard, keys, packed, marks in _rows_of(batch):
+                data, offsets = _texts(packed)
+                start, length, gram, hashes, text = cut_strings(data, offsets, hot)
+                values, order, starts = _distinct(hashes)
+                bits = {m["bucket"]: m["bits"] for m in marks}
+                again = np.zeros(len(values), dtype=bool)
+                for bucket, low, high in _bucket_edges(values, gram_buckets):
+                    if bucket in bits:
+                        again[low:high] = np.unpackbits(np.frombuffer(bits[bucket], np.uint8), count=high - low)
+                wanted = np.zeros(len(hashes), dtype=bool)
+                wanted[order] = np.repeat(again, np.diff(np.append(starts, len(order))))
+                start, length, gram, hashes, text = (x[wanted] for x in (start, length, gram, hashes, text))
+                rows = _matrix(data, start, length)
+                own = Strings(rows, length, gram - start, _numbers(keys)[text], np.full(len(text), shard), text, start - offsets[text])
+                gone = own.repeated()
+                found = []
+                if gone.any():
+                    ranges = own.pick(gone).ranges()
+                    found.append((shard % buckets, None, np.ascontiguousarray(ranges[:, 1:]).tobytes()))
+                own, hashes = own.pick(~gone), hashes[~gone]
+                bucket = (mix(hashes + _SALT) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                edges = np.append(np.flatnonzero(np.append(True, np.diff(bucket[order]) > 0)), len(order)) if len(order) else order
+                for low, high in zip(edges[:-1], edges[1:]):
+                    found.append((int(bucket[order[low]]), own.pick(order[low:high]).packed(), None))
+                columns = [pa.array([r[0] for r in found], pa.int32()), pa.array([shard] * len(found), pa.int64())]
+                columns += [pa.array([r[k] for r in found], pa.binary()) for k in (1, 2)]
+                yield pa.record_batch(columns, names=["bucket", "shard", "strings", "ranges"])
 
     return run
 
 
-def shard_transform(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(suffix array, Burrows-Wheeler transform, last-to-first map) of strings that each end with _END.
+def shard_transform(text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(suffix array, Burrows-Wheeler transform, last-to-first map) of strings of these lengths, _END after each.
 
     Equal suffixes of several strings stand in the order of the strings.
     """
     n = len(text)
-    padded = np.append(text, np.full(8, _END, dtype=np.uint8)).astype(np.uint64)
-    key, open_ = np.zeros(n, dtype=np.uint64), np.ones(n, dtype=bool)
+    string = np.repeat(np.arange(len(lengths)), lengths + 1)
+    left = np.cumsum(lengths + 1)[string] - np.arange(n)  # characters with the end
+    padded = np.append(text, np.zeros(8, dtype=np.uint8)).astype(np.uint64)
+    key = np.zeros(n, dtype=np.uint64)
     for k in range(8):
-        byte = padded[k : k + n]
-        key = (key << np.uint64(8)) | np.where(open_, byte, np.uint64(0))
-        open_ &= byte != _END
-    order = np.argsort(key, kind="stable")
-    # suffixes with an end in their first characters are in their final order, by string
-    new = np.append(True, (key[order][1:] != key[order][:-1]) | ~open_[order][1:])
+        key = (key << np.uint64(8)) | np.where(left > k, padded[k : k + n], np.uint64(0))
+    order = np.argsort(key)
+    new = np.append(True, key[order][1:] != key[order][:-1])
     rank, size = np.empty(n, dtype=np.int64), 8
     rank[order] = np.cumsum(new) - 1
     while not new.all():
         later = np.append(rank[size:], np.zeros(min(size, n), dtype=np.int64))[:n]
-        both = (rank << 32) | later
+        both = (rank << 32) | np.where(left <= size, string, later)
         order = np.argsort(both)
-        new = np.append(True, np.diff(both[order]) > 0)
+        both = both[order]
+        new = np.append(True, both[1:] != both[:-1])
         rank[order] = np.cumsum(new) - 1
         size *= 2
     before = np.append(np.uint8(_END), text[:-1])[order]
     # rows with equal characters before them stand in the order of the suffixes that begin with these characters
     first = np.empty(n, dtype=np.int32)
     first[np.argsort(before, kind="stable")] = np.arange(n, dtype=np.int32)
-    return order.astype(np.int32), before, first
+    return order, before, first
 
 
-def merge_shards(shards: list[tuple[np.ndarray, np.ndarray]], length: int) -> tuple[np.ndarray, np.ndarray]:
+def merge_shards(
+    shards: list[tuple[np.ndarray, np.ndarray]], length: int, ends: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """(row, block) of the rows, counted over all shards, whose first ``length`` characters stand at several rows.
 
     ``shards`` are (transform, last-to-first map). The rows come in the merged order, blocks of equal prefixes in turn.
+    ``ends`` are the rows of the suffixes right after the strings of ``length`` that are asked for, all if not given.
     """
     sizes = np.cumsum([0, *(len(b) for b, _ in shards)])
     before = np.concatenate([b for b, _ in shards])
-    first = np.concatenate([f + base for (_, f), base in zip(shards, sizes)]).astype(np.int32)
+    first = np.concatenate([f + base for (_, f), base in zip(shards, sizes.tolist())]).astype(np.int32)
     # two characters a step: the pair before each row, and the row of the suffix that begins with the pair
     pair = (before[first].astype(np.uint16) << np.uint16(8)) | before
     whole = (before != _END) & (before[first] != _END)
     moves = [(before, before != _END, first)] * (length % 2) + [(pair, whole, first[first])] * (length // 2)
-    rows, block = np.arange(len(before), dtype=np.int32), np.zeros(len(before), dtype=np.int32)
+    rows = np.arange(len(before), dtype=np.int32) if ends is None else ends.astype(np.int32)
+    block = np.zeros(len(rows), dtype=np.int32)
     for characters, inside, target in moves:
         stays = inside[rows]
-        rows, block = rows[stays], block[stays]
+        if not stays.all():
+            rows, block = rows[stays], block[stays]
         c = characters[rows]
         order = np.argsort(c, kind="stable")
         c, block, rows = c[order], block[order], target[rows[order]]
@@ -308,141 +432,154 @@ def merge_shards(shards: list[tuple[np.ndarray, np.ndarray]], length: int) -> tu
 
 
 def _merged(strings: Strings) -> Iterator[np.ndarray]:
-    """Ranges (doc, part, start, end) of the strings that stand in smaller documents."""
+    """Ranges (shard, number, start, end) of the strings that stand in smaller documents."""
     if strings.lengths.sum() > 4 * MERGE_BYTES:  # one gram of very many strings: equal ones first
         gone = strings.repeated()
-        own = strings.pick(gone)
-        yield np.stack([own.doc, own.part, own.start, own.start + own.lengths], axis=1)
+        yield strings.pick(gone).ranges()
         strings = strings.pick(~gone)
     shards, places, numbers = [], [], []
-    cuts = np.cumsum(strings.lengths + 1) // SHARD_BYTES
+    cuts = np.cumsum(strings.lengths + 1) // SORT_BYTES
     edges = np.append(np.flatnonzero(np.append(True, np.diff(cuts) > 0)), len(strings))
     for low, high in zip(edges[:-1], edges[1:]):
         lengths = strings.lengths[low:high]
         rows = np.concatenate([strings.rows[low:high], np.zeros((high - low, 1), dtype=np.uint8)], axis=1)
         rows[np.arange(high - low), lengths] = _END
         text = rows[np.arange(rows.shape[1]) <= lengths[:, None]]
-        ends = np.cumsum(lengths + 1)
-        order, before, first = shard_transform(text, ends)
+        order, before, first = shard_transform(text, lengths)
         shards.append((before, first))
-        string = np.searchsorted(ends, order, side="right")
+        string = np.repeat(np.arange(high - low), lengths + 1)[order]
         numbers.append(string + low)
-        places.append(order - (ends - lengths - 1)[string])
-    rows, block = merge_shards(shards, LENGTH)
+        places.append(order - (np.cumsum(lengths + 1) - lengths - 1)[string])
+    string, place = np.concatenate(numbers), np.concatenate(places)
+    rows, block = merge_shards(shards, LENGTH, np.flatnonzero(place >= LENGTH))
     if not len(rows):
         return
-    string, place = np.concatenate(numbers)[rows], np.concatenate(places)[rows]
-    doc = strings.doc[string]
+    string, place = string[rows], place[rows]
+    key = strings.key[string]
     starts = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
-    least = np.repeat(np.minimum.reduceat(doc, starts), np.diff(np.append(starts, len(doc))))
-    string, place = string[doc > least], place[doc > least]
+    later = key > np.repeat(np.minimum.reduceat(key, starts), np.diff(np.append(starts, len(key))))
+    string, place = string[later], place[later]
     if not len(string):
         return
     # windows of one string overlap, so what they cover is one range
-    order = np.lexsort((place, string))
+    order = np.argsort(string * 256 + place)
     string, place = string[order], place[order]
     starts = np.flatnonzero(np.append(True, string[1:] != string[:-1]))
-    string, low, high = string[starts], place[starts], np.maximum.reduceat(place, starts) + LENGTH
-    begin = strings.start[string]
-    yield np.stack([strings.doc[string], strings.part[string], begin + low, begin + high], axis=1)
+    own, low, high = string[starts], place[starts], place[np.append(starts[1:], len(place)) - 1] + LENGTH
+    begin = strings.start[own]
+    yield np.stack([strings.shard[own], strings.number[own], begin + low, begin + high], axis=1)
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task function over the rows of one bucket, or several: (doc, part, start, end) of what is removed."""
-    names = ["doc", "part", "start", "end"]
-
-    def batch_of(ranges: np.ndarray) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(np.ascontiguousarray(ranges[:, k])) for k in range(4)], names=names)
-
-    blobs = []
+    """Task function over the rows of one bucket: (shard, ranges) of what is removed."""
+    found = []
     for batch in batches:
-        for kind, data in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            if kind:
-                yield batch_of(np.frombuffer(data, np.int64).reshape(-1, 4))
+        for _, shard, strings, ranges in _rows_of(batch):
+            if ranges is not None:
+                yield pa.record_batch([pa.array([shard], pa.int64()), pa.array([ranges], pa.binary())], names=["shard", "ranges"])
             else:
-                blobs.append(data)
-    if not blobs:
-        return
-    # the grams first: strings of a gram that one document alone has are not kept
-    found = [(s.hashes(), s.doc) for s in map(Strings.unpacked, blobs)]
-    hashes, doc = np.concatenate([h for h, _ in found]), np.concatenate([d for _, d in found])
-    order = np.argsort(hashes)
-    starts = np.flatnonzero(np.append(True, np.diff(hashes[order]) > 0))
-    several = np.minimum.reduceat(doc[order], starts) < np.maximum.reduceat(doc[order], starts)
-    wanted = np.zeros(len(hashes), dtype=bool)
-    wanted[order] = np.repeat(several, np.diff(np.append(starts, len(order))))
-    edges = np.cumsum([0, *(len(h) for h, _ in found)])
-    kept = [Strings.unpacked(b).pick(wanted[x:y]) for b, x, y in zip(blobs, edges, edges[1:]) if wanted[x:y].any()]
-    if not kept:
+                found.append(Strings.unpacked(shard, strings))
+    if not found:
         return
-    strings, hashes = Strings.joined(kept), hashes[wanted]
+    strings = Strings.joined(found)
+    del found
+    hashes = strings.hashes()
     order = np.argsort(hashes, kind="stable")
     new = np.append(True, np.diff(hashes[order]) > 0)
     # grams are dealt to merges whole; in a merge the strings stand as they came, shard after shard
     before = np.cumsum(strings.lengths[order]) - strings.lengths[order]
     at = np.maximum.accumulate(np.where(new, before, 0)) // MERGE_BYTES
     edges = np.append(np.flatnonzero(np.append(True, np.diff(at) > 0)), len(order))
+    ranges = [np.zeros((0, 4), dtype=np.int64)]
     for low, high in zip(edges[:-1], edges[1:]):
-        for ranges in _merged(strings.pick(np.sort(order[low:high]))):
-            if len(ranges):
-                yield batch_of(ranges)
+        ranges += _merged(strings.pick(np.sort(order[low:high])))
+    ranges = np.concatenate(ranges)
+    if len(ranges):
+        yield _by_shard(ranges)
 
 
-def frequent_grams(rows: DataFrame) -> list[int]:
-    """Hashes of the grams that very many strings of a sample of (doc, part, text) meet at; fewer than HOT_SHARE."""
-    n = rows.count()
-    place = F.pmod(F.xxhash64("doc", "part", F.lit(13)), F.lit(1 << 40))
-    drawn = rows.where(place < F.lit((SAMPLE_DOCS << 40) // max(n, SAMPLE_DOCS)))
+def frequent_grams(shards: DataFrame) -> list[int]:
+    """Hashes of the grams that very many strings of a sample of texts meet at; fewer than HOT_SHARE."""
+    n = shards.agg(F.sum(F.size("keys"))).first()[0] or 0
+    share = min(1.0, SAMPLE_DOCS / max(n, 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in _slices(batch.column(2)):
-                starts, lengths, gram, _ = cut_strings(data, offsets, np.zeros(0, dtype=np.uint64))
-                if len(starts):
-                    own = np.stack([data[gram + k] for k in range(GRAM)], axis=1).view(np.uint64)
-                    hashes, amounts = np.unique(_gram_hashes(own[:, 0], own[:, 1]), return_counts=True)
-                    columns = [pa.array(hashes.view(np.int64)), pa.array(amounts.astype(np.int64))]
+            for shard, packed in _rows_of(batch):
+                data, offsets = _texts(packed)
+                own = np.random.default_rng(shard).random(len(offsets) - 1) < share
+                texts = [data[a:b] for a, b, o in zip(offsets[:-1], offsets[1:], own) if o]
+                if texts:
+                    hashes = cut_strings(np.concatenate(texts), np.cumsum([0, *map(len, texts)]), np.zeros(0, dtype=np.uint64))[3]
+                    grams, amounts = np.unique(hashes, return_counts=True)
+                    columns = [pa.array(grams.view(np.int64)), pa.array(amounts.astype(np.int64))]
                     yield pa.record_batch(columns, names=["gram", "n"])
 
-    counts = drawn.select("doc", "part", "text").mapInArrow(run, "gram bigint, n bigint")
+    counts = shards.select("shard", "data").mapInArrow(run, "gram bigint, n bigint")
     counts = stored(counts.groupBy("gram").agg(F.sum("n").alias("n")), "sampled-grams")
     total = counts.agg(F.sum("n")).first()[0] or 0
     return [r["gram"] for r in counts.where(F.col("n") * HOT_SHARE > total).select("gram").collect()]
 
 
-def repeated_ranges(rows: DataFrame) -> DataFrame:
-    """(doc, part, start, end): byte ranges of (doc, part, text) that are to be removed; they may overlap."""
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # a string has SPREAD / 2 windows or so
-    buckets = max(1, -(-size * (1 + 2 * LENGTH // SPREAD) // BUCKET_BYTES))
-    cut = rows.select("doc", "part", "text").mapInArrow(_cut(frequent_grams(rows), buckets), "bucket int, kind int, data binary")
-    return cut.repartitionById(buckets, "bucket").mapInArrow(_merge, "doc bigint, part bigint, start bigint, end bigint")
+def text_shards(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(shard, ids, keys, n_bytes, data) of all rows, stored; an id's key is its number, the least one for NULL."""
+    key = F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NO_ID))
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col), key.alias("key"), F.col(text_col))
+    out = f"shard bigint, ids array<{kind}>, keys array<bigint>, data binary"
+    return stored(rows.mapInArrow(_text_shards, out), "text-shards")
+
+
+def repeated_ranges(shards: DataFrame) -> DataFrame:
+    """(shard, ranges): packed (text number, start, end) of the byte ranges that are to be removed; they may overlap."""
+    n_shards = shards.count()
+    hot = frequent_grams(shards)
+    # a string for half of SPREAD windows or so, and at most SHARD_BYTES of text in most shards
+    grams = max(1, -(-n_shards * (2 * SHARD_BYTES // SPREAD) // BUCKET_GRAMS))
+    lists = shards.select("shard", "keys", "data").mapInArrow(_gram_lists(hot, grams), "bucket int, shard bigint, grams binary")
+    marks = lists.repartitionById(grams, "bucket").mapInArrow(_marked, "shard bigint, bucket int, n bigint, bits binary")
+    marks = stored(marks, "marks")
+    strings = marks.agg(F.sum("n")).first()[0] or 0
+    buckets = max(1, -(-strings * LONGEST // BUCKET_BYTES))
+    marks = marks.groupBy("shard").agg(F.collect_list(F.struct("bucket", "bits")).alias("marks"))
+    known = shards.select("shard", "keys", "data").join(marks, "shard")
+    sent = known.mapInArrow(_survivors(hot, grams, buckets), "bucket int, shard bigint, strings binary, ranges binary")
+    return sent.repartitionById(buckets, "bucket").mapInArrow(_merge, "shard bigint, ranges binary")
 
 
 _SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task function: (id, text, ranges) to (id, n_bytes, removed, kept)."""
+    """Task function: (ids, data, ranges) to (doc_id, n_bytes, removed, kept) of each text."""
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch in batches:
-        for first in range(0, batch.num_rows, 256):
-            some = batch.slice(first, 256)
-            sizes, spans, kept = [], [], []
-            for text, ranges in zip(some.column(1).cast(pa.large_binary()).to_pylist(), some.column(2).to_pylist()):
-                text, at, own, left = text or b"", 0, [], []
-                for r in ranges or []:  # in the order of their starts
-                    if own and r["start"] <= own[-1]["end"]:
-                        own[-1]["end"] = max(own[-1]["end"], r["end"])
-                    else:
-                        own.append(dict(r))
-                for r in own:
-                    left.append(text[at : r["start"]])
-                    at = r["end"]
-                sizes.append(len(text))
-                spans.append(own)
-                kept.append(b"".join([*left, text[at:]]) if own else text)
-            columns = [some.column(0), pa.array(sizes, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())]
+        for k in range(batch.num_rows):
+            data, offsets = _texts(batch.column(1)[k].as_py())
+            own = [np.zeros((0, 3), dtype=np.int64)]
+            own += [np.frombuffer(r, np.int64).reshape(-1, 3) for r in batch.column(2)[k].as_py() or []]
+            ranges = np.concatenate(own)
+            # ranges in places of the shard's text, joined where they touch within a text
+            edges = np.zeros(len(data) + 1, dtype=np.int32)
+            np.add.at(edges, offsets[ranges[:, 0]] + ranges[:, 1], 1)
+            np.add.at(edges, offsets[ranges[:, 0]] + ranges[:, 2], -1)
+            gone = np.cumsum(edges[:-1]) > 0
+            change = gone[1:] != gone[:-1]
+            change[offsets[(offsets > 0) & (offsets < len(data))] - 1] = True
+            starts = np.append(0, np.flatnonzero(change) + 1) if len(data) else np.zeros(0, dtype=np.int64)
+            ends = np.append(starts[1:], len(data))[: len(starts)]
+            starts, ends = starts[gone[starts]], ends[gone[starts]]
+            text = np.searchsorted(offsets, starts, side="right") - 1
+            per_text = np.searchsorted(text, np.arange(len(offsets)))
+            spans = pa.StructArray.from_arrays([pa.array(starts - offsets[text]), pa.array(ends - offsets[text])], ["start", "end"])
+            left = np.append(0, np.cumsum(~gone))[offsets]
+            kept = data[~gone].tobytes()
+            columns = [
+                batch.column(0)[k].values,
+                pa.array(np.diff(offsets)),
+                pa.ListArray.from_arrays(pa.array(per_text, pa.int32()), spans).cast(span),
+                pa.array([kept[a:b] for a, b in zip(left[:-1], left[1:])], pa.binary()),
+            ]
             yield pa.record_batch(columns, names=["doc_id", "n_bytes", "removed", "kept"])
 
 
@@ -454,11 +591,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     document, so they remove nothing from each other. NULL and empty texts have no bytes, and a text of fewer than LENGTH
     bytes keeps all. An empty table gives no row. Other columns are not read.
     """
-    key = F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NO_ID))
-    rows = docs.select(F.col(id_col).alias("doc_id"), key.alias("doc"), F.xxhash64(F.col(text_col)).alias("part"), F.col(text_col).alias("text"))
-    long = rows.where(F.octet_length("text") >= LENGTH)
-    ranges = repeated_ranges(long).groupBy("doc", "part")
-    ranges = ranges.agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("ranges"))
-    both = rows.join(ranges, ["doc", "part"], "left").select("doc_id", "text", "ranges")
+    shards = text_shards(docs, id_col, text_col)
+    ranges = repeated_ranges(shards).groupBy("shard").agg(F.collect_list("ranges").alias("ranges"))
+    both = shards.select("shard", "ids", "data").join(ranges, "shard", "left").select("ids", "data", "ranges")
     kind = docs.schema[id_col].dataType.simpleString()
     return both.mapInArrow(_without, f"doc_id {kind}, n_bytes bigint, removed {_SPANS}, kept binary")

@@ -4,19 +4,20 @@ A byte is removed if a string of LENGTH bytes that covers it also starts in a do
 
 Texts are stored as shards, compressed runs of whole texts, which is all that moves later. They are cut into short strings
 that together hold every window of LENGTH bytes once: consecutive windows with the same minimizer (the place of the least
-hash of GRAM bytes in the window) make one string. Equal windows have equal minimizers, so a string whose gram stands in one
-document only cannot repeat: shards send the hashes of their grams to be counted, and get back a bit for each. Grams that a
-sample finds very frequent count as the largest, so that strings do not crowd around them.
+hash of GRAM bytes in the window) make one string. Equal windows have equal minimizers, and equal text on that side of it
+where the window has more: a string whose gram, with so much of the text before or after it, stands in one document only
+cannot repeat. Shards send the hashes of these to be counted, and get back a bit for each. Grams that a sample finds very
+frequent count as the largest, so that strings do not crowd around them.
 
-Strings of repeated grams meet in buckets by gram. A shard's strings in a bucket are suffix-sorted by themselves, which
-gives their Burrows-Wheeler transform. The transforms are merged without sorting their suffixes again: the interleave, which
+The other strings meet in buckets by gram, equal ones as the one of the least document. Some of a bucket at a time are
+suffix-sorted by themselves, which gives their Burrows-Wheeler transform. The transforms are merged without sorting their suffixes again: the interleave, which
 tells from what shard the next row of the merged order comes, starts with one shard after the other and is refined by
 putting the rows, in the order so far, into buckets of the characters before them. After h characters rows stand in the
 order of their first h characters, and neighbours differ within these where a block boundary has come up (their common
 prefix is the number of characters when it did). Only rows where windows end take part, blocks of one row cannot repeat and
 are dropped on the way, and the blocks left after LENGTH characters are the repeated intervals.
 
-Of equal strings in a shard only those of the least document are sent, the others are known to go.
+Of equal strings those of all documents but the least are known to go, in a shard before any are sent.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ GRAM = 16
 #: Windows with one minimizer, at most; the longest string.
 SPREAD = LENGTH - GRAM + 1
 LONGEST = LENGTH + SPREAD - 1
+#: A window has so many bytes before its gram, or after it.
+BESIDE = (LENGTH - GRAM) // 2
 #: Bytes of text in a shard (a longer text is one by itself), and of those that are cut at once.
 SHARD_BYTES = 1 << 20
 #: Grams that are counted in one task, and bytes of strings in a bucket.
@@ -56,6 +59,7 @@ _LANES = -(-LONGEST // 8)
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64(0xFFFFFFFF)
 _NO_ID = -(1 << 63)
+_NOWHERE = np.uint64((1 << 64) - 1)
 
 
 def _words_at(data: np.ndarray) -> np.ndarray:
@@ -73,6 +77,17 @@ def _gram_hashes(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return mix(mix(low) * _SALT + high)
 
 
+def _beside(words: np.ndarray, starts: np.ndarray, inside: np.ndarray, side: int) -> np.ndarray:
+    """48-bit values of the GRAM + BESIDE bytes from each start on, _NOWHERE if they are not inside a text."""
+    out, size = np.full(len(starts), _NOWHERE), GRAM + BESIDE
+    starts = starts[inside]
+    hashes = np.full(len(starts), side, dtype=np.uint64)
+    for k in [*range(0, size - 8, 8), size - 8]:
+        hashes = mix(hashes * _SALT + words[starts + k])
+    out[inside] = hashes >> np.uint64(16)
+    return out
+
+
 def _window_minima(values: np.ndarray, width: int) -> np.ndarray:
     span = 1
     while 2 * span <= width:
@@ -85,10 +100,9 @@ def _cut(data: np.ndarray, offsets: np.ndarray, hot: np.ndarray) -> tuple[np.nda
     n = len(data)
     none = np.zeros(0, dtype=np.int64)
     if n < LENGTH:
-        return none, none, none, none.astype(np.uint64), none
+        return none, none, none, none, *[none.astype(np.uint64)] * 2
     words = _words_at(data)
     hashes = _gram_hashes(words[: n - GRAM + 1], words[GRAM - 8 : n - 7])
-    del words
     packed = (hashes >> np.uint64(33)) << np.uint64(32)
     if len(hot):
         known = np.zeros(1 << 16, dtype=bool)
@@ -100,16 +114,21 @@ def _cut(data: np.ndarray, offsets: np.ndarray, hot: np.ndarray) -> tuple[np.nda
     text = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))[: len(least)]
     places = np.flatnonzero(np.arange(len(least)) + LENGTH <= offsets[1:][text])
     if not len(places):
-        return none, none, none, none.astype(np.uint64), none
+        return none, none, none, none, *[none.astype(np.uint64)] * 2
     least, text = least[places], text[places]
     new = np.flatnonzero(np.append(True, (least[1:] != least[:-1]) | (text[1:] != text[:-1])))
     runs = np.diff(np.append(new, len(places)))
     gram = (least[new] & _LOW).astype(np.int64)
-    return places[new], runs + LENGTH - 1, gram, hashes[gram], text[new].astype(np.int64)
+    text = text[new].astype(np.int64)
+    after = _beside(words, gram, gram + GRAM + BESIDE <= offsets[1:][text], 1)
+    before = _beside(words, gram - BESIDE, gram - BESIDE >= offsets[text], 2)
+    return places[new], runs + LENGTH - 1, gram, text, before, after
 
 
 def cut_strings(data: np.ndarray, offsets: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(start, length, place of the gram, its hash, number of the text) of the strings of concatenated texts.
+    """(start, length, place of the gram, text, before, after) of the strings of concatenated texts.
+
+    text is its number, before and after are values of the gram with the BESIDE bytes before or after it.
 
     Whether a window's minimizer is the same elsewhere depends on nothing but the window: the leftmost of the least
     hashes, hot grams last. A very long text is cut in overlapping pieces, which only makes more strings.
@@ -119,8 +138,8 @@ def cut_strings(data: np.ndarray, offsets: np.ndarray, hot: np.ndarray) -> tuple
     parts = []
     for low in range(0, len(data), SHARD_BYTES):
         piece = data[low : low + SHARD_BYTES + LENGTH - 1]
-        start, length, gram, hashes, text = _cut(piece, np.array([0, len(piece)]), hot)
-        parts.append((start + low, length, gram + low, hashes, text))
+        start, length, gram, *rest = _cut(piece, np.array([0, len(piece)]), hot)
+        parts.append((start + low, length, gram + low, *rest))
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
@@ -167,12 +186,12 @@ def _rows_of(batch: pa.RecordBatch) -> Iterator[list]:
         yield [column[k].as_py() for column in batch.columns]
 
 
-def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(values, order, starts): sorted distinct 48-bit values of gram hashes; order[starts[k] : …] have the k-th."""
-    values = mix(hashes ^ _SALT) >> np.uint64(16)
-    order = np.argsort(values)
+def _distinct(before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct values, strings in the order of their values, where in it each value's begin)."""
+    values = np.concatenate([before, after])
+    order = np.argsort(values)[: len(values) - int((values == _NOWHERE).sum())]
     starts = np.flatnonzero(np.append(True, np.diff(values[order]) > 0)) if len(order) else order
-    return values[order][starts], order, starts
+    return values[order][starts], order % max(1, len(before)), starts
 
 
 def _bucket_edges(values: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int]]:
@@ -189,8 +208,8 @@ def _gram_lists(hot: list[int], buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, keys, data in _rows_of(batch):
-                _, _, _, hashes, text = cut_strings(*_texts(data), hot)
-                values, order, starts = _distinct(hashes)
+                _, _, _, text, before, after = cut_strings(*_texts(data), hot)
+                values, order, starts = _distinct(before, after)
                 if not len(values):
                     continue
                 doc = _numbers(keys)[text][order]
@@ -337,16 +356,16 @@ def _survivors(hot: list[int], gram_buckets: int, buckets: int):
         for batch in batches:
             for shard, keys, packed, marks in _rows_of(batch):
                 data, offsets = _texts(packed)
-                start, length, gram, hashes, text = cut_strings(data, offsets, hot)
-                values, order, starts = _distinct(hashes)
+                start, length, gram, text, before, after = cut_strings(data, offsets, hot)
+                values, order, starts = _distinct(before, after)
                 bits = {m["bucket"]: m["bits"] for m in marks}
                 again = np.zeros(len(values), dtype=bool)
                 for bucket, low, high in _bucket_edges(values, gram_buckets):
                     if bucket in bits:
                         again[low:high] = np.unpackbits(np.frombuffer(bits[bucket], np.uint8), count=high - low)
-                wanted = np.zeros(len(hashes), dtype=bool)
-                wanted[order] = np.repeat(again, np.diff(np.append(starts, len(order))))
-                start, length, gram, hashes, text = (x[wanted] for x in (start, length, gram, hashes, text))
+                wanted = np.zeros(len(start), dtype=bool)
+                wanted[order[np.repeat(again, np.diff(np.append(starts, len(order))))]] = True
+                start, length, gram, text = (x[wanted] for x in (start, length, gram, text))
                 rows = _matrix(data, start, length)
                 own = Strings(rows, length, gram - start, _numbers(keys)[text], np.full(len(text), shard), text, start - offsets[text])
                 gone = own.repeated()
@@ -354,8 +373,8 @@ def _survivors(hot: list[int], gram_buckets: int, buckets: int):
                 if gone.any():
                     ranges = own.pick(gone).ranges()
                     found.append((shard % buckets, None, np.ascontiguousarray(ranges[:, 1:]).tobytes()))
-                own, hashes = own.pick(~gone), hashes[~gone]
-                bucket = (mix(hashes + _SALT) % np.uint64(buckets)).astype(np.int64)
+                own = own.pick(~gone)
+                bucket = (mix(own.hashes() + _SALT) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 edges = np.append(np.flatnonzero(np.append(True, np.diff(bucket[order]) > 0)), len(order)) if len(order) else order
                 for low, high in zip(edges[:-1], edges[1:]):
@@ -432,11 +451,7 @@ def merge_shards(
 
 
 def _merged(strings: Strings) -> Iterator[np.ndarray]:
-    """Ranges (shard, number, start, end) of the strings that stand in smaller documents."""
-    if strings.lengths.sum() > 4 * MERGE_BYTES:  # one gram of very many strings: equal ones first
-        gone = strings.repeated()
-        yield strings.pick(gone).ranges()
-        strings = strings.pick(~gone)
+    """Ranges (shard, number, start, end) of what of the strings stands in smaller documents."""
     shards, places, numbers = [], [], []
     cuts = np.cumsum(strings.lengths + 1) // SORT_BYTES
     edges = np.append(np.flatnonzero(np.append(True, np.diff(cuts) > 0)), len(strings))
@@ -472,25 +487,38 @@ def _merged(strings: Strings) -> Iterator[np.ndarray]:
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task function over the rows of one bucket: (shard, ranges) of what is removed."""
-    found = []
+    held, size, ranges = [], 0, [np.zeros((0, 4), dtype=np.int64)]
+
+    def joined() -> Strings:
+        strings = Strings.joined(held)
+        gone = strings.repeated()
+        ranges.append(strings.pick(gone).ranges())
+        return strings.pick(~gone)
+
     for batch in batches:
-        for _, shard, strings, ranges in _rows_of(batch):
-            if ranges is not None:
-                yield pa.record_batch([pa.array([shard], pa.int64()), pa.array([ranges], pa.binary())], names=["shard", "ranges"])
-            else:
-                found.append(Strings.unpacked(shard, strings))
-    if not found:
+        for _, shard, strings, known in _rows_of(batch):
+            if known is not None:
+                yield pa.record_batch([pa.array([shard], pa.int64()), pa.array([known], pa.binary())], names=["shard", "ranges"])
+                continue
+            held.append(Strings.unpacked(shard, strings))
+            size += held[-1].rows.nbytes
+            if size > 4 * BUCKET_BYTES:  # a frequent gram: what is left of equal strings takes their place
+                held = [joined()]
+                size = held[0].rows.nbytes // 2
+    if not held:
         return
-    strings = Strings.joined(found)
-    del found
+    strings = joined()
+    held.clear()
     hashes = strings.hashes()
     order = np.argsort(hashes, kind="stable")
-    new = np.append(True, np.diff(hashes[order]) > 0)
+    new = np.append(True, np.diff(hashes[order]) > 0) if len(order) else np.zeros(0, dtype=bool)
+    # a string that has its gram for itself shares no window
+    alone = new & np.append(new[1:], True) if len(order) else new
+    order, new = order[~alone], new[~alone]
     # grams are dealt to merges whole; in a merge the strings stand as they came, shard after shard
     before = np.cumsum(strings.lengths[order]) - strings.lengths[order]
     at = np.maximum.accumulate(np.where(new, before, 0)) // MERGE_BYTES
-    edges = np.append(np.flatnonzero(np.append(True, np.diff(at) > 0)), len(order))
-    ranges = [np.zeros((0, 4), dtype=np.int64)]
+    edges = np.append(np.flatnonzero(np.append(True, np.diff(at) > 0)), len(order)) if len(order) else order
     for low, high in zip(edges[:-1], edges[1:]):
         ranges += _merged(strings.pick(np.sort(order[low:high])))
     ranges = np.concatenate(ranges)
@@ -510,8 +538,10 @@ def frequent_grams(shards: DataFrame) -> list[int]:
                 own = np.random.default_rng(shard).random(len(offsets) - 1) < share
                 texts = [data[a:b] for a, b, o in zip(offsets[:-1], offsets[1:], own) if o]
                 if texts:
-                    hashes = cut_strings(np.concatenate(texts), np.cumsum([0, *map(len, texts)]), np.zeros(0, dtype=np.uint64))[3]
-                    grams, amounts = np.unique(hashes, return_counts=True)
+                    own = np.concatenate(texts)
+                    gram = cut_strings(own, np.cumsum([0, *map(len, texts)]), np.zeros(0, dtype=np.uint64))[2]
+                    words = _words_at(own)
+                    grams, amounts = np.unique(_gram_hashes(words[gram], words[gram + GRAM - 8]), return_counts=True)
                     columns = [pa.array(grams.view(np.int64)), pa.array(amounts.astype(np.int64))]
                     yield pa.record_batch(columns, names=["gram", "n"])
 
@@ -534,13 +564,13 @@ def repeated_ranges(shards: DataFrame) -> DataFrame:
     """(shard, ranges): packed (text number, start, end) of the byte ranges that are to be removed; they may overlap."""
     n_shards = shards.count()
     hot = frequent_grams(shards)
-    # a string for half of SPREAD windows or so, and at most SHARD_BYTES of text in most shards
-    grams = max(1, -(-n_shards * (2 * SHARD_BYTES // SPREAD) // BUCKET_GRAMS))
+    # two values for half of SPREAD windows or so, and at most SHARD_BYTES of text in most shards
+    grams = max(1, -(-n_shards * (4 * SHARD_BYTES // SPREAD) // BUCKET_GRAMS))
     lists = shards.select("shard", "keys", "data").mapInArrow(_gram_lists(hot, grams), "bucket int, shard bigint, grams binary")
     marks = lists.repartitionById(grams, "bucket").mapInArrow(_marked, "shard bigint, bucket int, n bigint, bits binary")
     marks = stored(marks, "marks")
     strings = marks.agg(F.sum("n")).first()[0] or 0
-    buckets = max(1, -(-strings * LONGEST // BUCKET_BYTES))
+    buckets = max(1, -(-strings * LONGEST // (2 * BUCKET_BYTES)))
     marks = marks.groupBy("shard").agg(F.collect_list(F.struct("bucket", "bits")).alias("marks"))
     known = shards.select("shard", "keys", "data").join(marks, "shard")
     sent = known.mapInArrow(_survivors(hot, grams, buckets), "bucket int, shard bigint, strings binary, ranges binary")

@@ -52,12 +52,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def held_by_worker(key: tuple, build: Callable[[], object]) -> object:
     """An object that a Python worker builds once and keeps for its later tasks (a tokenizer with its memory of words).
 
-    Only for what gives the same results whether it is kept or built anew.
+    Only for what gives the same results whether it is kept or built anew. A worker keeps one such object; it goes when
+    the worker needs another one.
     """
     held = sys.modules.setdefault("ludolytics_held_by_worker", types.ModuleType("ludolytics_held_by_worker"))
     if not hasattr(held, "objects"):
         held.objects = {}
     if key not in held.objects:
+        held.objects.clear()
         held.objects[key] = build()
     return held.objects[key]
 
@@ -89,8 +91,6 @@ class WordHasher:
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray):
         n = len(data)
-        if len(self.up) <= n:
-            self.up, self.down = powers(MULTIPLIER, n + n // 2 + 2), powers(INVERSE, n + n // 2 + 2)
         low = ASCII_LOWER[data] if self.lower else data
         inside = np.zeros(n + 2, dtype=bool)
         inside[1:-1] = self.kind[low]
@@ -98,10 +98,16 @@ class WordHasher:
         cut[offsets] = True
         starts = np.flatnonzero(inside[1:-1] & (~inside[:-2] | cut[:-1]))
         ends = np.flatnonzero(inside[1:-1] & (~inside[2:] | cut[1:])) + 1
+        return self.ranges(low, starts, ends), np.searchsorted(starts, offsets), starts, ends
+
+    def ranges(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of ranges of bytes."""
+        n = len(data)
+        if len(self.up) <= n:
+            self.up, self.down = powers(MULTIPLIER, n + n // 2 + 2), powers(INVERSE, n + n // 2 + 2)
         sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(BYTE_VALUES[low] * self.up[:n], out=sums[1:])
-        hashes = mix((sums[ends] - sums[starts]) * self.down[starts])
-        return hashes, np.searchsorted(starts, offsets), starts, ends
+        np.cumsum(BYTE_VALUES[data] * self.up[:n], out=sums[1:])
+        return mix((sums[ends] - sums[starts]) * self.down[starts])
 
 
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
@@ -133,3 +139,108 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
         low, high = offsets[first], offsets[last]
         yield first, data[low:high], offsets[first : last + 1] - low
         first = last
+
+
+def eight_bytes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a little-endian number; zeros follow the data."""
+    n = len(data)
+    padded = np.concatenate([data, np.zeros(16, dtype=np.uint8)])
+    out = np.zeros(n + 8, dtype=np.uint64)
+    for shift in range(min(8, n)):
+        own = len(range(shift, n, 8))
+        out[shift:n:8] = padded[shift : shift + 8 * own].view(np.uint64)
+    return out
+
+
+class WordMemory:
+    """Token ids of words, remembered in arrays of bounded size and looked up for many words at once.
+
+    An entry is found by the word's hash, length and first and last eight bytes, which is the whole word if it has 16
+    bytes or less. When the table is three quarters full it is emptied. ``kind`` is the type of an id.
+    """
+
+    #: Places of the table, of 36 bytes each; an eighth as many words are looked up at once.
+    PLACES = 1 << 20
+    #: Ids after which the table is emptied too.
+    IDS = 4 << 20
+
+    def __init__(self, kind: np.dtype, places: int = PLACES) -> None:
+        self.kind, self.words, self.mask = np.dtype(kind), places // 8, np.uint64(places - 1)
+        self.clear()
+
+    def clear(self) -> None:
+        size = int(self.mask) + 1
+        self.hash, self.first, self.last = (np.zeros(size, dtype=np.uint64) for _ in range(3))
+        self.length = np.full(size, -1, dtype=np.int32)
+        self.at, self.count = np.zeros(size, dtype=np.int32), np.zeros(size, dtype=np.int32)
+        self.ids, self.used, self.held = np.zeros(1 << 16, dtype=self.kind), 0, 0
+
+    def __call__(
+        self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, learn: Callable[[list[bytes]], tuple]
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words one after the other, how many each word has); ``learn`` gives the same of new words."""
+        eight, found, counts = eight_bytes(data), [np.zeros(0, dtype=self.kind)], [np.zeros(0, dtype=np.int64)]
+        for low in range(0, len(starts), self.words):
+            own = slice(low, low + self.words)
+            slots = self._slots(data, eight, starts[own], ends[own], hashes[own], learn)
+            n = self.count[slots].astype(np.int64)
+            before = np.cumsum(n) - n
+            found.append(self.ids[np.repeat(self.at[slots] - before, n) + np.arange(n.sum())])
+            counts.append(n)
+        return np.concatenate(found), np.concatenate(counts)
+
+    def _slots(self, data, eight, starts, ends, hashes, learn) -> np.ndarray:
+        if self.held + len(starts) > 6 * self.words or self.used > self.IDS:
+            self.clear()
+        length = (ends - starts).astype(np.int32)
+        unused = np.uint64(8) * np.maximum(8 - length, 0).astype(np.uint64)
+        first = np.where(length > 0, eight[starts] << unused, np.uint64(0))
+        last = np.where(length > 8, eight[np.maximum(ends - 8, 0)], first)
+        key = (hashes, first, last, length)
+        slots, missing = self._find(*key)
+        if len(missing):
+            # new words: one of each, in the order of their hashes
+            order = missing[np.lexsort((last[missing], first[missing], length[missing], hashes[missing]))]
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in key])
+            one = order[new]
+            whole = data.tobytes()
+            ids, counts = learn([whole[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist())])
+            self._insert(*(k[one] for k in key), ids, counts)
+            slots[missing], none = self._find(*(k[missing] for k in key))
+            assert not len(none)
+        return slots
+
+    def _find(self, hashes, first, last, length) -> tuple[np.ndarray, np.ndarray]:
+        """(place of each word, the numbers of those that have none)."""
+        slots = (hashes & self.mask).astype(np.int64)
+        open_, missing = np.arange(len(slots)), [np.zeros(0, dtype=np.int64)]
+        while len(open_):
+            at = slots[open_]
+            free = self.length[at] < 0
+            same = (self.hash[at] == hashes[open_]) & (self.length[at] == length[open_])
+            same &= (self.first[at] == first[open_]) & (self.last[at] == last[open_])
+            missing.append(open_[free])
+            open_ = open_[~free & ~same]
+            slots[open_] = (slots[open_] + 1) & int(self.mask)
+        return slots, np.sort(np.concatenate(missing))
+
+    def _insert(self, hashes, first, last, length, data, counts) -> None:
+        if self.used + len(data) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(max(len(self.ids), len(data)), dtype=self.kind)])
+        self.ids[self.used : self.used + len(data)] = data
+        places = self.used + np.cumsum(counts) - counts
+        self.used += len(data)
+        self.held += len(counts)
+        slots, open_ = (hashes & self.mask).astype(np.int64), np.arange(len(counts))
+        while len(open_):
+            free = open_[self.length[slots[open_]] < 0]
+            self.at[slots[free]] = free  # of several the last one gets the place
+            taken = free[self.at[slots[free]] == free]
+            at = slots[taken]
+            self.hash[at], self.first[at], self.last[at], self.length[at] = hashes[taken], first[taken], last[taken], length[taken]
+            self.at[at], self.count[at] = places[taken], counts[taken]
+            left = np.ones(len(counts), dtype=bool)
+            left[taken] = False
+            open_ = open_[left[open_]]
+            slots[open_] = (slots[open_] + 1) & int(self.mask)

@@ -253,7 +253,7 @@ def _host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_piece_bpe")
 def _piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    both = piece_bpe.decode(piece_bpe.encode(table(spark, sf_dir, "documents"), model), model)
+    both = piece_bpe.round_trip(table(spark, sf_dir, "documents"), model)
     listed = F.concat_ws(",", F.col("token_ids").cast("array<string>"))
     return both.select(
         "doc_id",

@@ -1,11 +1,12 @@
 import random
 import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from ludolytics.llm import decontaminate, host_quality, lang_id, piece_bpe, toxicity
+from ludolytics.llm import common, decontaminate, host_quality, lang_id, piece_bpe, toxicity
 from llm_helpers import sentence, text
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -79,31 +80,49 @@ def test_pieces_equal_the_library(library):
     texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 40))) for _ in range(3000)]
     pieces = [p.replace("\u2581", " ") for p in table.ids]
     texts += ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 6))) for _ in range(3000)]
-    import numpy as np
-
-    for t in texts:
-        ids = np.frombuffer(table.encode(t), dtype=np.int32).tolist()
-        assert ids == library.encode(t), t
-        assert table.decode(ids) == library.decode(ids), t
+    ids, counts = table.encode(texts)
+    for t, own in zip(texts, np.split(ids, np.cumsum(counts)[:-1])):
+        assert own.tolist() == library.encode(t), t
+        assert table.decode(own.tolist()) == library.decode(own.tolist()), t
     for _ in range(500):
         ids = [rng.choice([0, 1, 2, rng.randrange(3, 259), rng.randrange(259, 32000)]) for _ in range(rng.randint(1, 8))]
         assert table.decode(ids) == library.decode(ids), ids
 
 
-def test_memory_limit_changes_nothing(library, monkeypatch):
-    monkeypatch.setattr(piece_bpe, "KEPT", 3)
+def test_memory_limits_change_nothing(library, monkeypatch):
+    for name, limit in (("PAIR_PLACES", 64), ("STEP_CHARS", 20)):
+        monkeypatch.setattr(piece_bpe, name, limit)
     table = piece_bpe.PieceTable(MODEL)
-    import numpy as np
+    table.words = common.WordMemory(np.int32, places=64)
+    for k in range(60):
+        texts = [sentence(j) + "\n" + "y" * (k + j) for j in range(k, k + 3)]
+        ids, counts = table.encode(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [library.encode(t) for t in texts]
+
+
+def test_words_of_one_hash_are_told_apart():
+    memory, asked = common.WordMemory(np.uint16, places=256), []
 
-    for k in range(30):
-        assert np.frombuffer(table.encode(sentence(k)), dtype=np.int32).tolist() == library.encode(sentence(k))
+    def learn(words):
+        asked.extend(words)
+        return np.frombuffer(b"".join(words), np.uint8).astype(np.uint16), np.array([len(w) for w in words])
+
+    words = [b"", b"a", b"b", b"ab", b"abcdefgh", b"abcdefgh1", b"abcdefgh2", b"x" * 16, b"x" * 15 + b"y", b"a\x00", b"a"] * 3
+    data = np.frombuffer(b"".join(words), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    starts = ends - [len(w) for w in words]
+    for _ in range(2):
+        ids, counts = memory(data, starts, ends, np.full(len(words), 7, np.uint64), learn)
+        assert ids.tolist() == data.tolist() and counts.tolist() == [len(w) for w in words]
+    assert sorted(asked) == sorted(set(words))
 
 
 def test_pieces_of_odd_rows(documents, odd, library):
     both = piece_bpe.decode(piece_bpe.encode(documents(odd), MODEL), MODEL).collect()
+    assert sorted(map(str, piece_bpe.round_trip(documents(odd), MODEL).collect())) == sorted(map(str, both))
     want = [(i, library.encode(t or ""), library.decode(library.encode(t or ""))) for i, t in odd]
     assert sorted(map(str, map(tuple, both))) == sorted(map(str, want))
-    assert piece_bpe.encode(documents([]), MODEL).count() == 0
+    assert piece_bpe.encode(documents([]), MODEL).count() == piece_bpe.round_trip(documents([]), MODEL).count() == 0
 
 
 def test_language(documents, odd, spark):
@@ -138,8 +157,6 @@ def test_rare_language_held_out(spark, documents, monkeypatch):
 
 
 def test_language_backs_off_by_one_character_at_a_time():
-    import numpy as np
-
     model = lang_id.Model(["a", "b"], {"known": np.array([0.0, -1.0])}, {"^zq": np.array([-2.0, -1.0]), "z": np.array([0.0, -9.0])})
     places = {w: model.word(w) for w in ("known", "zqx", "xz", "xx")}
     rows = {w: model.rows[k].tolist() for w, k in places.items()}

@@ -179,7 +179,7 @@ def _token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = records.record_folder(spark)
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     files = records.write_records(table(spark, sf_dir, "documents"), folder, tokenizer, end_id=1)
-    return records.checksums(records.read_records(files, folder))
+    return records.record_checksums(files, folder)
 
 
 @query(

@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
+from llm_helpers import text
 from ludolytics.llm import chat, records, url_rules
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -50,20 +51,53 @@ def test_conversations(spark, monkeypatch):
     assert chat.read_conversations(chat.format_conversations(df.limit(0))).count() == 0
 
 
-def library_ids(texts):
+def library_ids(texts, plain_specials=False):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = plain_specials
     return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
-def test_words_equal_the_library():
-    rng, own = random.Random(1), records.WordTokenizer(TOKENIZER, 1)
-    alphabet = [*"abcABC\u00e9\u00c9\u00df\u03a3\u03c3\u0130'.,;:!?-_()[]<>=~\u0338\u0301 \t\r\x0b\x1c0\u00b2\u2167\u4e2d\U0001f600", "the", "'s", "'LL", "  ", "\n", "<|endoftext|>"]
-    texts = ["", " ", "\n"] + ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 25))) for _ in range(8000)]
-    for got, want in zip(own(texts), library_ids(texts)):
-        assert np.frombuffer(got, "<u2").tolist() == [*want, 1]
+def own_ids(tokenizer, texts):
+    data = [t.encode() for t in texts]
+    return [x.tolist() for x in tokenizer(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))]
+
+
+@pytest.mark.parametrize("plain_specials", [False, True])
+def test_words_equal_the_library(plain_specials):
+    rng, own = random.Random(1), records.WordTokenizer(TOKENIZER, 1, plain_specials)
+    assert own.by_words
+    alphabet = [*"abcABC\u00e9\u00c9\u00df\u03a3\u03c3\u0130'.,;:!?-_()[]<>=~\u0338\u0301 \t\r\x0b\x1c0\u00b2\u2167\u4e2d\U0001f600", "the", "'s", "'LL", "  ", "\n"]
+    texts = ["", " ", "\n", "<|endoftext|>", "a<|startoftext|>b <|ENDOFTEXT|>", "x <|endoftext|> y"]
+    texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 25))) for _ in range(8000)]
+    texts += ["".join(rng.choice([*alphabet, "<|endoftext|>"]) for _ in range(rng.randint(1, 25))) for _ in range(500)]
+    for got, want in zip(own_ids(own, texts), library_ids(texts, plain_specials)):
+        assert got == [*want, 1]
+
+
+def test_another_kind_of_tokenizer_gets_whole_texts(tmp_path):
+    import json
+
+    file = json.load(open(TOKENIZER))
+    file["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    other = tmp_path / "joined.json"
+    other.write_text(json.dumps(file))
+    own = records.WordTokenizer(str(other), None)
+    assert not own.by_words
+    assert own_ids(own, ["ab cd", "", "x"]) == [own.tokenizer.encode(t, add_special_tokens=False).ids for t in ["ab cd", "", "x"]]
+
+
+def test_an_id_of_many_rows_is_dealt_to_several_files(spark, documents):
+    rows = [(7, text(k)) for k in range(200)] + [(None, text(k)) for k in range(300, 420)] + [(k, text(k)) for k in range(40)]
+    folder = records.record_folder(spark)
+    files = records.write_records(documents(rows).repartition(3), folder, TOKENIZER, end_id=1)
+    read = records.read_records(files, folder).orderBy("start").collect()
+    order = [(r["doc_id"] is not None, r["doc_id"] or 0) for r in read]
+    assert order == sorted(order) and len(read) == len(rows)
+    assert max(r["n_records"] for r in files.collect()) < 200
+    want = sorted(str((i, [*ids, 1])) for (i, _), ids in zip(rows, library_ids([t for _, t in rows])))
+    assert sorted(str((r["doc_id"], r["token_ids"])) for r in read) == want
 
 
 def test_records(spark, documents, odd):
@@ -79,6 +113,7 @@ def test_records(spark, documents, odd):
     want = sorted(str((i, [*ids, 1])) for (i, _), ids in zip(odd, library_ids([t or "" for _, t in odd])))
     assert sorted(str((r["doc_id"], r["token_ids"])) for r in rows) == want
     sums = {(r["doc_id"], r["start"]): (r["n_tokens"], r["ids_crc32"]) for r in records.checksums(read).collect()}
+    assert sorted(map(str, records.record_checksums(files, folder).collect())) == sorted(map(str, records.checksums(read).collect()))
     for r in rows:
         crc = zlib.crc32(np.array(r["token_ids"], "<u4").tobytes())
         assert sums[r["doc_id"], r["start"]] == (len(r["token_ids"]), crc)
@@ -90,7 +125,7 @@ def test_records(spark, documents, odd):
 def test_no_records(spark, documents):
     folder = records.record_folder(spark)
     files = records.write_records(documents([]), folder, TOKENIZER)
-    assert files.count() == 0 and records.read_records(files, folder).count() == 0
+    assert files.count() == records.read_records(files, folder).count() == records.record_checksums(files, folder).count() == 0
 
 
 def test_damage_is_noticed():

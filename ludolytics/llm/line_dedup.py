@@ -1,32 +1,82 @@
-"""Repeated runs of lines, found by winnowing over line hashes, in DataFrame expressions only.
+"""Repeated passages, found by winnowing over line hashes, in DataFrame expressions only.
 
-A text is cut into lines; a line longer than one sentence is cut after its sentences too, so that a passage set into
-another paragraph is still seen. A window is WINDOW consecutive lines (blank ones aside); a text of fewer lines is one
-window. In every window the least line hash is its fingerprint, so two texts that share a window share its fingerprint
-and no shared run of WINDOW lines is missed. Fingerprints that stand at one place only are dropped by a count; the
-windows around the others are compared as wholes, the first place of each is found, and every later one is deleted.
-Neighbouring windows extend a match in both directions, line by line, as far as the texts agree.
+A text is cut into lines: after line feeds, after the stops of sentences, and a line of more than LONGEST words by its
+content, after the word of the least checksum in each window of LONGEST words. So a passage in another paragraph, on one
+long line or without any stop is cut alike in all its copies but for its first and last words.
 
-Counts are made before rows meet, so a line or passage of a third of all texts is one row per task.
+A window is the least number of consecutive lines (blank ones aside) with WORDS words or more, counted from any line
+forwards or from any line backwards; a text of fewer words is one window. The least line hash of a window's first two
+lines is its fingerprint, so texts that share a window share its fingerprint, and every shared run of 50 words holds one.
+Fingerprints that stand at one place only are dropped by a count; the windows around the others are compared as wholes,
+the first place of each is found, and every later one is deleted. Neighbouring windows extend a match in both
+directions, line by line, as far as the texts agree.
+
+Counts are made before rows meet, and are stored before they are joined, so that a join can deal a fingerprint or
+passage of a third of all texts to many tasks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ludolytics.llm.common import stored
 
-WINDOW = 3
-#: Characters of a window, without the white space at the ends of its lines, below which it is no passage.
+#: Words of a line, at most, and of a window, at least.
+LONGEST = 18
+WORDS = 15
+#: Characters below which a text of fewer words is no passage.
 MIN_CHARS = 60
-#: A line with its end, cut after each sentence; the pieces make up the text.
-PIECES = "[^\\n]*?[^\\n]\\. |[^\\n]*\\n|[^\\n]+"
+#: A sentence or the rest of a line, with its end; together they make up the text.
+SENTENCES = "[^\\n]*?(?:[^\\n.!?][.!?] |[。！？؟।])|[^\\n]*\\n|[^\\n]+"
 _END = "[\\x20\\x09-\\x0D]+$"
+#: Characters that count as a word where there are no spaces.
+WORD_CHARS = 10
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _spaces(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(" ")))
+
+
+def _cut_by_content(line: Column) -> Column:
+    """The parts of a long line that end with the word of the least checksum in some window of LONGEST words."""
+
+    def merged(minima: Column, step: int) -> Column:
+        return _let(minima, lambda m: F.zip_with(m, F.slice(m, step + 1, F.size(m)), lambda x, y: F.least(x, y)))
+
+    def least(keys: Column) -> Column:
+        out, span = keys, 1
+        while span < LONGEST:  # windows of 1, 2, 4, … places, of two that overlap at last
+            step = min(span, LONGEST - span)
+            out, span = merged(out, step), span + step
+        return F.slice(out, F.lit(1), F.size(keys) - LONGEST + 1)
+
+    def parts(words: Column) -> Column:
+        # a key is the word's checksum, then its number
+        keys = F.transform(words, lambda w, i: F.shiftleft(F.crc32(w.cast("binary")), 31) + i)
+        ends = F.transform(_let(keys, least), lambda k: (k.bitwiseAND(F.lit((1 << 31) - 1)) + 1).cast("int"))
+        edges = F.array_distinct(F.concat(F.array(F.lit(0)), ends, F.array(F.size(words))))
+
+        def part(e: Column, k: Column) -> Column:
+            own = F.array_join(F.slice(words, F.get(e, k) + 1, F.get(e, k + 1) - F.get(e, k)), " ")
+            return F.when(F.get(e, k + 1) < F.size(words), F.concat(own, F.lit(" "))).otherwise(own)
+
+        return _let(edges, lambda e: F.transform(F.sequence(F.lit(0), F.size(e) - 2), lambda k: part(e, k)))
+
+    return _let(F.split(line, " "), parts)
 
 
 def pieces(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PIECES), F.lit(0))
+    """The lines of a text, with what separates them; they make up the text."""
+    sentences = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(SENTENCES), F.lit(0))
+    return F.flatten(F.transform(sentences, lambda s: F.when(_spaces(s) < LONGEST, F.array(s)).otherwise(_cut_by_content(s))))
 
 
 def bare(piece: Column) -> Column:
@@ -35,67 +85,102 @@ def bare(piece: Column) -> Column:
 
 
 def line_hashes(docs: DataFrame) -> DataFrame:
-    """(doc, part, at, h, n): numbers, hashes and lengths of the lines of (doc, part, text), blank ones left out."""
+    """(doc, part, chars, at, h, m, w): numbers, two hashes and words of the lines of (doc, part, text), no blank ones."""
     lines = F.transform(pieces(F.col("text")), lambda x, i: F.struct(i.alias("at"), bare(x).alias("line")))
+    lines = F.filter(lines, lambda x: x["line"] != "")
+    weight = lambda x: F.greatest(_spaces(x) + 1, F.floor(F.length(x) / WORD_CHARS).cast("int"))
     lines = F.transform(
-        F.filter(lines, lambda x: x["line"] != ""),
-        lambda x: F.struct(x["at"].alias("at"), F.xxhash64(x["line"]).alias("h"), F.length(x["line"]).alias("n")),
-    )
+        lines,
+        lambda x: F.struct(
+            x["at"].alias("at"), F.xxhash64(x["line"]).alias("h"), F.hash(x["line"]).alias("m"), weight(x["line"]).alias("w"),
+            F.length(x["line"]).alias("n"),
+        ),
+    )
     rows = docs.select("doc", "part", lines.alias("lines"))
-    return rows.select("doc", "part", "lines.at", "lines.h", "lines.n")
+    chars = F.aggregate("lines.n", F.lit(0), lambda a, b: a + b)
+    return rows.select("doc", "part", chars.alias("chars"), *(f"lines.{c}" for c in "at h m w".split()))
 
 
-def windows(hashes: DataFrame) -> DataFrame:
-    """(doc, part, covers, print, window, selects): the windows of each text that are long enough.
+def _spans(h: Column, w: Column, chars: Column) -> Column:
+    """The windows of a text, as 32 times the number of the first line plus how many lines it has (each has a word)."""
 
-    covers are the numbers of its lines, print is the least line hash, window the hash of all lines; selects tells that
-    the fingerprint stands at another place than that of the window before, so each selected place has one such window.
-    A text without lines has one window of no length, which is too short.
-    """
-    size = F.least(F.size("h"), F.lit(WINDOW))
-    starts = F.sequence(F.lit(0), F.size("h") - size)
+    def enough(w: Column, i: Column, step: int) -> Column:
+        total, out = F.get(w, i), None
+        for k in range(1, WORDS + 1):
+            first = i if step > 0 else i - (k - 1)
+            here = first.cast("bigint") * 32 + k
+            out = F.when(total >= WORDS, here) if out is None else out.when(total >= WORDS, here)
+            total = total + F.get(w, i + step * k)
+        return out
 
-    def describe(i: Column) -> Column:
-        own = F.slice("h", i + 1, WINDOW)
-        least = F.array_min(own)
-        chars = F.aggregate(F.slice("n", i + 1, WINDOW), F.lit(0), lambda a, b: a + b)
-        return F.struct(
-            F.slice("at", i + 1, WINDOW).alias("covers"), least.alias("print"), F.xxhash64(own).alias("window"),
-            (i + F.array_position(own, least)).alias("at"), chars.alias("chars"),
-        )
+    def found(w: Column) -> Column:
+        every = F.sequence(F.lit(0), F.size(w) - 1)
+        forwards, backwards = F.transform(every, lambda i: enough(w, i, 1)), F.transform(every, lambda i: enough(w, i, -1))
+        return F.array_distinct(F.filter(F.concat(forwards, backwards), lambda s: s.isNotNull()))
+
+    few = F.aggregate(w, F.lit(0), lambda a, b: a + b) < WORDS
+    whole = F.when(chars >= MIN_CHARS, F.array(F.size(h).cast("bigint")))
+    none = F.expr("cast(array() AS array<bigint>)")
+    return F.when(F.size(h) == 0, none).when((F.size(h) < WORDS) & few, F.coalesce(whole, none)).otherwise(_let(w, found))
 
-    rows = hashes.select("doc", "part", F.filter(F.transform(starts, describe), lambda w: w["chars"] >= MIN_CHARS).alias("w"))
 
-    def mark(w: Column, k: Column) -> Column:
-        selects = (k == 0) | (F.get("w", k - 1)["at"] != w["at"])
-        return F.struct(*(w[c].alias(c) for c in ("covers", "print", "window")), selects.alias("selects"))
+def _fingerprints(h: Column, w: Column) -> Column:
+    """The line hashes that are the least of two neighbours, the first of equal ones, and those of lines that are windows."""
 
-    return rows.select("doc", "part", F.inline(F.transform("w", mark)))
+    def chosen(h: Column) -> Column:
+        pairs = F.zip_with(h, w, lambda x, n: F.struct(x.alias("x"), n.alias("n")))
+        least = lambda p, i: (p["x"] <= F.get(h, i + 1)) | (p["x"] < F.get(h, i - 1))
+        taken = F.filter(pairs, lambda p, i: F.coalesce(least(p, i) | (p["n"] >= WORDS) | (F.size(h) == 1), F.lit(False)))
+        return F.transform(taken, lambda p: p["x"])
+
+    return _let(h, chosen)
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """(doc, part, gone): the numbers of the lines in windows that stand earlier too."""
     hashes = stored(line_hashes(docs), "lines")
-    prints = windows(hashes).where("selects").groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
-    likely = windows(hashes).drop("selects").join(prints, "print", "left_semi")
-    likely = stored(likely.select("doc", "part", "covers", "window"), "likely-windows")
-    place = F.struct("doc", "part", F.get("covers", F.lit(0)).alias("line"))
-    first = likely.groupBy("window").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    first = first.where("n > 1").select("window", "first")
-    later = likely.join(first, "window").where(place != F.col("first"))
-    return later.groupBy("doc", "part").agg(F.array_distinct(F.flatten(F.collect_list("covers"))).alias("gone"))
+    prints = hashes.select(F.explode(_fingerprints(F.col("h"), F.col("w"))).alias("print"))
+    prints = stored(prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print"), "prints")
+
+    def describe(span: Column, h: Column, m: Column, at: Column) -> Column:
+        first, size = F.shiftright(span, 5).cast("int"), span.cast("int").bitwiseAND(F.lit(31))
+        lines = F.slice(h, first + 1, size)
+        return F.struct(
+            F.when(size == 1, F.get(h, first)).otherwise(F.least(F.get(h, first), F.get(h, first + 1))).alias("print"),
+            F.xxhash64(lines).alias("window"), F.hash(F.slice(m, first + 1, size)).alias("check"),
+            F.get(at, first).alias("first"), F.get(at, first + size - 1).alias("last"),
+        )
+
+    # arrays are taken from the row once, not again for each of their elements
+    rows = _let(
+        F.struct(F.col("h").alias("h"), F.col("m").alias("m"), F.col("at").alias("at")),
+        lambda x: F.transform(
+            _spans(F.col("h"), F.col("w"), F.col("chars")), lambda s: describe(s, x["h"], x["m"], x["at"])
+        ),
+    )
+    windows = hashes.select("doc", "part", F.inline(rows))
+    likely = stored(windows.join(prints, "print", "left_semi"), "likely-windows")
+    key = ["print", "window", "check"]
+    place = F.struct("doc", "part", "first")
+    first = likely.groupBy(*key).agg(F.min(place).alias("earliest"), F.count("*").alias("n"))
+    first = stored(first.where("n > 1").select(*key, "earliest"), "first-places")
+    later = likely.join(first, key).where(place != F.col("earliest"))
+    found = later.groupBy("doc", "part").agg(F.collect_set(F.struct("first", "last")).alias("found"))
+    covered = F.transform("found", lambda s: F.sequence(s["first"], s["last"]))
+    return found.select("doc", "part", F.array_distinct(F.flatten(covered)).alias("gone"))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with their columns, the repeated lines taken out of ``text_col``, and ``removed_lines``.
+    """The rows of ``docs`` with their columns, repeated lines taken out of ``text_col``, and a last one, ``removed_lines``.
 
     A run is repeated if it stands earlier in the same text or in one of a smaller id (NULL first, then by the hash of the
     text). The first copy stays. A NULL text stays NULL, an empty one empty; what is left of a text that is one repeated
     run is empty. Rows that repeat both id and text are one document and are cut alike, as often as its lines repeat
-    elsewhere. Other columns may have any names.
+    elsewhere. An empty table gives no row. Other columns may have any names; one called ``removed_lines`` stays, before
+    the one that is added.
     """
     keyed = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.struct(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns))).alias("row"),
         F.col(id_col).alias("doc"),
         F.xxhash64(F.col(text_col)).alias("part"),
         F.col(text_col).alias("text"),
@@ -107,5 +192,5 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # "all" is used twice, so it is computed once and not again for each of its elements
     kept = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), "gone")
     text = F.coalesce(F.array_join(F.transform(kept, lambda i: F.get("all", i)), ""), F.col("text"))
-    columns = [(text if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns]
+    columns = [(text if c == text_col else F.col(f"row.c{k}")).alias(c) for k, c in enumerate(docs.columns)]
     return both.select(*columns, F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("removed_lines"))

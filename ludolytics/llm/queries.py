@@ -66,26 +66,59 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "op3_line_dedup",
     r"""
-    WITH cut AS (
-        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\n]*?[^\n]\. |[^\n]*\n|[^\n]+') AS pieces FROM documents),
+    WITH sentence AS (
+        SELECT doc_id, unnest(range(len(s))) AS number, unnest(s) AS line
+        FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''),
+                     '[^\n]*?(?:[^\n.!?][.!?] |[。！？؟।])|[^\n]*\n|[^\n]+') AS s FROM documents)),
+    long_line AS (
+        SELECT doc_id, number, string_split(line, ' ') AS words FROM sentence
+        WHERE length(line) - length(replace(line, ' ', '')) >= 18),
+    word AS (
+        SELECT doc_id, number, unnest(range(1, len(words) + 1)) AS i, len(words) AS n, unnest(words) AS w FROM long_line),
+    remainders AS (
+        SELECT list(list_reduce(list_prepend(i, range(8)),
+                    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS r
+        FROM (SELECT unnest(range(256)) AS i)),
+    checksum AS (
+        SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(strlen(w)), lambda k:
+                    16 * (strpos('0123456789ABCDEF', hex(encode(w))[2 * k + 1]) - 1)
+                    + strpos('0123456789ABCDEF', hex(encode(w))[2 * k + 2]) - 1)),
+                lambda c, x: xor(r[xor(c, x) % 256 + 1], c // 256))) AS c
+        FROM (SELECT DISTINCT w FROM word), remainders),
+    ends AS (
+        SELECT DISTINCT doc_id, number, arg_min(i, c * 1048576 + i) OVER (
+                   PARTITION BY doc_id, number ORDER BY i ROWS BETWEEN CURRENT ROW AND 17 FOLLOWING) AS e, n, i
+        FROM word JOIN checksum USING (w) QUALIFY i <= n - 17
+        UNION ALL SELECT doc_id, number, len(words), len(words), 0 FROM long_line),
+    part AS (
+        SELECT doc_id, number, lag(e, 1, 0) OVER (PARTITION BY doc_id, number ORDER BY e) AS low, e, n
+        FROM (SELECT DISTINCT doc_id, number, e, n FROM ends)),
     piece AS (
-        SELECT doc_id, unnest(range(1, len(pieces) + 1)) AS number, unnest(pieces) AS piece,
-               regexp_replace(unnest(pieces), '[\x20\x09-\x0D]+$', '') AS bare
-        FROM cut),
+        SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY number, low) AS number, piece,
+               regexp_replace(piece, '[\x20\x09-\x0D]+$', '') AS bare
+        FROM (SELECT doc_id, number, 0 AS low, line AS piece FROM sentence
+              WHERE length(line) - length(replace(line, ' ', '')) < 18
+              UNION ALL SELECT doc_id, number, low, array_to_string(words[low + 1:e], ' ') || CASE WHEN e < n THEN ' ' ELSE '' END
+              FROM part JOIN long_line USING (doc_id, number))),
     line AS (
-        SELECT doc_id, number, bare, row_number() OVER (PARTITION BY doc_id ORDER BY number) AS place FROM piece
-        WHERE bare <> ''),
-    body AS (SELECT doc_id, list(bare ORDER BY place) AS lines FROM line GROUP BY doc_id),
-    spot AS (SELECT doc_id, lines, unnest(range(1, len(lines) - least(3, len(lines)) + 2)) AS place FROM body),
-    windows AS (
-        SELECT doc_id, place, array_to_string(list_slice(lines, place, place + 2), chr(1)) AS w FROM spot
-        WHERE length(array_to_string(list_slice(lines, place, place + 2), '')) >= 60),
-    later AS (
-        SELECT doc_id, place FROM windows
-        QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, place) > 1),
+        SELECT doc_id, number, bare, row_number() OVER (PARTITION BY doc_id ORDER BY number) AS place,
+               sum(greatest(length(bare) - length(replace(bare, ' ', '')) + 1, length(bare) // 10))
+                   OVER (PARTITION BY doc_id ORDER BY number) AS upto,
+               greatest(length(bare) - length(replace(bare, ' ', '')) + 1, length(bare) // 10) AS w
+        FROM piece WHERE bare <> ''),
+    body AS (
+        SELECT doc_id, list(bare ORDER BY place) AS lines, list(number ORDER BY place) AS numbers, sum(w) AS w,
+               sum(length(bare)) AS chars, count(*) AS n
+        FROM line GROUP BY doc_id),
+    forwards AS (SELECT a.doc_id, a.place AS low, min(b.place) AS high FROM line a JOIN line b
+                 ON a.doc_id = b.doc_id AND b.place BETWEEN a.place AND a.place + 14 AND b.upto - a.upto + a.w >= 15 GROUP BY ALL),
+    backwards AS (SELECT b.doc_id, max(a.place) AS low, b.place AS high FROM line a JOIN line b
+                  ON a.doc_id = b.doc_id AND a.place BETWEEN b.place - 14 AND b.place AND b.upto - a.upto + a.w >= 15 GROUP BY ALL),
+    span AS (FROM forwards UNION FROM backwards UNION SELECT doc_id, 1, n FROM body WHERE w < 15 AND chars >= 60),
+    windows AS (SELECT doc_id, low, high, array_to_string(lines[low:high], chr(1)) AS body FROM span JOIN body USING (doc_id)),
+    later AS (SELECT doc_id, low, high FROM windows QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, low) > 1),
     gone AS (
-        SELECT DISTINCT l.doc_id, l.number FROM later r JOIN line l
-        ON l.doc_id = r.doc_id AND l.place BETWEEN r.place AND r.place + 2),
+        SELECT DISTINCT doc_id, unnest(range(numbers[low], numbers[high] + 1)) AS number FROM later JOIN body USING (doc_id)),
     kept AS (
         SELECT p.doc_id, string_agg(p.piece, '' ORDER BY p.number) FILTER (g.number IS NULL) AS text,
                count(g.number) AS removed_lines

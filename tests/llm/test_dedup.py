@@ -1,11 +1,12 @@
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
 
 from ludolytics.llm import line_dedup, near_dedup
-from llm_helpers import sentence, text
+from llm_helpers import WORDS, sentence, text
 
 
 def brute_components(rows):
@@ -80,21 +81,44 @@ def test_bucket_keys_agree_with_similarity():
         assert (near_dedup.bucket_keys(base) == near_dedup.bucket_keys(other)).any()
 
 
+def lines_of(t):
+    """Sentences, the long ones cut after the word of the least checksum in each window of 18 words."""
+    out = []
+    for line in re.findall(line_dedup.SENTENCES, t or ""):
+        words = line.split(" ")
+        if len(words) < 19:
+            out.append(line)
+            continue
+        sums = [zlib.crc32(w.encode()) for w in words]
+        ends = {min(range(i, i + 18), key=lambda k: (sums[k], k)) + 1 for i in range(len(words) - 17)}
+        edges = sorted({0, len(words)} | ends)
+        out += [" ".join(words[x:y]) + " " * (y < len(words)) for x, y in zip(edges, edges[1:])]
+    return out
+
+
 def brute_lines(rows):
-    """Texts without windows of three lines that stood earlier, in the order of (id, hash of the text), here ids alone."""
+    """Texts without windows of 15 words and more that stood earlier, in the order of the ids."""
     seen, out = set(), []
     for i, t in sorted(rows, key=lambda r: r[0]):
-        pieces = re.findall(line_dedup.PIECES, t or "")
-        lines = [(k, re.sub(r"[\x20\x09-\x0D]+$", "", p)) for k, p in enumerate(pieces)]
-        lines = [(k, p) for k, p in lines if p]
-        size, gone = min(3, len(lines)), set()
-        for a in range(len(lines) - size + 1 if lines else 0):
-            window = tuple(p for _, p in lines[a : a + size])
-            if sum(map(len, window)) >= line_dedup.MIN_CHARS:
-                if window in seen:
-                    gone.update(k for k, _ in lines[a : a + size])
-                seen.add(window)
-        out.append((i, t if t is None else "".join(p for k, p in enumerate(pieces) if k not in gone), len(gone)))
+        every = lines_of(t)
+        lines = [(k, re.sub(r"[\x20\x09-\x0D]+$", "", p)) for k, p in enumerate(every)]
+        lines = [(k, p, max(p.count(" ") + 1, len(p) // 10)) for k, p in lines if p]
+        sums = [0]
+        for _, _, w in lines:
+            sums.append(sums[-1] + w)
+        windows, n = set(), len(lines)
+        for a in range(n):
+            windows |= set([(a, b) for b in range(a + 1, n + 1) if sums[b] - sums[a] >= 15][:1])
+            windows |= set([(b, a + 1) for b in range(a, -1, -1) if sums[a + 1] - sums[b] >= 15][:1])
+        if sums[-1] < 15 and sum(len(p) for _, p, _ in lines) >= line_dedup.MIN_CHARS:
+            windows = {(0, n)}
+        gone = set()
+        for a, b in sorted(windows):
+            window = tuple(p for _, p, _ in lines[a:b])
+            if window in seen:
+                gone.update(range(lines[a][0], lines[b - 1][0] + 1))
+            seen.add(window)
+        out.append((i, t if t is None else "".join(p for k, p in enumerate(every) if k not in gone), len(gone)))
     return out
 
 
@@ -109,12 +133,50 @@ def test_repeated_lines_equal_brute_force(documents):
     assert sum(r["removed_lines"] for r in got) > 50
 
 
-def test_passage_inside_other_paragraphs_is_cut(documents):
-    passage = ". ".join(sentence(k, 11).capitalize() for k in range(6)) + ". "
-    rows = [(k, f"{sentence(200 + k)} {passage}{sentence(300 + k)}") for k in range(3)]
+def random_passage(rng, n, stops):
+    words = [f"{rng.choice(WORDS)}{rng.randrange(500)}" for _ in range(n)]
+    for _ in range(stops):
+        k = rng.randrange(n)
+        words[k] += rng.choice([".", "!", "?", ".\n", "\n\n"])
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("stops", [0, 1, 2, 12])
+def test_no_run_of_50_words_stays_twice(documents, stops):
+    """The promise itself: passages on one line, in two sentences, inside other sentences, and between others."""
+    rng = random.Random(stops)
+    passages = [random_passage(rng, rng.choice([50, 51, 60, 150]), stops) for _ in range(12)]
+    rows = []
+    for k in range(120):
+        parts = [random_passage(rng, rng.randint(1, 30), rng.choice([0, 2]))]
+        for _ in range(rng.randint(1, 2)):
+            parts += [rng.choice(passages), random_passage(rng, rng.randint(1, 30), rng.choice([0, 2]))]
+        rows.append((k, " ".join(parts)))
+    rows += [(500, passages[0]), (501, passages[0].rstrip("\n") + ".")]
     got = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(documents(rows)).collect()}
-    assert got[0] == rows[0][1]
-    assert all(len(got[k]) < len(rows[k][1]) - len(passage) * 2 // 3 and sentence(300 + k) in got[k] for k in (1, 2))
+    seen = {}
+    for k, t in sorted(got.items()):
+        words = t.split()
+        for i in range(len(words) - 49):
+            other = seen.setdefault(tuple(words[i : i + 50]), (k, i))
+            assert other == (k, i), (k, other)
+    for k, t in rows:  # the first copy of all that goes stays somewhere, and little else goes
+        lost = [w for w in set(t.split()) - set(got[k].split()) if not any(w in p for p in passages)]
+        assert len(lost) <= 36 and not (k == 0 and lost)
+    assert sum(len(t.split()) for t in got.values()) < sum(len(t.split()) for _, t in rows) - 60 * 100
+
+
+def test_passages_without_spaces(documents):
+    passage = "\u8fd9\u662f\u4e00\u4e2a\u5f88\u957f\u7684\u53e5\u5b50" * 20 + "\u3002"
+    rows = [(k, f"\u7b2c{k}\u6bb5\u3002{passage}\u5b8c{k}") for k in range(4)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(documents(rows)).collect()}
+    assert got[0] == rows[0][1] and all(got[k] == f"\u7b2c{k}\u6bb5\u3002\u5b8c{k}" for k in (1, 2, 3))
+
+
+def test_a_column_of_the_added_name(documents):
+    rows = documents([(1, text(1)), (2, text(1))], extra=False).selectExpr("*", "'x' AS removed_lines")
+    got = line_dedup.without_repeats(rows)
+    assert got.columns[-2:] == ["removed_lines", "removed_lines"] and sorted(r[-1] for r in got.collect())[0] == 0
 
 
 def test_lines_of_odd_rows(documents, odd):

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from ludolytics.plans import features, ingest, quality, warehouse
 from ludolytics.session import scratch_path
 from ludolytics.sources import readers, writers
-from ludolytics.streaming.ingest import read_ingested, run_ingest, stream_reviews
+from ludolytics.sources.versioned import VersionedTable
+from ludolytics.streaming.ingest import ingest_batch, merge_batch, read_ingested, run_ingest, stream_reviews
 from ludolytics.vocabulary import CATEGORIES, GENRES, REVIEW_SCORE_DESCRIPTIONS
 from ludolytics.workloads import bindings as b
 from ludolytics.workloads.oracle import FACT_SELECT, GAME_SELECT, NULLABLE, day, items, layered, ts
@@ -282,9 +283,36 @@ def _(spark, d):
 
 
 @workload(
-    "streaming_ingest",
-    "Z01 Z02 I13 I15 S16",
+    "versioned_merge",
+    "S11 S12 U02",
     """
+WITH reviews AS (SELECT event_id AS review_id, user_id, event_type, ts::DATE AS scrape_date FROM events),
+first_load AS (SELECT *, NULL AS size FROM reviews WHERE scrape_date <= DATE '2024-01-10'),
+second_load AS (
+  SELECT review_id, max(user_id) AS user_id, max(event_type) AS event_type, max(scrape_date) AS scrape_date,
+         max(len(event_type)) AS size
+  FROM (SELECT * FROM reviews WHERE scrape_date > DATE '2024-01-10'
+        UNION ALL SELECT review_id - review_id % 7, user_id, event_type, scrape_date FROM reviews
+        WHERE scrape_date > DATE '2024-01-10') GROUP BY review_id)
+SELECT review_id, user_id, event_type, strftime(scrape_date, '%Y-%m-%d') AS scrape_date, size::VARCHAR AS size
+FROM (FROM first_load ANTI JOIN second_load USING (review_id) UNION ALL BY NAME FROM second_load)""",
+    ["size"],
+)
+def _(spark, d):
+    # the second load sees all rows and takes the later ones, some with ids of the first load, and a new column
+    reviews = b.table(spark, d, "events").select(
+        F.col("event_id").alias("review_id"), "user_id", "event_type", F.to_date("ts").alias("scrape_date")
+    )
+    table = VersionedTable(spark, scratch_path(spark, "versioned"), "review_id")
+    table.merge(reviews.where(F.col("scrape_date") <= F.lit(date(2024, 1, 10))), "scrape_date")
+    again = reviews.withColumn("review_id", F.expr("review_id - review_id % 7"))
+    newer = reviews.unionByName(again).withColumn("size", F.length("event_type"))
+    greatest = [F.max(c).alias(c) for c in newer.columns if c != "review_id"]
+    table.merge(newer, "scrape_date", lambda df: df.groupBy("review_id").agg(*greatest), on_schema_change="append")
+    return table.read()
+
+
+_STREAMED = """
 WITH reviews AS (SELECT event_id AS rec_id, user_id AS appid, CAST(floor(epoch(ts)) AS BIGINT) AS timestamp_created,
                         event_type, ts FROM events),
 first_load AS (SELECT * FROM reviews WHERE ts < TIMESTAMP '2024-01-16'),
@@ -292,9 +320,10 @@ cutoffs AS (SELECT appid, max(timestamp_created) AS cutoff FROM first_load GROUP
 SELECT rec_id, appid, timestamp_created, event_type FROM first_load
 UNION ALL
 SELECT r.rec_id, r.appid, r.timestamp_created, r.event_type FROM reviews r LEFT JOIN cutoffs c ON r.appid = c.appid
-WHERE r.ts >= TIMESTAMP '2024-01-10' AND r.timestamp_created > coalesce(cutoff, 0)""",
-)
-def _(spark, d):
+WHERE r.ts >= TIMESTAMP '2024-01-10' AND r.timestamp_created > coalesce(cutoff, 0)"""
+
+
+def _streamed(spark, d, load):
     reviews = _event_reviews(spark, d)
     root = scratch_path(spark, "stream")
     landing, target, state = f"{root}/landing", f"{root}/reviews", f"{root}/state"
@@ -302,14 +331,34 @@ def _(spark, d):
     def land_and_run(part):
         part.write.mode("append").parquet(landing)
         stream = stream_reviews(spark, landing, reviews.schema)
-        run_ingest(stream, target, state, f"{root}/checkpoint")
+        run_ingest(stream, target, state, f"{root}/checkpoint", load=load)
 
     # 16 and 10 January 2024; the second landing overlaps the first
     land_and_run(reviews.where("timestamp_created < unix_seconds(timestamp'2024-01-16')"))
     land_and_run(reviews.where("timestamp_created >= unix_seconds(timestamp'2024-01-10')"))
+    if load is merge_batch:
+        return VersionedTable(spark, target, "rec_id").read()
     return read_ingested(spark, target, reviews.schema)
 
 
+@workload(
+    "streaming_merge",
+    "Z01 Z02 I13 I15 S15 S16",
+    _STREAMED,
+)
+def _(spark, d):
+    return _streamed(spark, d, merge_batch)
+
+
+@workload(
+    "streaming_ingest",
+    "Z01 Z02 I13 I15 S16",
+    _STREAMED,
+)
+def _(spark, d):
+    return _streamed(spark, d, ingest_batch)
+
+
 # ---- sinks and scans
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ludolytics.functions import text as T
 from ludolytics.functions.vectors import cosine_distance, has_size
 from ludolytics.operators.blocks import unpack
-from ludolytics.plans import retrieval
+from ludolytics.plans import retrieval, session_search
 from ludolytics.workloads import bindings as b
 from ludolytics.workloads.oracle import layered
 from ludolytics.workloads.registry import workload
@@ -247,6 +247,87 @@ def _(spark, d):
     return _flat(retrieval.ready_sessions(_folded(spark, d)))
 
 
+_ASKED = """
+asked AS (
+  SELECT o_custkey AS session_id, o_orderkey AS turn, o_orderkey % 9 AS kind, o_orderkey // 9 AS k FROM orders),
+turns AS (
+  SELECT session_id, turn, CASE kind WHEN 0 THEN 'genres' WHEN 1 THEN 'categories' WHEN 2 THEN 'developers' WHEN 3 THEN 'publishers'
+             WHEN 4 THEN 'release_date_after' WHEN 5 THEN 'release_date_before' WHEN 6 THEN 'review_score_min'
+             WHEN 7 THEN 'review_score_description' END AS key,
+         CASE kind WHEN 0 THEN '["' || ['STANDARD', 'LARGE', 'PROMO', 'Brand#7', 'None'][k % 5 + 1] || '","Brand#' || k % 25 || '"]'
+             WHEN 1 THEN ['widget', '["rod","old"]', '[]', 'ring'][k % 4 + 1]
+             WHEN 2 THEN ['BRAND#2', '["#1","ND#9"]', 'x'][k % 3 + 1] WHEN 3 THEN ['econ', 'a', '["promo"]'][k % 3 + 1]
+             WHEN 4 THEN '199' || 4 + k % 3 || '-03-01' WHEN 5 THEN ['1996-01-01', 'soon'][k % 2 + 1]
+             WHEN 6 THEN (k % 4 * 10)::VARCHAR WHEN 7 THEN ['Mixed', '', 'Mostly Positive'][k % 3 + 1] END AS value
+  FROM asked WHERE kind < 8
+  UNION ALL SELECT session_id, turn, 'status', CASE WHEN turn % 5 > 0 THEN 'READY' ELSE 'GATHERING' END FROM asked),
+said AS (
+  SELECT session_id, key, value FROM turns QUALIFY row_number() OVER (PARTITION BY session_id, key ORDER BY turn DESC) = 1),
+ready AS (SELECT session_id FROM said WHERE key = 'status' AND value = 'READY'),
+wanted AS (
+  SELECT session_id, max(value) FILTER (key = 'genres') AS genres, max(value) FILTER (key = 'categories') AS categories,
+         max(value) FILTER (key = 'developers') AS developers, max(value) FILTER (key = 'publishers') AS publishers,
+         max(value) FILTER (key = 'release_date_after') AS after, max(value) FILTER (key = 'release_date_before') AS before,
+         max(value) FILTER (key = 'review_score_min') AS least, max(value) FILTER (key = 'review_score_description') AS described
+  FROM said SEMI JOIN ready USING (session_id) GROUP BY session_id),
+lists AS (
+  SELECT session_id, TRY_CAST(after AS TIMESTAMP) AS after, TRY_CAST(before AS TIMESTAMP) AS before,
+         TRY_CAST(least AS BIGINT) AS least, described, genres, categories, developers, publishers FROM wanted)"""
+
+
+def _list(column: str) -> str:
+    return (
+        f"list_filter(CASE WHEN {column}[1] = '[' THEN from_json({column}, '[\"VARCHAR\"]') WHEN {column} <> '' "
+        f"THEN [{column}] ELSE [] END, lambda x: x <> '')"
+    )
+
+
+@workload(
+    "search_ready_sessions",
+    "V03 V03a V03b V03c V03d V04 F17 F21 F22 K05",
+    layered(
+        f"""
+SELECT session_id, game_id, game_name, game_review_score, row_number() OVER (
+           PARTITION BY session_id ORDER BY game_review_score DESC, game_id) AS rank
+FROM (SELECT session_id, after, before, least, described, {_list('genres')} AS genres, {_list('categories')} AS categories,
+             {_list('developers')} AS developers, {_list('publishers')} AS publishers FROM lists) s
+JOIN dim_games ON game_review_score IS NOT NULL AND game_review_score_description IS NOT NULL
+  AND len(genres) + len(categories) + len(developers) + len(publishers) > 0
+  AND (len(genres) = 0 OR list_has_any(game_genres, genres))
+  AND (len(categories) = 0 OR list_has_any(game_categories, categories))
+  AND (len(developers) = 0 OR len(list_filter(developers, lambda p: contains(lower(array_to_string(game_developers, '|')), lower(p)))) > 0)
+  AND (len(publishers) = 0 OR len(list_filter(publishers, lambda p: contains(lower(array_to_string(game_publishers, '|')), lower(p)))) > 0)
+  AND (after IS NULL OR game_prerelease_date >= after) AND (before IS NULL OR game_prerelease_date <= before)
+  AND (coalesce(least, 0) = 0 OR game_review_score >= least)
+  AND (coalesce(described, '') = '' OR game_review_score_description = described)
+QUALIFY rank <= 20""",
+        _ASKED.strip(),
+    ),
+)
+def _(spark, d):
+    orders = b.table(spark, d, "orders").selectExpr(
+        "o_custkey AS session_id", "o_orderkey AS turn", "o_orderkey % 9 AS kind", "o_orderkey DIV 9 AS k"
+    )
+    said = orders.where("kind < 8").selectExpr(
+        "session_id",
+        "turn",
+        f"element_at(array({', '.join(repr(k) for k in retrieval.PREFERENCE_KEYS[:8])}), CAST(kind + 1 AS INT)) AS key",
+        """CASE kind
+           WHEN 0 THEN concat('["', element_at(array('STANDARD', 'LARGE', 'PROMO', 'Brand#7', 'None'), CAST(k % 5 + 1 AS INT)),
+                              '","Brand#', k % 25, '"]')
+           WHEN 1 THEN element_at(array('widget', '["rod","old"]', '[]', 'ring'), CAST(k % 4 + 1 AS INT))
+           WHEN 2 THEN element_at(array('BRAND#2', '["#1","ND#9"]', 'x'), CAST(k % 3 + 1 AS INT))
+           WHEN 3 THEN element_at(array('econ', 'a', '["promo"]'), CAST(k % 3 + 1 AS INT))
+           WHEN 4 THEN concat('199', 4 + k % 3, '-03-01')
+           WHEN 5 THEN element_at(array('1996-01-01', 'soon'), CAST(k % 2 + 1 AS INT))
+           WHEN 6 THEN CAST(k % 4 * 10 AS STRING)
+           WHEN 7 THEN element_at(array('Mixed', '', 'Mostly Positive'), CAST(k % 3 + 1 AS INT)) END AS value""",
+    )
+    status = orders.selectExpr("session_id", "turn", "'status' AS key", "IF(turn % 5 > 0, 'READY', 'GATHERING') AS value")
+    folded = retrieval.fold_preferences(said.unionByName(status))
+    return session_search.search_ready_sessions(b.stored_models(spark, d)["dim_games"], folded, limit=20)
+
+
 # ---- text
 
 

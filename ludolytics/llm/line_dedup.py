@@ -5,7 +5,7 @@ content, after the word of the least checksum in each window of LONGEST words. S
 long line or without any stop is cut alike in all its copies but for its first and last words.
 
 A window is the least number of consecutive lines (blank ones aside) with WORDS words or more, counted from any line
-forwards or from any line backwards; a text of fewer words is one window. The least line hash of a window's first two
+forwards, or from the last line backwards; a text of fewer words is one window. The least line hash of a window's first two
 lines is its fingerprint, so texts that share a window share its fingerprint, and every shared run of 50 words holds one.
 Fingerprints that stand at one place only are dropped by a count; the windows around the others are compared as wholes,
 the first place of each is found, and every later one is deleted. Neighbouring windows extend a match in both
@@ -29,9 +29,11 @@ LONGEST = 18
 WORDS = 15
 #: Characters below which a text of fewer words is no passage.
 MIN_CHARS = 60
-#: A sentence or the rest of a line, with its end; together they make up the text.
-SENTENCES = "[^\\n]*?(?:[^\\n.!?][.!?] |[。！？؟।])|[^\\n]*\\n|[^\\n]+"
-_END = "[\\x20\\x09-\\x0D]+$"
+#: The ends of lines: a line feed, a stop of a script without spaces, or one stop after a sign and before a space.
+ENDS = "[.!?\\n\u3002\uff01\uff1f\u061f\u0964](?:(?<=[\\n\u3002\uff01\uff1f\u061f\u0964])|(?<=[^.!?\\x20\\x09-\\x0D][.!?]) )"
+_MARK = "\x01"
+#: White space at the end of a line, which is not compared.
+BLANK = " \t\n\x0b\f\r"
 #: Characters that count as a word where there are no spaces.
 WORD_CHARS = 10
 
@@ -75,13 +77,17 @@ def _cut_by_content(line: Column) -> Column:
 
 def pieces(text: Column) -> Column:
     """The lines of a text, with what separates them; they make up the text."""
-    sentences = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(SENTENCES), F.lit(0))
+    text = F.coalesce(text, F.lit(""))
+    # the ends are marked and the text split there; a text that has the mark itself is split at its ends one by one
+    marked = F.split(F.regexp_replace(text, ENDS, f"$0{_MARK}"), _MARK)
+    slowly = F.split(text, f"(?<={ENDS})")
+    sentences = F.filter(F.when(F.contains(text, F.lit(_MARK)), slowly).otherwise(marked), lambda s: s != "")
     return F.flatten(F.transform(sentences, lambda s: F.when(_spaces(s) < LONGEST, F.array(s)).otherwise(_cut_by_content(s))))
 
 
 def bare(piece: Column) -> Column:
     """A line without the white space at its end; empty if there is nothing else."""
-    return F.regexp_replace(piece, _END, "")
+    return F.rtrim(piece, F.lit(BLANK))
 
 
 def line_hashes(docs: DataFrame) -> DataFrame:
@@ -114,9 +120,9 @@ def _spans(h: Column, w: Column, chars: Column) -> Column:
         return out
 
     def found(w: Column) -> Column:
-        every = F.sequence(F.lit(0), F.size(w) - 1)
-        forwards, backwards = F.transform(every, lambda i: enough(w, i, 1)), F.transform(every, lambda i: enough(w, i, -1))
-        return F.array_distinct(F.filter(F.concat(forwards, backwards), lambda s: s.isNotNull()))
+        forwards = F.transform(F.sequence(F.lit(0), F.size(w) - 1), lambda i: enough(w, i, 1))
+        last = F.array(enough(w, F.size(w) - 1, -1))
+        return F.array_distinct(F.filter(F.concat(forwards, last), lambda s: s.isNotNull()))
 
     few = F.aggregate(w, F.lit(0), lambda a, b: a + b) < WORDS
     whole = F.when(chars >= MIN_CHARS, F.array(F.size(h).cast("bigint")))

@@ -69,7 +69,7 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH sentence AS (
         SELECT doc_id, unnest(range(len(s))) AS number, unnest(s) AS line
         FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''),
-                     '[^\n]*?(?:[^\n.!?][.!?] |[。！？؟।])|[^\n]*\n|[^\n]+') AS s FROM documents)),
+                     '[^\n]*?(?:[^.!?\x20\x09-\x0D][.!?] |[。！？؟।])|[^\n]*\n|[^\n]+') AS s FROM documents)),
     long_line AS (
         SELECT doc_id, number, string_split(line, ' ') AS words FROM sentence
         WHERE length(line) - length(replace(line, ' ', '')) >= 18),
@@ -112,8 +112,8 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM line GROUP BY doc_id),
     forwards AS (SELECT a.doc_id, a.place AS low, min(b.place) AS high FROM line a JOIN line b
                  ON a.doc_id = b.doc_id AND b.place BETWEEN a.place AND a.place + 14 AND b.upto - a.upto + a.w >= 15 GROUP BY ALL),
-    backwards AS (SELECT b.doc_id, max(a.place) AS low, b.place AS high FROM line a JOIN line b
-                  ON a.doc_id = b.doc_id AND a.place BETWEEN b.place - 14 AND b.place AND b.upto - a.upto + a.w >= 15 GROUP BY ALL),
+    backwards AS (SELECT a.doc_id, max(a.place) AS low, b.n AS high FROM line a JOIN body b
+                  ON a.doc_id = b.doc_id AND a.place >= b.n - 14 AND b.w - a.upto + a.w >= 15 GROUP BY ALL),
     span AS (FROM forwards UNION FROM backwards UNION SELECT doc_id, 1, n FROM body WHERE w < 15 AND chars >= 60),
     windows AS (SELECT doc_id, low, high, array_to_string(lines[low:high], chr(1)) AS body FROM span JOIN body USING (doc_id)),
     later AS (SELECT doc_id, low, high FROM windows QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, low) > 1),

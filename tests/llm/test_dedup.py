@@ -83,8 +83,8 @@ def test_bucket_keys_agree_with_similarity():
 
 def lines_of(t):
     """Sentences, the long ones cut after the word of the least checksum in each window of 18 words."""
-    out = []
-    for line in re.findall(line_dedup.SENTENCES, t or ""):
+    out, sentences = [], "[^\\n]*?(?:[^.!?\\x20\\x09-\\x0D][.!?] |[\u3002\uff01\uff1f\u061f\u0964])|[^\\n]*\\n|[^\\n]+"
+    for line in re.findall(sentences, t or ""):
         words = line.split(" ")
         if len(words) < 19:
             out.append(line)
@@ -109,7 +109,7 @@ def brute_lines(rows):
         windows, n = set(), len(lines)
         for a in range(n):
             windows |= set([(a, b) for b in range(a + 1, n + 1) if sums[b] - sums[a] >= 15][:1])
-            windows |= set([(b, a + 1) for b in range(a, -1, -1) if sums[a + 1] - sums[b] >= 15][:1])
+        windows |= set([(b, n) for b in range(n - 1, -1, -1) if sums[n] - sums[b] >= 15][:1])
         if sums[-1] < 15 and sum(len(p) for _, p, _ in lines) >= line_dedup.MIN_CHARS:
             windows = {(0, n)}
         gone = set()

@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ from ludolytics.functions.text import Encoder, chunk_fixed, embed, explode_chunk
 from ludolytics.functions.vectors import cosine_similarity, vector_literal
 from ludolytics.operators.blocks import best_matches, best_similarity, meet, pack, similarity_rows
 from ludolytics.operators.keyed import top_rows
+from ludolytics.sources.writers import staged
 
 # ---------------------------------------------------------------- embeddings
 
@@ -179,6 +180,56 @@ class ListIndex:
         return _nearest(best_matches(met, limit), query_id, limit)
 
 
+    def store(self, profiles: DataFrame, path: str) -> StoredListIndex:
+        """Write the index: vectors packed into blocks, a folder for each list, and the centres beside them.
+
+        A large list is many blocks, written by many tasks; the blocks of a list are full but for the last of each task.
+        """
+        spark = profiles.sparkSession
+        filed = self.assign(profiles).select("list_id", "game_id", "embedding").hint("rebalance", "list_id")
+        blocks = pack(filed.sortWithinPartitions("list_id"), ["game_id"], "embedding", ["list_id"])
+        blocks.write.mode("overwrite").partitionBy("list_id").parquet(f"{path}/blocks")
+        centres = [(n, [float(x) for x in centre]) for n, centre in enumerate(self.model.clusterCenters())]
+        spark.createDataFrame(centres, _CENTRES).coalesce(1).write.mode("overwrite").parquet(f"{path}/centres")
+        return StoredListIndex(spark, path)
+
+
+_CENTRES = T.StructType([T.StructField("list_id", T.IntegerType()), T.StructField("c", T.ArrayType(T.DoubleType()))])
+#: Bytes of blocks that one task meets beyond the broadcast.
+SHARD_BYTES = 64 << 20
+
+
+class StoredListIndex:
+    """A written list index. A search reads the folders of the probed lists only, and nothing is packed again."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def probes(self, queries: DataFrame, nprobe: int, query_id: str = "query_id", vector: str = "embedding") -> DataFrame:
+        """(query_id, list_id) of the ``nprobe`` lists whose centres are nearest to each query."""
+        centres = self.spark.read.schema(_CENTRES).parquet(f"{self.path}/centres")
+        near = best_matches(meet(pack(queries, [query_id], vector), pack(centres, ["list_id"], "c"), shards=1), nprobe)
+        order = [F.col("similarity").desc_nulls_last(), F.col("list_id")]
+        return top_rows(near, [query_id], order, nprobe).select(query_id, "list_id")
+
+    def blocks(self, lists: Sequence[int] | None = None) -> DataFrame:
+        """The packed vectors of some lists, or of all."""
+        stored = self.spark.read.parquet(f"{self.path}/blocks")
+        return stored if lists is None else stored.where(F.col("list_id").isin(list(lists)))
+
+    def search(
+        self, queries: DataFrame, nprobe: int, limit: int = 10, query_id: str = "query_id", vector: str = "embedding"
+    ) -> DataFrame:
+        """(query_id, game_id, similarity, rank): the nearest of what the probed lists hold, ranked exactly."""
+        probed = staged(self.probes(queries, nprobe, query_id, vector))
+        lists = sorted(r[0] for r in probed.select("list_id").distinct().collect())  # as many as there are centres
+        blocks = self.blocks(lists)
+        size = blocks.agg(F.sum(F.octet_length("matrix"))).first()[0] or 0
+        asked = pack(probed.join(queries.select(query_id, vector), query_id).repartition("list_id"), [query_id], vector, ["list_id"])
+        met = meet(asked, blocks, ["list_id"], max(1, -(-size // SHARD_BYTES)))
+        return _nearest(best_matches(met, limit), query_id, limit)
+
+
 # ---------------------------------------------------------------- metadata search
 
 

@@ -10,6 +10,7 @@ from ludolytics.functions import text as T
 from ludolytics.functions.vectors import cosine_distance, has_size
 from ludolytics.operators.blocks import unpack
 from ludolytics.plans import retrieval, session_search
+from ludolytics.session import scratch_path
 from ludolytics.workloads import bindings as b
 from ludolytics.workloads.oracle import layered
 from ludolytics.workloads.registry import workload
@@ -84,6 +85,62 @@ def _(spark, d):
     )
 
 
+_TWENTIETH = """
+sims AS (SELECT q.vec_id AS query_id, e.vec_id AS game_id,
+                list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS similarity
+         FROM embeddings q, embeddings e WHERE q.vec_id % 20 = 0)"""
+
+
+def _asked(spark, d):
+    """Every row whose id is divisible by 20, as a query against all rows."""
+    profiles = b.profiles(spark, d)
+    return profiles, profiles.where("game_id % 20 = 0").withColumnRenamed("game_id", "query_id")
+
+
+def _stored_index(spark, profiles):
+    return retrieval.ListIndex(lists=16, seed=7).fit(profiles).store(profiles, scratch_path(spark, "list-index"))
+
+
+@workload(
+    "stored_index_all_probes",
+    "V02 K05",
+    f"""
+WITH {_TWENTIETH.strip()}
+SELECT query_id, rank, round(similarity, 9) AS similarity
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, game_id) AS rank FROM sims) WHERE rank <= 10""",
+)
+def _(spark, d):
+    profiles, asked = _asked(spark, d)
+    hits = _stored_index(spark, profiles).search(asked, nprobe=16)
+    return _rounded(hits.select("query_id", "rank", "similarity"), "similarity")
+
+
+@workload("stored_index_hits", "V02 K05")
+def _(spark, d):
+    # which neighbours are met depends on the clustering; stored_index_recall measures them
+    profiles, asked = _asked(spark, d)
+    return _rounded(_stored_index(spark, profiles).search(asked, nprobe=12), "similarity")
+
+
+@workload(
+    "stored_index_recall",
+    "V02",
+    """
+SELECT count(*) AS queries, sum(least(10, (SELECT count(*) FROM embeddings)))::BIGINT AS wanted, true AS enough
+FROM embeddings WHERE vec_id % 20 = 0""",
+)
+def _(spark, d):
+    """Of the exact ten nearest of each query, the share that 12 of 16 lists give is 0.9 or more."""
+    profiles, asked = _asked(spark, d)
+    exact = retrieval.semantic_search_batch(profiles, asked).select("query_id", "game_id")
+    hits = _stored_index(spark, profiles).search(asked, nprobe=12).select("query_id", "game_id", F.lit(1).alias("hit"))
+    both = exact.join(hits, ["query_id", "game_id"], "left")
+    return both.agg(
+        F.count_distinct("query_id").alias("queries"), F.count("*").alias("wanted"),
+        (F.sum(F.coalesce("hit", F.lit(0))) >= 0.9 * F.count("*")).alias("enough"),
+    )
+
+
 @workload(
     "cosine_to_own_label",
     "F23",

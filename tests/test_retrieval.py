@@ -3,6 +3,7 @@ from datetime import datetime
 import numpy as np
 import pytest
 from helpers import plan, rows
+from ludolytics.session import scratch_path
 from pyspark.sql import functions as F
 
 from ludolytics.functions.vectors import cosine_similarity
@@ -90,6 +91,26 @@ def test_all_probes_equal_exact_search(spark, profiles, queries):
         assert len({lists[h.game_id] for h in part.where(F.col("query_id") == q).collect()}) <= 2
 
 
+def test_a_stored_index_reads_the_probed_lists_only(spark, profiles, queries):
+    index = r.ListIndex(lists=7, seed=1).fit(profiles)
+    stored = index.store(profiles, scratch_path(spark, "index"))
+    exact = rows(r.semantic_search_batch(profiles, queries), "query_id", "game_id", "rank")
+    assert rows(stored.search(queries, nprobe=7), "query_id", "game_id", "rank") == exact
+    one = queries.where("query_id = 0")
+    lists = [x.list_id for x in stored.probes(one, 2).collect()]
+    read = stored.blocks(lists)
+    files = [f[0] for f in read.select(F.input_file_name()).distinct().collect()]
+    assert len(lists) == 2 and {f.split("list_id=")[1].split("/")[0] for f in files} == {str(n) for n in lists}
+    assert "PartitionFilters: [list_id" in plan(read)
+    filed = {x.game_id: x.list_id for x in index.assign(profiles).collect()}
+    hits = stored.search(one, nprobe=2, limit=5).collect()
+    assert len(hits) == 5 and {filed[h.game_id] for h in hits} <= set(lists)
+    assert rows(stored.search(queries, nprobe=3), "query_id", "game_id") == rows(
+        index.search(index.assign(profiles), queries, nprobe=3), "query_id", "game_id"
+    )
+    assert stored.search(queries.where("false"), nprobe=2).collect() == []
+
+
 def test_similarity_matrix_has_every_cell(spark, profiles):
     ids = profiles.withColumnRenamed("game_id", "id")
     strips = r.similarity_matrix(ids, ids, "id", "embedding", shards=3)

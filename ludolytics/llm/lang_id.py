@@ -13,16 +13,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludolytics.llm.common import stored
 
 #: Expected number of documents of each language that the model is learnt from, drawn by a hash of id and text.
 SAMPLE_DOCS = 5_000
-#: Words and n-grams that the model holds at most; each language has an equal part, its most frequent ones.
-MAX_WORDS = 100_000
-MAX_GRAMS = 100_000
+#: The most frequent words and n-grams that the model holds of each language, however many languages there are.
+MAX_WORDS = 25_000
+MAX_GRAMS = 25_000
 LONGEST = 4
 UNKNOWN = "und"
 #: Scores of unknown words that a task keeps before its memory is emptied.
@@ -96,7 +96,8 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
 
     About SAMPLE_DOCS rows of each language are drawn by a hash of id (if there is one) and text, all rows of a rarer
     one; their words and n-grams are counted on the cluster. The most frequent ones of each language come to the driver
-    with their counts in all languages.
+    with their counts in all languages. Rows that repeat are drawn and count each. Without a row with text and language
+    the model knows none.
     """
     keys = [F.col(text_col), *([F.col(id_col)] if id_col else [])]
     rows = labelled.select(
@@ -110,11 +111,12 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     words = stored(words.groupBy("key", "lang").agg(F.count("*").alias("n")), "word-counts")
     marked = F.concat(F.lit("^"), "key", F.lit("$"))
     grams = [F.transform(F.sequence(F.lit(1), F.length("key")), lambda i: F.substring("key", i, F.lit(1)))]
-    for size in range(2, LONGEST + 1):
+
+    def marked_grams(size: int) -> Column:
         last = F.length("key") + 3 - size
-        grams.append(
-            F.when(last > 0, F.transform(F.sequence(F.lit(1), last), lambda i, s=size: F.substring(marked, i, F.lit(s))))
-        )
+        return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(marked, i, F.lit(size))))
+
+    grams += map(marked_grams, range(2, LONGEST + 1))
     grams = [F.coalesce(g, F.expr("cast(array() AS array<string>)")) for g in grams]
     pieces = words.select("lang", "n", F.explode(F.concat(*grams)).alias("key"))
     pieces = stored(pieces.groupBy("key", "lang").agg(F.sum("n").alias("n")), "gram-counts")
@@ -123,7 +125,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
 
     def most(counts: DataFrame, limit: int) -> list[tuple[str, str, int]]:
         order = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
-        best = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit // max(1, len(languages)))
+        best = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
         kept = counts.join(best.select("key").distinct(), "key", "left_semi")
         return [tuple(r) for r in kept.select("key", "lang", "n").orderBy("key", "lang").collect()]
 
@@ -140,7 +142,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     A NULL, empty or letterless text is ``und`` with score 0, and so is every text if nothing was learnt. A NULL or
     repeated doc_id is passed on; other columns are not read.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # MAX_WORDS and MAX_GRAMS bound its size
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # MAX_WORDS and MAX_GRAMS of each language bound its size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value

@@ -2,8 +2,8 @@
 
 Two zstandard dictionaries are trained, one on toxic and one on ordinary text. Toxic texts are ordinary text but for a
 few words, so both dictionaries share a base trained on ordinary windows; after it each holds the segments that texts of
-its own class hold more often than other texts of the same kind (a language, say), by a significance test over grams of
-several lengths. A window that compresses to fewer bytes with the toxic dictionary than with the ordinary one speaks for
+its own class hold more often than other texts of the same kind, by a significance test over grams of several lengths.
+Kinds are clusters of the texts by their letter triples, which mostly are languages; nothing but the text decides them. A window that compresses to fewer bytes with the toxic dictionary than with the ordinary one speaks for
 toxicity. Every window of a text is compared; a calibrated threshold on what the windows give (a logistic function fitted
 to texts that the dictionaries have not seen) makes the score.
 """
@@ -28,6 +28,11 @@ SAMPLE_CHARS = 60_000
 #: Bytes of the shared base and of each class's own segments.
 BASE_BYTES = 32_768
 OWN_BYTES = 8_192
+#: Kinds of texts, the buckets of their letter triples, the bytes of a text that count, and rounds of clustering.
+KINDS = 8
+KIND_BUCKETS = 2_048
+KIND_BYTES = 20_000
+KIND_ROUNDS = 15
 #: Lengths in bytes of the grams that segments are made of.
 GRAMS = (4, 5, 6, 8, 10, 12)
 #: A gram of a class is this many times as frequent there as in the other at least.
@@ -81,6 +86,32 @@ def _slices(texts: list[bytes], limit: int = 1 << 22) -> Iterator[tuple[np.ndarr
         first = last
 
 
+def _kinds(texts: list[bytes], ordinary: int) -> np.ndarray:
+    """A cluster for each text: spherical means of the square roots of its triples' shares.
+
+    The means are those of the first ``ordinary`` texts, so that no cluster forms around toxic words. The first centre is
+    the first text, each further one the text least like those before, so equal input gives equal clusters.
+    """
+    shares = np.zeros((len(texts), KIND_BUCKETS), dtype=np.float32)
+    for row, text in zip(shares, texts):
+        data = np.frombuffer(text[:KIND_BYTES], dtype=np.uint8).astype(np.int64)
+        if len(data) > 2:
+            row += np.bincount((data[:-2] * 961 + data[1:-1] * 31 + data[2:]) % KIND_BUCKETS, minlength=KIND_BUCKETS)
+    unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    shares = unit(np.sqrt(shares))
+    known = shares[:ordinary]
+    centres = known[:1]
+    while 0 < len(centres) < min(KINDS, ordinary):
+        centres = np.vstack([centres, known[[(known @ centres.T).max(axis=1).argmin()]]])
+    if not len(centres):
+        return np.zeros(len(texts), dtype=np.int64)
+    for _ in range(KIND_ROUNDS):
+        nearest = (known @ centres.T).argmax(axis=1)
+        sums = [known[nearest == k].sum(axis=0) if (nearest == k).any() else c for k, c in enumerate(centres)]
+        centres = unit(np.array(sums))
+    return (shares @ centres.T).argmax(axis=1)
+
+
 def _typical(counts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(log likelihood ratio, log ratio of rates) of grams for class 1, negative ones for class 0.
 
@@ -196,19 +227,19 @@ def _base(texts: list[bytes]) -> bytes:
         return b"".join(texts)[:BASE_BYTES]
 
 
-def train(toxic: list[tuple[str, str]], ordinary: list[tuple[str, str]], rate: float) -> Model:
-    """Fit dictionaries to two thirds of (text, kind) and the score to the rest; ``rate`` is the share of toxic texts."""
-    rows = [sorted((_plain(text), kind) for text, kind in part) for part in (ordinary, toxic)]
+def train(toxic: list[str], ordinary: list[str], rate: float) -> Model:
+    """Fit dictionaries to two thirds of the texts and the score to the rest; ``rate`` is the share of toxic texts."""
+    rows = [sorted(map(_plain, part)) for part in (ordinary, toxic)]
     learnt = [[row for k, row in enumerate(part) if k % HELD_OUT != 1] for part in rows]
     seen = [part[1::HELD_OUT] or part for part in rows]
-    texts, kinds = [text for part in learnt for text, _ in part], np.array([kind for part in learnt for _, kind in part])
-    other, own = _segments(texts, kinds, np.repeat([0, 1], [len(part) for part in learnt]))
-    base, size = _base([text for text, _ in learnt[0]]), max(len(own), len(other))
+    texts = [text for part in learnt for text in part]
+    other, own = _segments(texts, _kinds(texts, len(learnt[0])), np.repeat([0, 1], [len(part) for part in learnt]))
+    base, size = _base(learnt[0]), max(len(own), len(other))
     # the base stands at the same distance from the window in both; what comes last hides nothing that matches as well
     model = Model(base + other.rjust(size), base + own.rjust(size), [])
     pair = model.compressors()
     labels = np.repeat([0.0, 1.0], [len(part) for part in seen])
-    weights = _logistic(np.array([features(text.decode(), *pair) for part in seen for text, _ in part]), labels)
+    weights = _logistic(np.array([features(text.decode(), *pair) for part in seen for text in part]), labels)
     # the sample has both classes alike; the table has ``rate`` toxic texts
     drawn = (len(seen[1]) + 0.5) / (len(labels) + 1)
     rate = min(max(rate, 1e-6), 1 - 1e-6)
@@ -223,13 +254,12 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    kind_col: str | None = None,
 ) -> Model:
     """Learn from the rows of ``docs`` that ``labels`` (same id, 0 or 1) marks.
 
     About SAMPLE_DOCS labelled ids of each class are drawn by a hash; only these ids are sent to the scan of the
-    documents. ``kind_col`` names a column of the documents, such as their language, whose values are compared with their
-    like only; the score does not read it, and NULL is a kind of its own. Rows with a NULL id, label or text are left out; without any labelled text every score is 0.5.
+    documents. Rows with a NULL id, label or text are left out; an id with both labels is toxic, and of rows that share an id
+    each counts. Without any labelled text every score is 0.5, with one class alone all are of it.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     known = known.where("id IS NOT NULL AND label IN (0, 1)").groupBy("id").agg(F.max("label").alias("label"))
@@ -241,10 +271,9 @@ def fit(
     for label, n in counts.items():
         share = F.when(F.col("label") == label, F.lit(min(1 << 40, (SAMPLE_DOCS << 40) // n))).otherwise(share)
     drawn = F.broadcast(known.where(place < share))  # about 2 * SAMPLE_DOCS rows, see above
-    kind = F.coalesce(F.col(kind_col).cast("string"), F.lit("")) if kind_col else F.lit("")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), kind.alias("kind"))
-    rows = rows.where(F.length("text") <= SAMPLE_CHARS).join(drawn, "id").select("label", "text", "kind").collect()
-    texts = {k: [(r["text"], r["kind"]) for r in rows if r["label"] == k] for k in (0, 1)}
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = rows.where(F.length("text") <= SAMPLE_CHARS).join(drawn, "id").select("label", "text").collect()
+    texts = {k: [r["text"] for r in rows if r["label"] == k] for k in (0, 1)}
     if not texts[0] or not texts[1]:
         return Model(b"", b"", [4.0 if texts[1] else -4.0] + [0.0] * (N_FEATURES - 1))
     return train(texts[1], texts[0], counts.get(1, 0) / sum(counts.values()))

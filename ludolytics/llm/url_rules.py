@@ -1,7 +1,7 @@
 """URL filter by association rules.
 
-The labelled urls become sets of tokens (labels of the host, leading parts of the path, names of parameters) with the
-label as one more token. Spark's FP-growth finds the token combinations that occur often, and those that foretell a
+The labelled urls become sets of tokens (labels of the host, parts of the path, names of parameters) with the label as
+one more token. The first parts of a path are marked by their place, the others stand anywhere in it. Spark's FP-growth finds the token combinations that occur often, and those that foretell a
 label with enough confidence and support become rules; a rule that a shorter one already covers as well is dropped.
 Urls are matched by an inverted index: a rule is filed under its rarest token and met by the token sets that hold it.
 """
@@ -15,11 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Least share of the labelled urls that hold a combination, and least share of a combination's urls with its label.
-MIN_SUPPORT = 0.002
+MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.8
-#: Least number of labelled urls behind a rule, whatever their share.
-MIN_COUNT = 10
-#: Leading path parts that become tokens.
+#: Leading path parts whose tokens tell their place.
 PATH_PARTS = 2
 LABELS = ("allow", "block")
 
@@ -53,10 +51,11 @@ def fixed_rule(host: Column, path: Column, rules: list[HostRule]) -> Column:
 
 
 def tokens(host: Column, path: Column, url: Column) -> Column:
-    """The distinct tokens of a url: ``h:`` labels of the host, ``p1:``, ``p2:`` path parts, ``q:`` parameter names."""
+    """The distinct tokens of a url: ``h:`` labels of the host, ``p1:``, ``p2:``, ``p:`` path parts, ``q:`` parameter names."""
     labels = F.transform(F.filter(F.split(host, "\\."), lambda x: x != ""), lambda x: F.concat(F.lit("h:"), x))
-    parts = F.slice(F.filter(F.split(path, "/"), lambda x: x != ""), 1, PATH_PARTS)
-    parts = F.transform(parts, lambda x, k: F.concat(F.lit("p"), (k + 1).cast("string"), F.lit(":"), x))
+    place = lambda k: F.when(k < PATH_PARTS, (k + 1).cast("string")).otherwise(F.lit(""))
+    parts = F.filter(F.split(path, "/"), lambda x: x != "")
+    parts = F.transform(parts, lambda x, k: F.concat(F.lit("p"), place(k), F.lit(":"), x))
     query = F.split(F.regexp_extract(F.coalesce(url, F.lit("")), "(?s)^[^?#]*\\?([^#]*)", 1), "&")
     query = F.transform(F.filter(query, lambda x: x != ""), lambda x: F.concat(F.lit("q:"), F.substring_index(x, "=", 1)))
     return F.array_distinct(F.concat(labels, parts, query))
@@ -66,11 +65,11 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     """(rule_id, items, verdict, confidence, support) from rows of (tokens, label); rows without a label are left out.
 
     Tokens that too few urls hold are taken out before the transactions are built. At most 1 / min_support times the
-    tokens of a url are frequent, whatever the table's size. No labelled row gives no rule.
+    tokens of a url are frequent, whatever the table's size; the support is a share, alike at every size. No labelled row
+    gives no rule.
     """
     rows = labelled.where(F.col("label").isin(*LABELS)).select("tokens", "label")
     total = rows.count()
-    min_support = min(1.0, max(min_support, MIN_COUNT / max(1, total)))
     least = min_support * total
     single = rows.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     frequent = [r[0] for r in single.where(F.col("n") >= F.lit(least)).select("token").collect()]  # bounded, see above

@@ -4,7 +4,6 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 
 from ludolytics.llm import common, decontaminate, host_quality, lang_id, piece_bpe, toxicity
 from llm_helpers import sentence, text
@@ -144,6 +143,52 @@ def test_language(documents, odd, spark):
     assert nothing.predict("kal") == ("und", 0.0)
 
 
+def test_language_scores_equal_plain_python(spark, documents):
+    """The sums of the back-off written out: counts of all texts, a common floor, longest known n-grams of other words."""
+    import math
+    from collections import Counter
+
+    rng = random.Random(5)
+    stems = {"xx": ["kal", "mor", "tis", "po"], "yy": ["\u00e9ro", "vun", "sli", "po"]}
+    make = lambda lang: " ".join("".join(rng.choice(stems[lang]) for _ in range(rng.randint(1, 3))) for _ in range(12))
+    rows = [(make(lang), lang) for lang, n in (("xx", 30), ("yy", 12)) for _ in range(n)]
+    model = lang_id.fit(spark.createDataFrame(rows, "text string, lang string"))
+    words, grams = {x: Counter() for x in stems}, {x: Counter() for x in stems}
+    for t, lang in rows:
+        for w in t.split():
+            words[lang][w] += 1
+            for size in (1, 2, 3, 4):
+                m = w if size == 1 else f"^{w}$"
+                grams[lang].update(m[k : k + size] for k in range(len(m) - size + 1))
+    totals = {x: sum(words[x].values()) for x in stems}
+    floor = 0.5 / max(totals.values())
+    rate = lambda counts, x, key: math.log(counts[x][key] / totals[x] + floor)
+
+    def sums(t):
+        out = dict.fromkeys(stems, 0.0)
+        for w in t.lower().split():
+            if any(words[x][w] for x in stems):
+                keys, counts = [w], words
+            else:
+                counts = grams
+                for size in (4, 3, 2, 1):
+                    m = w if size == 1 else f"^{w}$"
+                    keys = [m[k : k + size] for k in range(len(m) - size + 1)]
+                    keys = [k for k in keys if any(grams[x][k] for x in stems)]
+                    if keys:
+                        break
+            for x in stems:
+                out[x] += sum(rate(counts, x, k) for k in keys) / max(1, len(keys))
+        return out
+
+    texts = [make(x) for x in "xx yy xx yy".split()] + ["kalvun poq morzz", "zzz", "vunvunvunsli KAL"]
+    for t in texts:
+        own = sums(t)
+        best = max(own.values())
+        lang, score = model.predict(t)
+        assert own[lang] == pytest.approx(best) and score == pytest.approx(1 / sum(math.exp(v - best) for v in own.values()))
+
+
 def test_rare_language_held_out(spark, documents, monkeypatch):
     monkeypatch.setattr(lang_id, "SAMPLE_DOCS", 60)
     rng = random.Random(12)
@@ -200,13 +245,58 @@ def test_toxicity_of_a_rare_language_held_out(spark, documents):
 
     rows = [(k, make(k, k % 3 == 0)) for k in range(2400)]
     labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(1600)], "doc_id bigint, toxic int")
-    docs = documents(rows).withColumn("lang", F.expr("IF(doc_id % 5 = 0, 'rare', NULL)"))
-    got = toxicity.score(docs, toxicity.fit(docs, labels, kind_col="lang")).where("doc_id >= 1600").collect()
+    docs = documents(rows)
+    got = toxicity.score(docs, toxicity.fit(docs, labels)).where("doc_id >= 1600").collect()
     for toxic in (True, False):
         rare = [r["predicted"] for r in got if r["doc_id"] % 5 == 0 and (r["doc_id"] % 3 == 0) == toxic]
         assert sum(p == int(toxic) for p in rare) >= 0.8 * len(rare)
 
 
+def test_toxicity_scores_equal_plain_python(spark, documents, odd):
+    """Windows cut one by one, compressed with each dictionary by itself, and the logistic function of what they save."""
+    import math
+
+    import zstandard
+
+    rows = odd + [(100 + k, text(k) + (" snotwaddle zorgblat" * (k % 3))) for k in range(40)]
+    labels = spark.createDataFrame([(100 + k, int(k % 3 > 0)) for k in range(40)], "doc_id bigint, toxic int")
+    docs = documents(rows)
+    model = toxicity.fit(docs, labels)
+
+    def size(window, content):
+        known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        plain = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
+        return len(zstandard.ZstdCompressor(level=3, dict_data=known, **plain).compress(window))
+
+    def score(t):
+        words = (t or "").lower().split()
+        data = f" {' '.join(words)} ".encode() if words else b""
+        at, saved = 0, []
+        while at == 0 or at < len(data) - 16:
+            window = data[at : at + 64]
+            saved.append(size(window, model.ordinary) - size(window, model.toxic))
+            at += 48
+        over = [sum(x >= k for x in saved) for k in range(1, 7)]
+        given = [1.0, min(max(*saved, 0), 8), math.log(len(saved)), *map(math.log1p, over), *(math.sqrt(n / len(saved)) for n in over)]
+        return 1 / (1 + math.exp(-min(max(sum(a * b for a, b in zip(given, model.weights)), -30), 30)))
+
+    some = [r for r in rows if len(r[1] or "") < 5000]
+    got = toxicity.score(docs.where("text IS NULL OR length(text) < 5000"), model).collect()
+    want = sorted((str(i), score(t)) for i, t in some)
+    for (i, s), (j, w) in zip(sorted((str(r["doc_id"]), r["score"]) for r in got), want):
+        assert i == j and abs(s - w) < 1e-9
+
+
+def test_kinds_are_languages_without_being_told():
+    rng = random.Random(2)
+    stems = [["kal", "mor", "tis"], ["\u00e9ro", "vun", "sli"], ["zuq", "wex", "yop"]]
+    texts = [" ".join("".join(rng.choice(stems[k % 3]) for _ in range(3)) for _ in range(60)).encode() for k in range(60)]
+    kinds = toxicity._kinds(texts, 45)
+    groups = [set(kinds[k::3].tolist()) for k in range(3)]
+    assert not (groups[0] & groups[1] or groups[0] & groups[2] or groups[1] & groups[2])
+    assert toxicity._kinds([], 0).tolist() == [] and toxicity._kinds([b"", b"a"], 1).tolist() == [0, 0]
+
+
 def test_toxicity_without_labels(spark, documents):
     docs = documents([(1, text(1)), (2, None)])
     empty = spark.createDataFrame([], "doc_id bigint, toxic int")

@@ -29,7 +29,7 @@ SAMPLE_CHARS = 60_000
 BASE_BYTES = 32_768
 OWN_BYTES = 8_192
 #: Kinds of texts, the buckets of their letter triples, the bytes of a text that count, and rounds of clustering.
-KINDS = 8
+KINDS = 12
 KIND_BUCKETS = 2_048
 KIND_BYTES = 20_000
 KIND_ROUNDS = 15

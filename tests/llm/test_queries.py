@@ -5,7 +5,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from check_queries import TABLES, rows
 from ludolytics.llm import queries
-from llm_helpers import sentence, text
+from llm_helpers import CLASHING, sentence, text
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -20,11 +20,27 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_registry():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in entry.queries()) == 1
     assert "pipeline" in entry.queries() and len(corpus_pipeline.STAGES) == 5
 
 
+@pytest.mark.parametrize("number", range(5))
+def test_stages_take_clashing_columns_and_empty_tables(spark, documents, odd, tmp_path, number):
+    names = "predicted score removed_lines hits items n_words n_hit row kept_0 component_id tag removed kept"
+    name, stage = corpus_pipeline.STAGES[number]
+    spark.createDataFrame([(1, sentence(9000, 20))], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(5, 0), (9, 1)], "doc_id bigint, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = documents([r for r in odd if len(r[1] or "") < 5000], extra=False)
+    docs = docs.selectExpr("*", *(f"7 AS {c}" for c in sorted({*names.split(), *CLASHING})))
+    for rows in (docs, docs.where("false")):
+        out = stage(spark, rows, str(tmp_path))
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert out.columns == rows.columns
+        got = out.collect()
+        assert len(got) <= rows.count() and (number not in (1, 4) or len(got) == rows.count())
+
+
 def test_pipeline_stages(spark, documents, odd, tmp_path):
     passage = text(77, 8)
     planted = [(k + 100, text(k + 20, 12)) for k in range(20)]

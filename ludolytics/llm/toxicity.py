@@ -28,9 +28,11 @@ SAMPLE_CHARS = 60_000
 #: Bytes of the shared base and of each class's own segments.
 BASE_BYTES = 32_768
 OWN_BYTES = 8_192
-#: Kinds of texts, the buckets of their letter triples, the bytes of a text that count, and rounds of clustering.
+#: Kinds of texts, the buckets of their letter triples, the bytes of a text that count, and the ordinary texts and
+#: rounds of clustering.
 KINDS = 12
-KIND_BUCKETS = 2_048
+KIND_BUCKETS = 1_024
+KIND_TEXTS = 1_000
 KIND_BYTES = 20_000
 KIND_ROUNDS = 15
 #: Lengths in bytes of the grams that segments are made of.
@@ -42,7 +44,7 @@ ACCIDENT = 0.05
 #: One text of so many fits the score; the dictionaries are trained on the others.
 HELD_OUT = 3
 #: Bytes of text whose grams are counted at once.
-COUNT_BYTES = 1 << 24
+COUNT_BYTES = 1 << 22
 #: Bytes of a window, and by how many two windows overlap.
 WINDOW = 64
 OVERLAP = 16
@@ -89,7 +91,7 @@ def _slices(texts: list[bytes], limit: int = 1 << 22) -> Iterator[tuple[np.ndarr
 def _kinds(texts: list[bytes], ordinary: int) -> np.ndarray:
     """A cluster for each text: spherical means of the square roots of its triples' shares.
 
-    The means are those of the first ``ordinary`` texts, so that no cluster forms around toxic words. The first centre is
+    The means are those of some of the first ``ordinary`` texts, so that no cluster forms around toxic words. The first centre is
     the first text, each further one the text least like those before, so equal input gives equal clusters.
     """
     shares = np.zeros((len(texts), KIND_BUCKETS), dtype=np.float32)
@@ -98,10 +100,11 @@ def _kinds(texts: list[bytes], ordinary: int) -> np.ndarray:
         if len(data) > 2:
             row += np.bincount((data[:-2] * 961 + data[1:-1] * 31 + data[2:]) % KIND_BUCKETS, minlength=KIND_BUCKETS)
     unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-    shares = unit(np.sqrt(shares))
-    known = shares[:ordinary]
+    np.sqrt(shares, out=shares)
+    shares /= np.maximum(np.sqrt(np.einsum("ij,ij->i", shares, shares)), 1e-9)[:, None]
+    known = shares[: ordinary : max(1, -(-ordinary // KIND_TEXTS))]
     centres = known[:1]
-    while 0 < len(centres) < min(KINDS, ordinary):
+    while 0 < len(centres) < min(KINDS, len(known)):
         centres = np.vstack([centres, known[[(known @ centres.T).max(axis=1).argmin()]]])
     if not len(centres):
         return np.zeros(len(texts), dtype=np.int64)

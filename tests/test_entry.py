@@ -32,6 +32,10 @@ COMPARED = [
     "unaccepted_categories",
     "list_index_few_probes",
     "chunk_recursive",
+    "versioned_merge",
+    "streaming_merge",
+    "search_ready_sessions",
+    "stored_index_all_probes",
 ]
 
 

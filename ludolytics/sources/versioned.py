@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ludolytics.sources.writers import staged
+from ludolytics.sources.writers import batch_keys, staged
 
 BUCKETS = 64
 #: Folders of a bucket before a load joins them into one.
@@ -112,7 +112,7 @@ class VersionedTable:
         wanted = staged(keys.select(self.key).where(F.col(self.key).isNotNull()).distinct())
         found = wanted.select(self._bucket([self.key], manifest.buckets).alias("b")).distinct().collect()  # at most BUCKETS
         rows = self._rows(manifest, sorted(r["b"] for r in found)).drop("_bucket")
-        return rows.join(wanted, self.key, "left_semi")
+        return rows.join(batch_keys(wanted, self.key), self.key, "left_semi")
 
     # ---- loads
 
@@ -156,7 +156,7 @@ class VersionedTable:
         version = 1 if old is None else old.version + 1
         out, anew = batch, set()
         if old is not None and touched:
-            keys = batch.select(self.key)
+            keys = batch_keys(batch, self.key)
             stored = self._rows(old, touched)
             anew = {r[0] for r in stored.join(keys, self.key, "left_semi").select("_bucket").distinct().collect()}
             anew |= {b for b in touched if len(folders.get(b, [])) >= MOST_FOLDERS}

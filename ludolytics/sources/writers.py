@@ -19,6 +19,8 @@ from ludolytics.sources.readers import load_watermarks, read_if_present
 
 GAMES_PER_FILE = 10_000
 REVIEWS_PER_FILE = 100_000
+#: Keys, at most, that a join of a batch with its table may send to every task.
+BROADCAST_KEYS = 100_000
 
 
 def _overwrite_partitions(df: DataFrame, path: str, *columns: str) -> None:
@@ -96,6 +98,16 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def batch_keys(batch: DataFrame, key: str) -> DataFrame:
+    """The keys of a ``staged`` batch as a side of joins with the stored table.
+
+    Spark takes the size of their compressed files for that of the rows, which can be fifty times as large; so many keys
+    are counted (in the files' footers) and shuffled.
+    """
+    keys = batch.select(key)
+    return keys.hint("merge") if keys.count() > BROADCAST_KEYS else keys
+
+
 def _replace_stored(current: DataFrame, keys: DataFrame, key: str, part: str, path: str) -> None:
     """Remove the stored rows with one of ``keys``, rewriting only their partitions."""
     # partitions by their folders: a NULL or escaped value has another name there than in the rows
@@ -107,16 +119,16 @@ def _replace_stored(current: DataFrame, keys: DataFrame, key: str, part: str, pa
     kept = staged(kept)
     _overwrite_partitions(kept.drop("_folder"), path, part)
     # one value per stored partition that has no row left
-    emptied = losing.join(kept.select("_folder"), "_folder", "left_anti").collect()
-    _drop_folders([row[0] for row in emptied])
+    left = {row[0] for row in kept.select("_folder").distinct().collect()}
+    _drop_folders([row[0] for row in losing.collect() if row[0] not in left])
 
 
 def replace_batch(batch: DataFrame, path: str, key: str, batch_no: int) -> None:
-    """Store a batch as its own partition; its rows replace earlier ones by key."""
+    """Store a ``staged`` batch as its own partition; its rows replace earlier ones by key."""
     schema = T.StructType([*batch.schema.fields, T.StructField("batch_no", T.LongType())])
     current = read_if_present(batch.sparkSession, path, schema)
     if current is not None:
-        _replace_stored(current.where(F.col("batch_no") < batch_no), batch.select(key), key, "batch_no", path)
+        _replace_stored(current.where(F.col("batch_no") < batch_no), batch_keys(batch, key), key, "batch_no", path)
     _overwrite_partitions(batch.withColumn("batch_no", F.lit(batch_no).cast("long")), path, "batch_no")
 
 
@@ -165,7 +177,7 @@ def incremental_append(
     batch = staged(resolve(new.where(F.col(mark) > F.lit(high))))
     if on_schema_change == "ignore":
         batch = batch.select(*[c for c in batch.columns if c in stored.names])
-    _replace_stored(current, batch.select(key), key, mark, path)
+    _replace_stored(current, batch_keys(batch, key), key, mark, path)
     _overwrite_partitions(batch, path, mark)
 
 

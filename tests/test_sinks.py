@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from ludolytics import schemas
@@ -45,6 +45,24 @@ def test_incremental_load_replaces_rows_with_null_or_escaped_marks(spark, tmp_pa
     assert stored(spark, path) == [(1, "new", "z:1"), (2, "new", "z:1"), (3, "new", "z:1"), (4, "d", None)]
 
 
+def test_many_keys_of_a_batch_are_not_broadcast(spark, tmp_path, monkeypatch):
+    plans, staged = [], writers.staged
+
+    def seen(df):
+        plans.append(plan(df))
+        return staged(df)
+
+    monkeypatch.setattr(writers, "staged", seen)
+    path = str(tmp_path / "t")
+    old = spark.range(150_000).selectExpr("id AS review_id", "'a' AS v", "DATE'2024-01-01' AS scrape_date")
+    writers.incremental_append(old, path)
+    newer = old.where("review_id < 120000").withColumn("v", F.lit("b")).withColumn("scrape_date", F.lit(D[1]))
+    writers.incremental_append(newer, path)
+    # the keys are small in their files and large in memory; folder names are few
+    assert len(plans) == 3 and all("SortMergeJoin" in p for p in plans[1:])
+    assert stored(spark, path)[0] == (0, "b", D[1]) and spark.read.parquet(path).count() == 150_000
+
+
 def test_shared_folder_is_asked_for_on_a_cluster(monkeypatch):
     from types import SimpleNamespace
 

@@ -43,8 +43,9 @@ LEAST_RATIO = 8.0
 ACCIDENT = 0.05
 #: One text of so many fits the score; the dictionaries are trained on the others.
 HELD_OUT = 3
-#: Bytes of text whose grams are counted at once.
+#: Bytes of text whose grams are counted at once, and hashed at once.
 COUNT_BYTES = 1 << 22
+HASH_BYTES = 1 << 18
 #: Bytes of a window, and by how many two windows overlap.
 WINDOW = 64
 OVERLAP = 16
@@ -76,7 +77,7 @@ def _gram_hashes(data: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.ndarr
     return places, mix(hashes[places]) >> np.uint64(24)
 
 
-def _slices(texts: list[bytes], limit: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _slices(texts: list[bytes], limit: int = HASH_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(bytes, text number of each byte) of runs of texts."""
     first = 0
     while first < len(texts):

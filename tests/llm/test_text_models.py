@@ -333,3 +333,18 @@ def test_host_verdicts(spark):
     rates = {r["host"]: r["host_rate"] for r in got}
     assert 0.1 < rates["good"] < rates[None] < rates["bad"] < 39 / 40
     assert host_quality.host_verdicts(df.limit(0)).count() == 0
+
+
+def test_counting_grams_takes_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    vocabulary = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(400)]
+    texts = [toxicity._plain(" ".join(rng.choice(vocabulary, 2_000)) + " badword" * (k % 2)) for k in range(280)]
+    labels = np.arange(280) % 2
+    tracemalloc.start()
+    other, own = toxicity._segments(texts, np.zeros(280, dtype=np.int64), labels)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(map(len, texts)) > 3_900_000 and most < 120e6
+    assert b"badword" in own and b"badword" not in other

@@ -438,19 +438,23 @@ SELECT doc_id, TRUE AS short_enough, TRUE AS inside_text, TRUE AS numbered,
 FROM documents WHERE regexp_replace(text, '[\s\p{Z}]+', '', 'g') <> ''""",
 )
 def _(spark, d):
-    # where a chunk ends is a matter of the splitter; each is a piece of the text, and together they hold all its words
-    documents = b.table(spark, d, "documents").select("doc_id", "text")
-    chunks = T.explode_chunks(documents, "doc_id", T.chunk_recursive("text")).join(documents, "doc_id")
-    words = F.filter(F.split("chunk_text", r"[\s\p{Z}]+"), lambda w: w != "")
-    whole = F.filter(F.split(F.first("text"), r"[\s\p{Z}]+"), lambda w: w != "")
-    return chunks.groupBy("doc_id").agg(
-        F.bool_and(F.length("chunk_text") <= 256).alias("short_enough"),
-        F.bool_and(F.col("text").contains(F.col("chunk_text"))).alias("inside_text"),
-        (F.max("chunk_id") + 1 == F.count("*")).alias("numbered"),
-        F.size(F.array_intersect(F.array_distinct(whole), F.array_distinct(F.flatten(F.collect_list(words)))))
-        .cast("bigint")
-        .alias("words"),
+    # where a chunk ends is a matter of the splitter; each is a piece of the text, and together they hold all its words.
+    # A text is compared with its chunks in its own row, so neither is exchanged
+    def words(text):
+        return F.filter(F.split(text, r"[\s\p{Z}]+"), lambda w: w != "")
+
+    documents = b.table(spark, d, "documents").select("doc_id", "text", T.chunk_recursive("text").alias("chunks"))
+    both = F.array_intersect(F.array_distinct(words("text")), F.array_distinct(F.flatten(F.transform("chunks", words))))
+    document = F.struct(
+        "doc_id",
+        F.monotonically_increasing_id().alias("row"),
+        F.forall("chunks", lambda c: F.length(c) <= 256).alias("short_enough"),
+        F.forall("chunks", lambda c: F.col("text").contains(c)).alias("inside_text"),
+        F.size(both).cast("bigint").alias("words"),
     )
+    chunks = T.explode_chunks(documents.select(document.alias("document"), "chunks"), "document", F.col("chunks"))
+    numbered = chunks.groupBy("document").agg((F.max("chunk_id") + 1 == F.count("*")).alias("numbered"))
+    return numbered.select("document.doc_id", "document.short_enough", "document.inside_text", "numbered", "document.words")
 
 
 @workload("embed_documents", "T05")

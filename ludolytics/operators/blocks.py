@@ -172,10 +172,12 @@ def best_matches(met: DataFrame, k: int, keep: Sequence[str] = ()) -> DataFrame:
     schema = T.StructType(
         [*kept_fields, *left_fields, *right_fields, T.StructField("similarity", T.DoubleType())]
     )
-    first = right_fields[0].name
+    names = [f.name for f in right_fields]
+    numbers = len(names) == 1 and isinstance(right_fields[0].dataType, (T.LongType, T.IntegerType))
 
     def kernel(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # per left block: what to emit with each row, its best (-similarity, id, right row), and the k-th of these
+        # per left block: what to emit with each row, then the costs (-similarity) and right ids of its best, as matrices:
+        # a task may hold the best of very many left rows
         found: dict = {}
         for frame in frames:
             for row in frame.itertuples(index=False):
@@ -183,23 +185,30 @@ def best_matches(met: DataFrame, k: int, keep: Sequence[str] = ()) -> DataFrame:
                 sims = left @ right.T
                 cost = np.where(np.isnan(sims), np.inf, -sims)
                 kept = [getattr(row, c) for c in keep]
-                owners = [[*kept, *(i[f.name] for f in left_fields)] for i in row.left_ids]
+                owners = [(*kept, *(i[f.name] for f in left_fields)) for i in row.left_ids]
                 block = (repr(owners[0]), repr(owners[-1]), hashlib.blake2b(row.left_matrix).digest())
+                ids = [i[names[0]] if numbers else tuple(i[c] for c in names) for i in row.right_ids]
                 if block not in found:
-                    found[block] = (owners, [[] for _ in owners], np.full(len(owners), np.inf))
-                _, best, worst = found[block]
+                    kind = np.int64 if numbers else object
+                    shape = (len(owners), k)
+                    found[block] = [owners, np.full(shape, np.inf), np.zeros(shape, dtype=kind), np.zeros(len(owners), dtype=np.int32)]
+                _, costs, best, held = found[block]
+                if numbers and None in ids and best.dtype != object:
+                    best = found[block][2] = best.astype(object)
                 # an equal one may still win by its id
-                limit = np.minimum(worst, np.partition(cost, min(k, cost.shape[1]) - 1, axis=1)[:, min(k, cost.shape[1]) - 1])
+                last = min(k, cost.shape[1]) - 1
+                limit = np.minimum(np.where(held == k, costs[:, -1], np.inf), np.partition(cost, last, axis=1)[:, last])
                 for n in np.flatnonzero((cost <= limit[:, None]).any(axis=1)):
-                    new = [(cost[n, j], row.right_ids[j][first], row.right_ids[j]) for j in np.flatnonzero(cost[n] <= limit[n])]
-                    best[n] = sorted(best[n] + new, key=lambda t: t[:2])[:k]
-                    if len(best[n]) == k:
-                        worst[n] = best[n][-1][0]
-        for owners, best, _ in found.values():
+                    entries = [*zip(costs[n, : held[n]], best[n, : held[n]]), *((cost[n, j], ids[j]) for j in np.flatnonzero(cost[n] <= limit[n]))]
+                    entries = sorted(entries, key=lambda t: (t[0], t[1] if numbers else t[1][0]))[:k]
+                    held[n] = len(entries)
+                    for place, (c, i) in enumerate(entries):
+                        costs[n, place], best[n, place] = c, i
+        for owners, costs, best, held in found.values():
             rows = [
-                [*owner, *(i[f.name] for f in right_fields), None if np.isinf(c) else float(-c)]
-                for owner, hits in zip(owners, best)
-                for c, _, i in hits
+                [*owner, *([best[n, j]] if numbers else best[n, j]), None if np.isinf(costs[n, j]) else float(-costs[n, j])]
+                for n, owner in enumerate(owners)
+                for j in range(held[n])
             ]
             if rows:
                 yield pd.DataFrame(rows, columns=schema.names)

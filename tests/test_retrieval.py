@@ -240,3 +240,47 @@ def test_kernel_emits_k_rows_per_left_row_and_task(spark):
     met = blocks.meet(blocks.pack(left, ["q"], "v"), blocks.pack(right, ["id"], "v", rows=50))
     found = blocks.best_matches(met, 3)
     assert found.count() <= 5 * 3 * met.rdd.getNumPartitions()
+
+
+def test_best_matches_of_many_queries_take_little_memory():
+    import tracemalloc
+
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    from ludolytics.operators import blocks
+
+    ids = lambda name: T.ArrayType(T.StructType([T.StructField(name, T.LongType())]))
+    columns = {"right_ids": ids("game"), "right_matrix": T.BinaryType(), "left_ids": ids("query"), "left_matrix": T.BinaryType()}
+    schema = T.StructType([T.StructField(c, kind) for c, kind in columns.items()])
+
+    class Met:
+        def __init__(self):
+            self.schema = schema
+
+        def mapInPandas(self, kernel, _):
+            return kernel
+
+    kernel = blocks.best_matches(Met(), 10)
+    rng = np.random.default_rng(3)
+    games = rng.normal(size=(256, 4))
+    games[7] = games[5]  # a tie, which the smaller id wins
+    queries = [rng.normal(size=(256, 4)) for _ in range(40)]
+
+    def frames():
+        right = [{"game": 10_000 + i} for i in range(256)]
+        for n, block in enumerate(queries):
+            left = [{"query": 100_000 + 256 * n + i} for i in range(256)]
+            yield pd.DataFrame([[right, games.tobytes(), left, block.tobytes()]], columns=schema.names)
+
+    tracemalloc.start()
+    found = kernel(frames())
+    first = next(found)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 5e6  # of 10,240 queries
+    out = pd.concat([first, *found])
+    sims = np.vstack(queries) @ games.T
+    order = np.lexsort((np.broadcast_to(np.arange(256), sims.shape), -sims), axis=1)[:, :10]
+    assert (out["game"].to_numpy().reshape(-1, 10) == 10_000 + order).all()
+    assert (out["query"].to_numpy() == np.repeat(100_000 + np.arange(10_240), 10)).all()

@@ -39,13 +39,15 @@ def _overwrite_partitions(df: DataFrame, path: str, *columns: str) -> None:
 
 
 def write_batches(df: DataFrame, path: str, rows_per_file: int, scrape_date: date) -> None:
-    """Append landed rows below their ``scrape_date=`` folder in files of bounded size."""
+    """Append landed rows below their ``scrape_date=`` folder in files of bounded size.
+
+    All rows go to the one folder, so none are sorted by it.
+    """
     (
-        df.withColumn("scrape_date", F.lit(scrape_date))
+        df.drop("scrape_date")
         .write.mode("append")
         .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy("scrape_date")
-        .parquet(path)
+        .parquet(f"{path.rstrip('/')}/scrape_date={scrape_date}")
     )
 
 

@@ -63,6 +63,18 @@ def test_many_keys_of_a_batch_are_not_broadcast(spark, tmp_path, monkeypatch):
     assert stored(spark, path)[0] == (0, "b", D[1]) and spark.read.parquet(path).count() == 150_000
 
 
+def test_landed_rows_are_not_sorted_into_their_folder(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    # Spark sorts the rows of a task before it deals them to partition folders
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda *_: pytest.fail("rows are dealt to folders"))
+    landed = spark.range(5).withColumn("scrape_date", F.lit(D[3]))
+    writers.write_batches(landed, str(tmp_path / "t"), 10, D[0])
+    writers.write_batches(landed, str(tmp_path / "t"), 10, D[1])
+    kept = spark.read.parquet(str(tmp_path / "t")).groupBy("scrape_date").count()
+    assert rows(kept) == [(D[0], 5), (D[1], 5)]
+
+
 def test_shared_folder_is_asked_for_on_a_cluster(monkeypatch):
     from types import SimpleNamespace
 

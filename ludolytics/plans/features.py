@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from ludolytics import schemas
 from ludolytics.functions.arrays import no_longs, without
-from ludolytics.functions.dates import as_month, in_month, month_of, shift_month
+from ludolytics.functions.dates import as_month, in_month, in_range, month_of, shift_month
 from ludolytics.operators.asof import asof_at
 from ludolytics.operators.keyed import multiset_list
 from ludolytics.operators.ordering import running_totals
 from ludolytics.sources.readers import read_if_present
-from ludolytics.sources.writers import write_month
+from ludolytics.sources.writers import staged, write_month
 
 COUNTS = [
     "game_num_reviews",
@@ -62,28 +62,26 @@ def game_features(metrics: DataFrame, games: DataFrame, month: str | date) -> Da
     )
 
 
-def _positive_lists(facts: DataFrame, month: date) -> DataFrame:
+def _positive_lists(interactions: DataFrame, month: date) -> DataFrame:
     """Users with a positive review in ``month``: that month's games and all their
     positively reviewed games (of any month, later ones included).
 
-    Reviews are counted per (user, game) first, combined before the exchange, so a
-    very active user is many small groups and then one list bounded by the number
-    of games, with a game repeated as often as it was reviewed.
+    Only the rows of these users are exchanged. They are counted per (user, game)
+    first, combined before the exchange, so a very active user is many small groups
+    and then one list bounded by the number of games, with a game repeated as often
+    as it was reviewed.
     """
+    here = F.col("current_month") == F.lit(month)
+    active = interactions.where(here & F.col("user_id").isNotNull()).select("user_id").distinct()
     pairs = (
-        facts.where("voted_up")
+        interactions.join(active, "user_id", "left_semi")
         .groupBy("user_id", "game_id")
-        .agg(
-            F.count(F.lit(1)).alias("_all"),
-            F.count_if(in_month(F.col("timestamp_created"), month)).alias("_month"),
-        )
+        .agg(F.sum("reviews").alias("_all"), F.sum(F.when(here, F.col("reviews")).otherwise(0)).alias("_month"))
     )
-    lists = pairs.groupBy("user_id").agg(
-        F.sum("_month").alias("_active"),
+    return pairs.groupBy("user_id").agg(
         multiset_list(F.col("game_id"), F.col("_month")).alias("monthly_game_ids"),
         multiset_list(F.col("game_id"), F.col("_all")).alias("all_game_ids"),
     )
-    return lists.where(F.col("_active") > 0).drop("_active")
 
 
 def user_features(
@@ -91,19 +89,25 @@ def user_features(
     month: str | date,
     previous: DataFrame | None = None,
     mode: str = "literal",
+    interactions: DataFrame | None = None,
 ) -> DataFrame:
-    """Game lists of the users active in ``month``.
+    """Game lists of the users active in ``month``; a NULL user has none.
 
     ``previous`` is the stored table (any months), or None on the first run, when
     nothing counts as past. In ``literal`` mode the past of a user is what they
     reviewed in the month just before, and the list of all games is carried over
     from that month's row. ``accumulate`` adds each month to the past, refreshes the
-    list of all games, and keeps users who were not active.
+    list of all games, and keeps users who were not active. ``interactions`` are the
+    stored ``user_interactions`` of ``facts``, for callers that want many months.
     """
     if mode not in ("literal", "accumulate"):
         raise ValueError(f"unknown mode: {mode}")
     day = as_month(month)
-    active = _positive_lists(facts, day)
+    if interactions is None:
+        interactions = facts.where("voted_up").select(
+            "user_id", "game_id", month_of("timestamp_created").alias("current_month"), F.lit(1).alias("reviews")
+        )
+    active = _positive_lists(interactions, day)
     if previous is None:
         rows = active.select(
             "user_id",
@@ -223,16 +227,27 @@ def backfill(
     the month before; running a month again never reads that month itself. Each
     month replaces its own partitions only. ``paths`` names the folders ``metrics``,
     ``game``, ``user`` and ``reviews``.
+
+    The facts are read three times, however many months there are: for the metrics,
+    for the counted interactions, and for the rows of the wanted months, which are
+    dealt by month once.
     """
     metrics_frame = monthly_game_metrics(facts)
     metrics_frame.write.mode("overwrite").parquet(paths["metrics"])
     metrics = spark.read.schema(metrics_frame.schema).parquet(paths["metrics"])
-    for day in month_range(start, end):
+    months = month_range(start, end)
+    if not months:
+        return
+    interactions = staged(user_interactions(facts))
+    wanted = facts.where(in_range(F.col("timestamp_created"), months[0], shift_month(months[-1], 1)))
+    dealt = staged(wanted.withColumn("_of_month", month_of("timestamp_created")), "_of_month")
+    for day in months:
         stored = read_if_present(spark, paths["user"], schemas.USER_FEATURES)
-        write_month(user_features(facts, day, stored, mode), paths["user"], "current_month")
+        write_month(user_features(facts, day, stored, mode, interactions), paths["user"], "current_month")
         write_month(game_features(metrics, games, day), paths["game"], "game_review_month")
         users = spark.read.schema(schemas.USER_FEATURES).parquet(paths["user"])
-        write_month(training_features(facts, metrics, games, users, day), paths["reviews"], "current_month")
+        of_month = dealt.where(F.col("_of_month") == F.lit(day)).select(*facts.columns)
+        write_month(training_features(of_month, metrics, games, users, day), paths["reviews"], "current_month")
         if after_month:
             after_month(day)
 

@@ -230,11 +230,12 @@ class Models(Mapping):
     read back. A stored dimension has a size the optimizer knows before the reviews
     are read: a small one is broadcast and spares the reviews an exchange by game,
     a large one is not. Storing the deduplicated reviews, which feed three models,
-    saves the scan, joins and exchange of the raw reviews twice.
+    saves the scan, joins and exchange of the raw reviews twice. The facts are these
+    less the rows of unknown games and users: storing them would write all reviews again.
     """
 
     GAME_LEVEL = ("int_deduplicated_games", "canonical_map")
-    ALL_SHARED = (*GAME_LEVEL, "int_deduplicated_reviews", "dim_games", "dim_users", "fact_reviews")
+    ALL_SHARED = (*GAME_LEVEL, "int_deduplicated_reviews", "dim_games", "dim_users")
 
     def __init__(
         self,

@@ -88,15 +88,18 @@ def _drop_folders(folders: list[str]) -> None:
         files.delete_dir(path)
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back.
+def staged(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` written to the shared folder, in partitions by ``columns`` if given, and read back.
 
     Used where a frame is needed several times. Its size is then known before the
     next join, so the keys of a small batch are broadcast to a large table.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "staged")
-    df.write.parquet(path)
+    if columns:
+        df.hint("rebalance", *columns).write.partitionBy(*columns).parquet(path)
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from ludolytics import schemas
@@ -164,3 +164,26 @@ def test_hot_user_and_hot_game_keep_all_rows(spark):
     users = f.user_features(hot, M[0])
     assert users.agg(F.sum(F.size("monthly_game_ids"))).collect()[0][0] == 30_000
     assert f.monthly_game_metrics(hot).agg(F.sum("game_num_reviews")).collect()[0][0] == 30_000
+
+
+def test_backfill_deals_the_facts_once(spark, tmp_path, monkeypatch):
+    df = facts(spark, *HISTORY)
+    paths = {n: str(tmp_path / n) for n in ("metrics", "game", "user", "reviews")}
+    seen = []
+    lists, training = f._positive_lists, f.training_features
+    monkeypatch.setattr(f, "_positive_lists", lambda x, m: seen.append(x) or lists(x, m))
+    monkeypatch.setattr(f, "training_features", lambda x, *rest: seen.append(x) or training(x, *rest))
+    f.backfill(spark, df, games(spark, 10, 11, 12, 13), M[0], M[3], paths)
+    assert len(seen) == 8
+    # each month reads the stored interactions, and its own partition of the stored rows
+    assert all("Scan parquet" in plan(x) and "Scan ExistingRDD" not in plan(x) for x in seen)
+    assert all("PartitionFilters: [isnotnull(_of_month" in plan(x) for x in seen[1::2])
+    empty = {n: str(tmp_path / f"none-{n}") for n in paths}
+    f.backfill(spark, df, games(spark, 10), M[3], M[0], empty)
+    assert spark.read.parquet(empty["metrics"]).count() == spark.read.parquet(paths["metrics"]).count()
+
+
+def test_a_null_user_has_no_lists(spark):
+    df = facts(spark, *HISTORY)
+    nobody = df.withColumn("user_id", F.lit(None).cast("long"))
+    assert user_rows(f.user_features(df.union(nobody), M[0])) == user_rows(f.user_features(df, M[0]))

@@ -14,7 +14,7 @@ from ludolytics.functions.dates import between_days, in_range, month_of, on_or_b
 from ludolytics.operators.keyed import ordered_list, top_ids_by_group, top_rows
 from ludolytics.operators.ordering import exact_sample, full_rank, number_rows, shuffle_key
 from ludolytics.sources.readers import load_model
-from ludolytics.sources.writers import save_model
+from ludolytics.sources.writers import save_model, staged
 
 # ---------------------------------------------------------------- splits
 
@@ -242,16 +242,17 @@ def fit_factors(
     """User and game vectors from positive reviews (implicit feedback ALS).
 
     Returns the model and the maps (user_id, user_no) and (game_id, game_no): the
-    learner wants 32-bit keys, so ids get dense numbers.
+    learner wants 32-bit keys, so ids get dense numbers. What is needed several times,
+    by the learner too, is stored: the pairs, the maps and the numbered ratings.
     """
-    liked = (
+    liked = staged(
         facts.where("voted_up").groupBy("user_id", "game_id").agg(F.count(F.lit(1)).cast("float").alias("rating"))
     )
     users = number_rows(liked.select("user_id").distinct(), ["user_id"], seed, "user_no")
     games = number_rows(liked.select("game_id").distinct(), ["game_id"], seed, "game_no")
-    users = users.withColumn("user_no", F.col("user_no").cast("int"))
-    games = games.withColumn("game_no", F.col("game_no").cast("int"))
-    ratings = liked.join(users, "user_id").join(games, "game_id").select("user_no", "game_no", "rating")
+    users = staged(users.withColumn("user_no", F.col("user_no").cast("int")))
+    games = staged(games.withColumn("game_no", F.col("game_no").cast("int")))
+    ratings = staged(liked.join(users, "user_id").join(games, "game_id").select("user_no", "game_no", "rating"))
     als = ALS(
         rank=rank,
         maxIter=iterations,

@@ -153,20 +153,32 @@ def distinct_games(game_features: DataFrame) -> DataFrame:
     return top_rows(game_features, ["game_id"], [F.col("game_review_month").desc_nulls_last()])
 
 
-def _draw(key: Column, n: Column, k: int) -> Column:
-    """``k`` distinct positions below ``n``, uniform over all such sets.
+def _draws(key: Column, n: Column, k: int) -> Column:
+    """For each position ``j`` of the last ``k`` below ``n`` a number up to ``j``, NULL for a position below 0.
 
-    Position ``j`` draws below ``j + 1``; a draw already taken stands for ``j``
-    itself (sampling without replacement in ``k`` steps).
+    One entry after the other, not as a function of an array, so that the digests are compiled and made once.
     """
 
-    def step(taken: Column, j: Column) -> Column:
+    def drawn(j: Column) -> Column:
         digits = F.substring(F.md5(F.concat_ws("|", key, j.cast("string"))), 1, 12)
-        drawn = F.pmod(F.conv(digits, 16, 10).cast("long"), j + 1)
-        return F.concat(taken, F.array(F.when(F.array_contains(taken, drawn), j).otherwise(drawn)))
+        return F.when(j >= 0, F.pmod(F.conv(digits, 16, 10).cast("long"), j + 1))
 
-    picks = F.sequence(F.greatest(n - k, F.lit(0)), n - 1)
-    return F.when(n > 0, F.aggregate(picks, F.array().cast("array<bigint>"), step))
+    return F.array(*(drawn(n - k + i) for i in range(k)))
+
+
+def _distinct(draws: Column, n: Column, k: int) -> Column:
+    """``k`` distinct positions below ``n``, uniform over all such sets; all of them if fewer.
+
+    A draw already taken stands for its position itself (sampling without replacement
+    in ``k`` steps).
+    """
+
+    def step(taken: Column, draw: Column) -> Column:
+        own = F.when(F.array_contains(taken, draw["drawn"]), draw["j"]).otherwise(draw["drawn"])
+        return F.concat(taken, F.array(own))
+
+    numbered = F.transform(draws, lambda drawn, i: F.struct((n - k + i).alias("j"), drawn.alias("drawn")))
+    return F.aggregate(F.filter(numbered, lambda draw: draw["j"] >= 0), F.array().cast("array<bigint>"), step)
 
 
 def recommend_random(
@@ -176,11 +188,15 @@ def recommend_random(
 
     Games get dense numbers; each row draws numbers from a hash of its key and the
     seed, and the drawn numbers are joined back: k rows per user, never user x game.
+    The numbered games are stored, so that their size is known: a small list goes to
+    the draws, and the draws of a row stay where they were made.
     """
-    numbered = number_rows(games.select("game_id"), ["game_id"], seed)
-    total = games.agg(F.count(F.lit(1)).alias("n")).scalar()
+    numbered = staged(number_rows(games.select("game_id"), ["game_id"], seed))
+    total = numbered.agg(F.count(F.lit(1)).alias("n")).scalar()
     sized = users.select(*keys, shuffle_key(keys, seed).alias("_h"), total.alias("_n"))
-    drawn = sized.select(*keys, F.posexplode(_draw(F.col("_h"), F.col("_n"), k)).alias("_order", "position"))
+    draws = sized.withColumn("_draws", _draws(F.col("_h"), F.col("_n"), k))
+    positions = _distinct(F.col("_draws"), F.col("_n"), k)
+    drawn = draws.select(*keys, F.posexplode(positions).alias("_order", "position"))
     picked = drawn.join(numbered, "position").groupBy(*keys).agg(ordered_list("_order", "game_id").alias(out))
     return users.join(picked, list(keys), "left").withColumn(
         out, F.coalesce(out, F.array().cast("array<bigint>"))

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ludolytics.session import scratch_path
 
+#: Whether the shuffle files of a query are deleted as soon as it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _SEED = np.random.default_rng(20_240_229)
 #: One random 64-bit value for each byte, and an odd multiplier with its inverse modulo 2**64.
 BYTE_VALUES = _SEED.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -43,9 +45,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows written once below the shared folder and read back: lineage is cut, and a lost executor loses nothing."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    """The rows written once below the shared folder and read back: lineage is cut, and a lost executor loses nothing.
+
+    What was shuffled for them is deleted when they are written.
+    """
+    path, conf = scratch_path(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

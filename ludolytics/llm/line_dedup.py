@@ -18,6 +18,7 @@ passage of a third of all texts to many tasks.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +30,13 @@ LONGEST = 18
 WORDS = 15
 #: Characters below which a text of fewer words is no passage.
 MIN_CHARS = 60
-#: The ends of lines: a line feed, a stop of a script without spaces, or one stop after a sign and before a space.
-ENDS = "[.!?\\n\u3002\uff01\uff1f\u061f\u0964](?:(?<=[\\n\u3002\uff01\uff1f\u061f\u0964])|(?<=[^.!?\\x20\\x09-\\x0D][.!?]) )"
+#: Stops of scripts without spaces; one ends a line if no stop and space follow, which then end it.
+SIGNS = "\u3002\uff01\uff1f\u061f\u0964"
+SIGN = f"[{SIGNS}](?![.!?] )"
+#: One stop and a space, after a sign of the same line.
+STOP = "[.!?] (?<=[^.!?\\x20\\x09-\\x0D][.!?] )"
+#: The ends of lines.
+ENDS = f"(?:\n|{SIGN}|{STOP})"
 _MARK = "\x01"
 #: White space at the end of a line, which is not compared.
 BLANK = " \t\n\x0b\f\r"
@@ -49,39 +55,63 @@ def _spaces(text: Column) -> Column:
 
 def _cut_by_content(line: Column) -> Column:
     """The parts of a long line that end with the word of the least checksum in some window of LONGEST words."""
-
-    def merged(minima: Column, step: int) -> Column:
-        return _let(minima, lambda m: F.zip_with(m, F.slice(m, step + 1, F.size(m)), lambda x, y: F.least(x, y)))
-
-    def least(keys: Column) -> Column:
-        out, span = keys, 1
-        while span < LONGEST:  # windows of 1, 2, 4, … places, of two that overlap at last
-            step = min(span, LONGEST - span)
-            out, span = merged(out, step), span + step
-        return F.slice(out, F.lit(1), F.size(keys) - LONGEST + 1)
+    number = lambda key: key.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+
+    def minima(keys: Column, blocks: Column) -> Column:
+        def of_four(first_of: Column, g: Column) -> Column:
+            def least(first: int, last: int) -> Column:
+                """Of the keys so many places after the four windows' begin; whole blocks have their own."""
+                values, at = [], first
+                while at <= last:
+                    whole = at % 4 == 0 and at + 3 <= last
+                    values.append(F.get(blocks, g + at // 4) if whole else F.get(keys, first_of + at))
+                    at += 4 if whole else 1
+                return F.least(*values)
+
+            # most often one word is in all four windows and less than any other
+            shared = lambda k: (number(k) - first_of).between(3, LONGEST - 1)
+            there = lambda i: F.get(keys, first_of + (i + LONGEST - 1)).isNotNull()
+            each = [least(0, LONGEST - 1)]
+            each += [F.when(there(i), least(i, i + LONGEST - 1)).otherwise(each[0]) for i in (1, 2, 3)]
+            return _let(least(0, LONGEST + 2), lambda k: F.when(shared(k), F.array(k)).otherwise(F.array(*each)))
+
+        return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.size(keys) - LONGEST, F.lit(4)), of_four)))
 
     def parts(words: Column) -> Column:
         # a key is the word's checksum, then its number
         keys = F.transform(words, lambda w, i: F.shiftleft(F.crc32(w.cast("binary")), 31) + i)
-        ends = F.transform(_let(keys, least), lambda k: (k.bitwiseAND(F.lit((1 << 31) - 1)) + 1).cast("int"))
+        block = lambda x: lambda i: F.least(*(F.get(x, i + k) for k in range(4)))
+        blocks = lambda x: F.transform(F.sequence(F.lit(0), F.size(x) - 1, F.lit(4)), block(x))
+        chosen = _let(keys, lambda x: _let(blocks(x), lambda y: minima(x, y)))
+        ends = F.transform(chosen, lambda k: number(k) + 1)
         edges = F.array_distinct(F.concat(F.array(F.lit(0)), ends, F.array(F.size(words))))
 
-        def part(e: Column, k: Column) -> Column:
-            own = F.array_join(F.slice(words, F.get(e, k) + 1, F.get(e, k + 1) - F.get(e, k)), " ")
-            return F.when(F.get(e, k + 1) < F.size(words), F.concat(own, F.lit(" "))).otherwise(own)
+        def part(low: Column, high: Column) -> Column:
+            own = F.array_join(F.slice(words, low + 1, high - low), " ")
+            return F.when(high < F.size(words), F.concat(own, F.lit(" "))).otherwise(own)
 
-        return _let(edges, lambda e: F.transform(F.sequence(F.lit(0), F.size(e) - 2), lambda k: part(e, k)))
+        def between(e: Column) -> Column:
+            return F.zip_with(F.slice(e, F.lit(1), F.size(e) - 1), F.slice(e, F.lit(2), F.size(e)), part)
+
+        return _let(edges, between)
 
     return _let(F.split(line, " "), parts)
 
 
+def _marked(text: Column) -> Column:
+    """The text with the mark after each end of a line; a pattern of all ends would take four times as long."""
+    out = F.replace(F.regexp_replace(text, STOP, f"$0{_MARK}"), F.lit("\n"), F.lit("\n" + _MARK))
+    has_sign = reduce(lambda a, b: a | b, (F.contains(text, F.lit(sign)) for sign in SIGNS))
+    return _let(out, lambda x: F.when(has_sign, F.regexp_replace(x, SIGN, f"$0{_MARK}")).otherwise(x))
+
+
 def pieces(text: Column) -> Column:
     """The lines of a text, with what separates them; they make up the text."""
     text = F.coalesce(text, F.lit(""))
     # the ends are marked and the text split there; a text that has the mark itself is split at its ends one by one
-    marked = F.split(F.regexp_replace(text, ENDS, f"$0{_MARK}"), _MARK)
     slowly = F.split(text, f"(?<={ENDS})")
-    sentences = F.filter(F.when(F.contains(text, F.lit(_MARK)), slowly).otherwise(marked), lambda s: s != "")
+    lines = F.when(F.contains(text, F.lit(_MARK)), slowly).otherwise(F.split(_marked(text), _MARK))
+    sentences = F.filter(lines, lambda s: s != "")
     return F.flatten(F.transform(sentences, lambda s: F.when(_spaces(s) < LONGEST, F.array(s)).otherwise(_cut_by_content(s))))
 
 
@@ -107,64 +137,54 @@ def line_hashes(docs: DataFrame) -> DataFrame:
     return rows.select("doc", "part", chars.alias("chars"), *(f"lines.{c}" for c in "at h m w".split()))
 
 
-def _spans(h: Column, w: Column, chars: Column) -> Column:
-    """The windows of a text, as 32 times the number of the first line plus how many lines it has (each has a word)."""
+def _spans(hashes: DataFrame) -> DataFrame:
+    """The rows of ``hashes``, once for each window, with ``first``, its first place in the arrays, and ``size``, its lines."""
+    h, w, n, back = F.col("h"), F.col("w"), F.size("h"), F.col("back")
+    words = lambda first, size: F.aggregate(F.slice(w, first, size), F.lit(0), lambda a, b: a + b)
 
-    def enough(w: Column, i: Column, step: int) -> Column:
+    def enough(i: Column, step: int) -> Column:
         total, out = F.get(w, i), None
         for k in range(1, WORDS + 1):
-            first = i if step > 0 else i - (k - 1)
-            here = first.cast("bigint") * 32 + k
-            out = F.when(total >= WORDS, here) if out is None else out.when(total >= WORDS, here)
+            out = F.when(total >= WORDS, k) if out is None else out.when(total >= WORDS, k)
             total = total + F.get(w, i + step * k)
         return out
 
-    def found(w: Column) -> Column:
-        forwards = F.transform(F.sequence(F.lit(0), F.size(w) - 1), lambda i: enough(w, i, 1))
-        last = F.array(enough(w, F.size(w) - 1, -1))
-        return F.array_distinct(F.filter(F.concat(forwards, last), lambda s: s.isNotNull()))
-
-    few = F.aggregate(w, F.lit(0), lambda a, b: a + b) < WORDS
-    whole = F.when(chars >= MIN_CHARS, F.array(F.size(h).cast("bigint")))
-    none = F.expr("cast(array() AS array<bigint>)")
-    return F.when(F.size(h) == 0, none).when((F.size(h) < WORDS) & few, F.coalesce(whole, none)).otherwise(_let(w, found))
-
-
-def _fingerprints(h: Column, w: Column) -> Column:
-    """The line hashes that are the least of two neighbours, the first of equal ones, and those of lines that are windows."""
-
-    def chosen(h: Column) -> Column:
-        pairs = F.zip_with(h, w, lambda x, n: F.struct(x.alias("x"), n.alias("n")))
-        least = lambda p, i: (p["x"] <= F.get(h, i + 1)) | (p["x"] < F.get(h, i - 1))
-        taken = F.filter(pairs, lambda p, i: F.coalesce(least(p, i) | (p["n"] >= WORDS) | (F.size(h) == 1), F.lit(False)))
-        return F.transform(taken, lambda p: p["x"])
-
-    return _let(h, chosen)
+    # functions of arrays are interpreted and find the sizes only, once a text; what follows for each window is compiled
+    rows = hashes.where(n > 0).withColumn("back", _let(n - 1, lambda i: enough(i, -1)))
+    # few words: the text is a window; else one begins with each line before the last one, which ends the text
+    whole = F.when(F.col("chars") >= MIN_CHARS, n)
+    last = F.when(words(n - back + 1, back - 1) >= WORDS, back)
+    every = F.concat(F.transform(F.sequence(F.lit(0), n - back), lambda i: enough(i, 1)), F.array(last))
+    rows = rows.withColumn("sizes", F.when(back.isNull(), F.array(whole)).otherwise(every))
+    # not posexplode, for which the sizes would be found a second time, to see whether there are any
+    rows = rows.select("*", F.posexplode_outer("sizes").alias("i", "size")).where("size IS NOT NULL")
+    ends = F.col("i") == F.size("sizes") - 1
+    return rows.withColumn("first", F.when(ends, n - F.col("size")).otherwise(F.col("i")))
+
+
+def _fingerprints(hashes: DataFrame) -> DataFrame:
+    """(print): line hashes that are the least of two neighbours, the first of equal ones, and those of lines that are windows."""
+    h, i = F.col("h"), F.col("i")
+    least = (F.col("print") <= F.get(h, i + 1)) | (F.col("print") < F.get(h, i - 1))
+    return (
+        hashes.select("h", "w", F.posexplode("h").alias("i", "print"))
+        .where(F.coalesce(least, F.lit(False)) | (F.get("w", i) >= WORDS) | (F.size(h) == 1))
+        .select("print")
+    )
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """(doc, part, gone): the numbers of the lines in windows that stand earlier too."""
     hashes = stored(line_hashes(docs), "lines")
-    prints = hashes.select(F.explode(_fingerprints(F.col("h"), F.col("w"))).alias("print"))
+    prints = _fingerprints(hashes)
     prints = stored(prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print"), "prints")
-
-    def describe(span: Column, h: Column, m: Column, at: Column) -> Column:
-        first, size = F.shiftright(span, 5).cast("int"), span.cast("int").bitwiseAND(F.lit(31))
-        lines = F.slice(h, first + 1, size)
-        return F.struct(
-            F.when(size == 1, F.get(h, first)).otherwise(F.least(F.get(h, first), F.get(h, first + 1))).alias("print"),
-            F.xxhash64(lines).alias("window"), F.hash(F.slice(m, first + 1, size)).alias("check"),
-            F.get(at, first).alias("first"), F.get(at, first + size - 1).alias("last"),
-        )
-
-    # arrays are taken from the row once, not again for each of their elements
-    rows = _let(
-        F.struct(F.col("h").alias("h"), F.col("m").alias("m"), F.col("at").alias("at")),
-        lambda x: F.transform(
-            _spans(F.col("h"), F.col("w"), F.col("chars")), lambda s: describe(s, x["h"], x["m"], x["at"])
-        ),
-    )
-    windows = hashes.select("doc", "part", F.inline(rows))
+    first, size = F.col("first"), F.col("size")
+    lines, one = F.slice("h", first + 1, size), F.get("h", first)
+    windows = _spans(hashes).select(
+        "doc", "part", F.when(size == 1, one).otherwise(F.least(one, F.get("h", first + 1))).alias("print"),
+        F.xxhash64(lines).alias("window"), F.hash(F.slice("m", first + 1, size)).alias("check"),
+        F.get("at", first).alias("first"), F.get("at", first + size - 1).alias("last"),
+    )
     likely = stored(windows.join(prints, "print", "left_semi"), "likely-windows")
     key = ["print", "window", "check"]
     place = F.struct("doc", "part", "first")
@@ -173,7 +193,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     later = likely.join(first, key).where(place != F.col("earliest"))
     found = later.groupBy("doc", "part").agg(F.collect_set(F.struct("first", "last")).alias("found"))
     covered = F.transform("found", lambda s: F.sequence(s["first"], s["last"]))
-    return found.select("doc", "part", F.array_distinct(F.flatten(covered)).alias("gone"))
+    return stored(found.select("doc", "part", F.array_distinct(F.flatten(covered)).alias("gone")), "repeated-lines")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -185,8 +205,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     elsewhere. An empty table gives no row. Other columns may have any names; one called ``removed_lines`` stays, before
     the one that is added.
     """
+    others = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns) if c != text_col]
     keyed = docs.select(
-        F.struct(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns))).alias("row"),
+        F.struct(*others).alias("row"),
         F.col(id_col).alias("doc"),
         F.xxhash64(F.col(text_col)).alias("part"),
         F.col(text_col).alias("text"),

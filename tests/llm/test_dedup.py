@@ -1,11 +1,14 @@
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ludolytics.llm import line_dedup, near_dedup
+from ludolytics.llm.common import CLEANUP, stored
 from llm_helpers import WORDS, sentence, text
 
 
@@ -173,6 +176,40 @@ def test_passages_without_spaces(documents):
     assert got[0] == rows[0][1] and all(got[k] == f"\u7b2c{k}\u6bb5\u3002\u5b8c{k}" for k in (1, 2, 3))
 
 
+def test_lines_of_odd_ends_equal_brute_force(documents):
+    """Stops of several scripts, marks, and lines of about as many words as four windows and a few more."""
+    rng, rows = random.Random(9), []
+    signs = ["a", "bb", "\u00e9", "\U0001f600", ".", "!", "?", "\u3002", "\uff01", "\u061f", "\u0964", " ", "\n", "\t", ". ", "w ", "\x01"]
+    for k in range(400):
+        rows.append((k, "".join(rng.choice(signs[: rng.choice([16, 17])]) for _ in range(rng.choice([1, 5, 40, 200])))))
+    for k in range(400, 700):
+        rows.append((k, " ".join(str(rng.randrange(rng.choice([3, 1000]))) for _ in range(rng.choice([*range(17, 44), 300])))))
+    got = documents(rows).select("doc_id", line_dedup.pieces(F.col("text")).alias("lines")).collect()
+    assert {r["doc_id"]: r["lines"] for r in got} == {k: lines_of(t) for k, t in rows}
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = {files.apply(k).getName() for k in range(files.size())}
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_what_was_shuffled_for_stored_rows_is_deleted(spark, documents):
+    before, setting = shuffle_files(spark), spark.conf.get(CLEANUP)
+    rows = stored(documents([(k, text(k)) for k in range(50)]).repartition(3).groupBy("doc_id").count(), "counts")
+    for _ in range(100):  # deleted soon after
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before and spark.conf.get(CLEANUP) == setting
+    assert rows.count() == 50
+
+
+def test_a_text_is_shuffled_once(documents):
+    plan = line_dedup.without_repeats(documents([(k, text(k)) for k in range(3)]))._jdf.queryExecution().analyzed().toString()
+    assert "c0, doc_id#" in plan and "c1, text#" not in plan
+
+
 def test_a_column_of_the_added_name(documents):
     rows = documents([(1, text(1)), (2, text(1))], extra=False).selectExpr("*", "'x' AS removed_lines")
     got = line_dedup.without_repeats(rows)
